@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from chronolode.functions.timestamps import day_of, div, nanos_part, seconds_part
 from chronolode.functions.values import array_slice
 from chronolode.operators.axis import expand_timestamps, timestamp_bounds, timestamp_count
-from chronolode.operators.ranks import running_offset, with_global_rank
+from chronolode.operators.ranks import running_offset, small_side, with_global_rank
+from chronolode.session import cut_lineage
 from chronolode.schema import LIST, NS_PER_DAY, NS_PER_SEC
 
 # Samples one packed bucket may hold before its day is split.
@@ -21,23 +22,14 @@ def bucket_id(pv: Column, first_ns: Column) -> Column:
     return F.concat_ws("-", pv, seconds_part(first_ns).cast("string"), nanos_part(first_ns).cast("string"))
 
 
-def pack_buckets(samples: DataFrame, max_samples: int = MAX_BUCKET_SAMPLES) -> DataFrame:
-    """Samples as list buckets, one per signal and UTC day.
-
-    A day with more than ``max_samples`` is cut into runs of minutes, and a
-    minute that is still too full into hashed shares, so no bucket grows
-    with a hot signal. Which days need this comes from a count first.
-    """
-    keyed = samples.select("pv", "ts_ns", "value", day_of(F.col("ts_ns")).alias("day"))
+def _split_days(keyed: DataFrame, full_days: DataFrame, max_samples: int) -> DataFrame:
+    """Add ``__run`` (of minutes) and ``__share`` to the samples of full days, 0 elsewhere."""
     minute = div(F.col("ts_ns"), _MINUTE_NS)
-    full_days = keyed.groupBy("pv", "day").agg(F.count("*").alias("__n")).where(F.col("__n") > max_samples)
-    # at most rows / max_samples full days, hence few
-    full_days = F.broadcast(full_days.select("pv", "day"))
-    minutes = (
-        keyed.join(full_days, ["pv", "day"], "left_semi")
-        .groupBy("pv", "day", minute.alias("__minute"))
-        .agg(F.count("*").alias("__n"))
-    )
+    zero = F.lit(0).cast("bigint")
+    usual = keyed.join(full_days, ["pv", "day"], "left_anti").withColumn("__run", zero).withColumn("__share", zero)
+    of_full = keyed.join(full_days, ["pv", "day"], "left_semi").withColumn("__minute", minute)
+    minutes = of_full.groupBy("pv", "day", "__minute").agg(F.count("*").alias("__n"))
+    # one row per minute: at most 1,440 per signal and day
     before = Window.partitionBy("pv", "day").orderBy("__minute").rowsBetween(Window.unboundedPreceding, -1)
     runs = minutes.select(
         "pv",
@@ -46,20 +38,27 @@ def pack_buckets(samples: DataFrame, max_samples: int = MAX_BUCKET_SAMPLES) -> D
         (div(F.coalesce(F.sum("__n").over(before), F.lit(0)), max_samples) + 1).alias("__run"),
         F.ceil(F.col("__n") / F.lit(max_samples)).alias("__shares"),
     )
-    usual = keyed.join(full_days, ["pv", "day"], "left_anti").withColumn("__run", F.lit(0).cast("bigint"))
-    usual = usual.withColumn("__share", F.lit(0).cast("bigint"))
-    cut = (
-        keyed.join(full_days, ["pv", "day"], "left_semi")
-        .withColumn("__minute", minute)
-        .join(runs, ["pv", "day", "__minute"])
-        .withColumn("__share", F.pmod(F.xxhash64("ts_ns", "value"), F.col("__shares")))
-        .select(*usual.columns)
-    )
-    packed = (
-        usual.unionByName(cut)
-        .groupBy("pv", "day", "__run", "__share")
-        .agg(F.array_sort(F.collect_list(F.struct("ts_ns", "value"))).alias("__s"))
-    )
+    share = F.pmod(F.xxhash64("ts_ns", "value"), F.col("__shares"))
+    cut = of_full.join(runs, ["pv", "day", "__minute"]).withColumn("__share", share)
+    return usual.unionByName(cut.select(*usual.columns))
+
+
+def pack_buckets(samples: DataFrame, max_samples: int = MAX_BUCKET_SAMPLES) -> DataFrame:
+    """Samples as list buckets, one per signal and UTC day.
+
+    A day with more than ``max_samples`` is cut into runs of minutes, and a
+    minute that is still too full into hashed shares, so no bucket grows
+    with a hot signal. Which days need this comes from a count first.
+    """
+    keyed = samples.select("pv", "ts_ns", "value", day_of(F.col("ts_ns")).alias("day"))
+    groups = ["pv", "day"]
+    full_days = keyed.groupBy("pv", "day").agg(F.count("*").alias("__n")).where(F.col("__n") > max_samples)
+    full_days = full_days.select("pv", "day")
+    n_full = full_days.count()
+    if n_full:
+        keyed = _split_days(keyed, small_side(cut_lineage(full_days), n_full), max_samples)
+        groups += ["__run", "__share"]
+    packed = keyed.groupBy(*groups).agg(F.array_sort(F.collect_list(F.struct("ts_ns", "value"))).alias("__s"))
     first, last = F.get("__s", 0)["ts_ns"], F.element_at("__s", -1)["ts_ns"]
     return packed.select(
         bucket_id(F.col("pv"), first).alias("bucket_id"),
@@ -142,13 +141,19 @@ def query_buckets(
     out = select_pvs(buckets, pvs, pattern).where(last >= begin_ns)
     out = out.where(first <= end_ns) if end_inclusive else out.where(first < end_ns)
     if "day" in buckets.columns:
-        out = out.where(F.col("day") <= F.date_from_unix_date(F.lit(end_ns // NS_PER_DAY)))
-        if max_span_days is not None:
-            since = begin_ns // NS_PER_DAY - max_span_days
-            out = out.where(F.col("day") >= F.date_from_unix_date(F.lit(since)))
+        lo = None if max_span_days is None else begin_ns // NS_PER_DAY - max_span_days
+        out = _within(out, "day", lambda d: d, lo, end_ns // NS_PER_DAY)
+        if "month" in buckets.columns:
+            out = _within(out, "month", lambda d: F.trunc(d, "month"), lo, end_ns // NS_PER_DAY)
     return out
 
 
+def _within(df: DataFrame, column: str, unit: Callable[[Column], Column], lo: int | None, hi: int) -> DataFrame:
+    """Bounds on a folder column, so that Spark lists only the folders that can match."""
+    df = df.where(F.col(column) <= unit(F.date_from_unix_date(F.lit(hi))))
+    return df if lo is None else df.where(F.col(column) >= unit(F.date_from_unix_date(F.lit(lo))))
+
+
 def query_samples(
     buckets: DataFrame,
     begin_ns: int,

@@ -1,15 +1,22 @@
 """Exact median per signal where one signal is too big for one task.
 
-Spark's ``median`` keeps all distinct values of a group in one buffer. For hot
-signals the middle value is found digit by digit instead: values become
-integers of the same order, and each of four rounds counts only 2**16 possible
-digits per signal. Raw values are never shuffled.
+Spark's ``median`` keeps all distinct values of a group in one buffer. Here the
+middle value is found digit by digit instead: values become integers of the
+same order, a round counts their next 16 bits per signal, and only values that
+share the digits of the middle one matter in the next round. Raw values are
+never shuffled, and at most four rounds are needed.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_ROUND_BITS = (48, 32, 16, 0)
+from chronolode.operators.ranks import small_side
+from chronolode.session import cut_lineage
+
+_BITS = 64
+_ROUND = 16
+# Values around the middle that may be sorted in one array.
+SMALL_REST = 100_000
 
 
 def ordered_bits(value: Column) -> Column:
@@ -18,32 +25,54 @@ def ordered_bits(value: Column) -> Column:
     return bits.bitwiseXOR(F.shiftright(bits, 63).bitwiseAND(F.lit(0x7FFF_FFFF_FFFF_FFFF)))
 
 
-def radix_median(values: DataFrame, key: str = "pv", value: str = "value") -> DataFrame:
-    """``key, median`` over non-NaN values; mean of the middle two for even counts."""
+def _leading(shift: int) -> Column:
+    return F.shiftright("__bits", shift) if shift < _BITS else F.lit(0).cast("bigint")
+
+
+def radix_median(values: DataFrame, key: str = "pv", value: str = "value", small_rest: int = SMALL_REST) -> DataFrame:
+    """``key, median`` over non-NaN values; mean of the middle two for even counts.
+
+    The search state, one or two rows per key, is written after each round;
+    rounds end as soon as what is left around every middle fits one array.
+    """
     keyed = values.select(key, F.col(value).alias("__value"), ordered_bits(F.col(value)).alias("__bits"))
-    sizes = keyed.groupBy(key).agg(F.count("*").alias("__n"))
+    sizes = values.groupBy(key).agg(F.count("*").alias("__n"))
     # the one or two middle ranks of every key, 1-based
     middles = F.array_distinct(F.array(F.expr("(__n + 1) div 2"), F.expr("__n div 2 + 1")))
-    targets = sizes.select(key, F.explode(middles).alias("__rank"))
-    targets = targets.select(key, F.col("__rank").alias("__left"), F.lit(0).cast("bigint").alias("__prefix"))
-
-    for shift in _ROUND_BITS:
-        prefix = F.shiftright("__bits", shift + 16) if shift < 48 else F.lit(0).cast("bigint")
-        digits = (
-            keyed.withColumn("__prefix", prefix)
-            # at most two rows per hot signal
-            .join(F.broadcast(targets.select(key, "__prefix")), [key, "__prefix"], "left_semi")
-            .groupBy(key, "__prefix", F.shiftright("__bits", shift).alias("__digit"))
-            .agg(F.count("*").alias("__c"), F.min("__value").alias("__value"))
+    state = sizes.select(
+        key,
+        F.explode(middles).alias("__left"),
+        F.lit(0).cast("bigint").alias("__prefix"),
+        F.col("__n").alias("__rest"),
+        F.lit(None).cast("double").alias("__value"),
+    )
+    shift = _BITS
+    while True:
+        state = cut_lineage(state)
+        rest, rows = state.agg(F.max("__rest"), F.count("*")).first()
+        wanted = small_side(state.select(key, "__prefix"), rows)
+        if shift == 0 or rows == 0 or rest <= small_rest:
+            break
+        candidates = keyed.withColumn("__prefix", _leading(shift))
+        if shift < _BITS:
+            candidates = candidates.join(wanted, [key, "__prefix"], "left_semi")
+        shift -= _ROUND
+        digits = candidates.groupBy(key, "__prefix", _leading(shift).alias("__digit")).agg(
+            F.count("*").alias("__c"), F.min("__value").alias("__value")
         )
-        upto = Window.partitionBy(key, "__prefix").orderBy("__digit")
-        placed = digits.withColumn("__upto", F.sum("__c").over(upto))
+        upto = F.sum("__c").over(Window.partitionBy(key, "__prefix").orderBy("__digit"))
+        placed = digits.withColumn("__upto", upto)
         holds = (F.col("__upto") >= F.col("__left")) & (F.col("__upto") - F.col("__c") < F.col("__left"))
-        found = targets.select(key, "__left", "__prefix").join(placed, [key, "__prefix"]).where(holds)
-        targets = found.select(
+        state = state.drop("__value", "__rest").join(placed, [key, "__prefix"]).where(holds).select(
             key,
             (F.col("__left") - (F.col("__upto") - F.col("__c"))).alias("__left"),
             F.col("__digit").alias("__prefix"),
+            F.col("__c").alias("__rest"),
             "__value",
-        )
-    return targets.groupBy(key).agg(F.avg("__value").alias("median"))
+        )
+    if shift > 0:
+        around = keyed.withColumn("__prefix", _leading(shift)).join(wanted, [key, "__prefix"], "left_semi")
+        listed = around.groupBy(key, "__prefix").agg(F.array_sort(F.collect_list("__value")).alias("__all"))
+        state = state.drop("__value").join(listed, [key, "__prefix"])
+        state = state.withColumn("__value", F.element_at("__all", F.col("__left").cast("int")))
+    return state.groupBy(key).agg(F.avg("__value").alias("median"))

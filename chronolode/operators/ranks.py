@@ -8,6 +8,15 @@ from chronolode.session import cut_lineage
 _LOCAL_BITS = 33  # monotonically_increasing_id() is (partition << 33) + row in partition
 
 
+# Rows up to which a checked side of a join is broadcast (some tens of MB of keys).
+BROADCAST_ROWS = 500_000
+
+
+def small_side(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` marked for broadcast if its counted rows allow it, else left to a shuffle join."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def with_global_rank(df: DataFrame, *order: str, name: str = "rank") -> DataFrame:
     """Add the 1-based position of every row in the order of ``order``.
 

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from chronolode.functions.archive import is_finite, point_valid
 from chronolode.functions.timestamps import div
 from chronolode.operators.median import radix_median
-from chronolode.operators.ranks import with_global_rank
+from chronolode.operators.ranks import small_side, with_global_rank
+from chronolode.session import cut_lineage
 
-# Samples of one signal up to which its distinct values fit one median buffer.
-HOT_SAMPLES = 4_000_000
+# Samples of one signal up to which its distinct values may meet in one median buffer.
+# A task holds up to 128 such buffers at once before Spark falls back to sorting.
+HOT_SAMPLES = 100_000
 
 # Tags every imported file signal starts with.
 FILE_TAGS = ("h5_data", "accelerator_data", "production")
@@ -43,24 +45,31 @@ def pv_statistics(
 ) -> DataFrame:
     """``pv, count, nan_count, mean, median, std_dev, min, max`` with the exact median.
 
-    Signals above ``hot_samples`` take the digit-wise median; when there are
-    none, adaptive execution drops that whole branch. ``sizes`` (pv, n) saves
-    the counting scan where bucket metadata already knows the counts.
-    ``approx`` trades exactness of the median for one bounded sketch per signal.
+    Signals above ``hot_samples`` take the digit-wise median. Whether there are
+    any is asked first, from ``sizes`` (pv, n) if bucket metadata already knows
+    the counts. ``approx`` trades exactness of the median for one bounded
+    sketch per signal.
     """
     columns = ["pv", "count", "nan_count", "mean", "median", "std_dev", "min", "max"]
+
+    def direct(part, middle):
+        return part.groupBy("pv").agg(*_moments(), middle.alias("median")).select(*columns)
+
     if approx:
-        result = samples.groupBy("pv").agg(*_moments(), F.percentile_approx(_present(), 0.5, 10_000).alias("median"))
+        result = direct(samples, F.percentile_approx(_present(), 0.5, 10_000))
     else:
         if sizes is None:
             sizes = samples.groupBy("pv").agg(F.count("*").alias("n"))
-        # at most rows / hot_samples names, so the broadcast stays small at any scale
-        hot = F.broadcast(sizes.where(F.col("n") > hot_samples).select("pv"))
-        usual = samples.join(hot, "pv", "left_anti").groupBy("pv").agg(*_moments(), F.median(_present()).alias("median"))
-        of_hot = samples.join(hot, "pv", "left_semi")
-        present = of_hot.where(~F.isnan("value"))
-        big = of_hot.groupBy("pv").agg(*_moments()).join(radix_median(present), "pv", "left")
-        result = usual.select(*columns).unionByName(big.select(*columns))
+        hot = sizes.where(F.col("n") > hot_samples).select("pv")
+        n_hot = hot.count()
+        if n_hot == 0:
+            result = direct(samples, F.median(_present()))
+        else:
+            hot = small_side(cut_lineage(hot), n_hot)
+            of_hot = samples.join(hot, "pv", "left_semi")
+            medians = radix_median(of_hot.where(~F.isnan("value")))
+            big = of_hot.groupBy("pv").agg(*_moments()).join(medians, "pv", "left").select(*columns)
+            result = direct(samples.join(hot, "pv", "left_anti"), F.median(_present())).unionByName(big)
     if zero_fill:
         result = result.fillna(0.0, ["mean", "median", "std_dev", "min", "max"])
     return result.select(*columns)

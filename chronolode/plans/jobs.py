@@ -14,12 +14,17 @@ from chronolode.sources.archive_json import archive_meta, parse_answers
 
 
 def statistics_of_window(
-    buckets: DataFrame, begin_ns: int, end_ns: int, pvs: list[str] | None = None, pattern: str | None = None
+    buckets: DataFrame,
+    begin_ns: int,
+    end_ns: int,
+    pvs: list[str] | None = None,
+    pattern: str | None = None,
+    max_span_days: int | None = None,
 ) -> DataFrame:
     """Statistics per signal in a window. Hot signals are found from bucket counts, without expanding."""
-    found = query_buckets(buckets, begin_ns, end_ns, pvs, pattern)
-    sizes = found.groupBy("pv").agg(F.sum("sample_count").alias("n"))
-    return pv_statistics(query_samples(buckets, begin_ns, end_ns, pvs, pattern), sizes=sizes)
+    window = (begin_ns, end_ns, pvs, pattern, False, max_span_days)
+    sizes = query_buckets(buckets, *window).groupBy("pv").agg(F.sum("sample_count").alias("n"))
+    return pv_statistics(query_samples(buckets, *window), sizes=sizes)
 
 
 def import_requests(raw: DataFrame, provider_id: str, received_ns: int, manifest: DataFrame | None = None) -> DataFrame:

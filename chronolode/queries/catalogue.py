@@ -93,11 +93,11 @@ QUERIES = {
     "request_status": (
         q_request_status,
         oracle(
-            f"""WITH b AS (SELECT request_id, string_agg(bucket_id, ',' ORDER BY bucket_id) AS ids FROM v_clock_buckets
-              GROUP BY request_id)
+            f"""WITH b AS (SELECT lid, string_agg(bucket_id, ',' ORDER BY bucket_id) AS ids FROM v_clock_buckets
+              GROUP BY lid)
             SELECT provider_id, request_id, CASE WHEN m = '' THEN 'SUCCESS' ELSE 'REJECTED' END AS status, m AS message,
             CASE WHEN m = '' THEN ids ELSE '' END AS bucket_ids, start_ns AS update_ns
-            FROM (SELECT *, {_MESSAGE} AS m FROM v_requests) JOIN b USING (request_id)"""
+            FROM (SELECT *, {_MESSAGE} AS m FROM v_requests) JOIN b USING (lid)"""
         ),
     ),
     "create_datasets": (

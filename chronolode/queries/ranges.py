@@ -225,7 +225,7 @@ QUERIES = {
         oracle(
             """SELECT min(pv) || '-' || CAST(min(start_ns) // 1000000000 AS VARCHAR) || '-'
             || CAST(min(start_ns) % 1000000000 AS VARCHAR) AS bucket_id, request_id, CAST(count(*) AS INT) AS n,
-            round(min(value), 4) AS lowest FROM v_requests_long WHERE value > 50000.5 GROUP BY lid, request_id"""
+            round(min(value), 4) AS lowest FROM v_requests_long WHERE value > 50000.5 GROUP BY lid, pv, request_id"""
         ),
     ),
     "column_slice": (

@@ -3,10 +3,13 @@
 from pyspark.sql import functions as F
 
 from chronolode.operators import datasets, ingest, median, stats
+from chronolode.operators.buckets import pack_buckets
 from chronolode.plans import jobs
 from chronolode.queries import views as v
+from chronolode.queries.files import scratch
 from chronolode.queries.ranges import BEGIN, END
 from chronolode.queries.views import oracle
+from chronolode.sources.store import save_buckets
 
 
 def _rounded(df, *columns):
@@ -34,14 +37,14 @@ def q_radix_median(spark, sf):
     items = v.table(spark, sf, "lineitem").select(
         F.concat("l_returnflag", "l_linestatus").alias("pv"), F.col("l_extendedprice").alias("value")
     )
-    return _rounded(median.radix_median(items), "median")
+    return _rounded(median.radix_median(items, small_rest=50), "median")
 
 
 def q_statistics_window(spark, sf):
     finite = _finite(v.v_samples(spark, sf))
-    from chronolode.operators.buckets import pack_buckets
-
-    out = jobs.statistics_of_window(pack_buckets(finite), BEGIN, END, pattern="^BPMS_")
+    store = scratch(spark, "store")
+    save_buckets(pack_buckets(finite), store, "overwrite")
+    out = jobs.statistics_of_window(spark.read.parquet(store), BEGIN, END, pattern="^BPMS_", max_span_days=1)
     return _rounded(out, "mean", "median", "std_dev")
 
 

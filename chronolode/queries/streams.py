@@ -81,7 +81,7 @@ QUERIES = {
         q_stream_subscribe,
         oracle(
             f"""SELECT pv, start_ns + i * period_ns AS ts_ns, value, start_ns AS received_ns FROM v_requests_long
-            WHERE start_ns > {SINCE_NS} AND CAST(split_part(pv, '_', 2) AS INT) < 200"""
+            WHERE start_ns > {SINCE_NS} AND starts_with(pv, 'PV_') AND CAST(split_part(pv, '_', 2) AS INT) < 200"""
         ),
     ),
     "stream_resume": (

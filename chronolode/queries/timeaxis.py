@@ -66,15 +66,25 @@ def q_time_axis(spark, sf):
     )
 
 
+def _checksum(array):
+    """Sum of values weighted by position, which also tells their order."""
+    weighted = F.transform(array, lambda x, i: x * (i + 1))
+    return F.round(F.aggregate(weighted, F.lit(0.0), lambda a, x: a + x), 4)
+
+
 def q_axis_slice(spark, sf):
     at = t.time_axis(F.col("dims"), F.lit(8).cast("bigint"))
-    rows = v.v_raw(spark, sf).withColumn("s", t.axis_slice(F.col("vals"), F.col("dims"), at))
-    return rows.select("path", "price", F.posexplode("s").alias("pos", "value"))
+    sliced = t.axis_slice(F.col("vals"), F.col("dims"), at)
+    return v.v_raw(spark, sf).select("path", "price", F.size(sliced).alias("n"), _checksum(sliced).alias("checksum"))
 
 
 def q_numeric_cascade(spark, sf):
-    rows = v.v_raw(spark, sf).select("path", "price", F.posexplode(t.numeric_cascade(F.col("texts"))).alias("pos", "x"))
-    return rows.select("path", "price", "pos", F.nanvl("x", F.lit(None)).alias("value"), F.isnan("x").alias("nan"))
+    numbers = t.numeric_cascade(F.col("texts"))
+    present = F.transform(numbers, lambda x: F.nanvl(x, F.lit(0.0)))
+    return v.v_raw(spark, sf).select(
+        "path", "price", F.size(numbers).alias("n"), F.size(F.filter(numbers, F.isnan)).alias("nan"),
+        _checksum(present).alias("checksum"),
+    )
 
 
 def q_validate_signal(spark, sf):
@@ -83,7 +93,11 @@ def q_validate_signal(spark, sf):
 
 
 def q_expand_clock(spark, sf):
-    return axis.expand_clock(v.v_clock_buckets(spark, sf), "pv", "request_id")
+    rows = axis.expand_clock(v.v_clock_buckets(spark, sf), "pv", "request_id", "first_ns")
+    return rows.groupBy("pv", "request_id").agg(
+        F.count("*").alias("n"), F.sum(F.col("ts_ns") - F.col("first_ns")).alias("offset_sum"),
+        F.round(F.sum(F.col("value") * (F.col("pos") + 1)), 4).alias("checksum"),
+    )
 
 
 def q_expand_timestamps(spark, sf):
@@ -128,11 +142,13 @@ def q_ts_iso(spark, sf):
 
 
 def q_ts_valid(spark, sf):
-    shifted = (F.col("event_id") - 5) * F.lit(1_000_000_000_000_000)
+    step = F.col("event_id") - 5
     return v.v_points(spark, sf).select(
-        "event_id", t.ts_valid(shifted).alias("valid"),
+        "event_id",
+        t.ts_valid(step * F.lit(1_000_000_000)).alias("low"),
+        t.ts_valid(step * F.lit(10**12) + F.lit(4_102_444_000 * 10**9)).alias("high"),
         t.ts_parts_valid(F.col("event_id"), F.col("event_id") * 500_000).alias("parts_valid"),
-    )
+    )
 
 
 def _dates(spark, sf):
@@ -270,13 +286,17 @@ QUERIES = {
     ),
     "axis_slice": (
         q_axis_slice,
-        oracle("SELECT path, price, i AS pos, quantity + i AS value FROM v_raw_long"),
+        oracle(
+            """SELECT path, price, CAST(count(*) AS INT) AS n, round(sum((quantity + i) * (i + 1)), 4) AS checksum
+            FROM v_raw_long GROUP BY lid, path, price"""
+        ),
     ),
     "numeric_cascade": (
         q_numeric_cascade,
         oracle(
-            """SELECT path, price, i AS pos, TRY_CAST(val_text AS DOUBLE) AS value,
-            TRY_CAST(val_text AS DOUBLE) IS NULL AS nan FROM v_raw_long"""
+            """SELECT path, price, 8 AS n, CAST(count(*) FILTER (x IS NULL) AS INT) AS nan,
+            round(sum(coalesce(x, 0) * (i + 1)), 4) AS checksum
+            FROM (SELECT *, TRY_CAST(val_text AS DOUBLE) AS x FROM v_raw_long) GROUP BY lid, path, price"""
         ),
     ),
     "validate_signal": (
@@ -288,7 +308,10 @@ QUERIES = {
     ),
     "expand_clock": (
         q_expand_clock,
-        oracle("SELECT pv, request_id, i AS pos, start_ns + i * period_ns AS ts_ns, value FROM v_requests_long"),
+        oracle(
+            """SELECT pv, request_id, count(*) AS n, CAST(sum(i * period_ns) AS BIGINT) AS offset_sum,
+            round(sum(value * (i + 1)), 4) AS checksum FROM v_requests_long GROUP BY pv, request_id"""
+        ),
     ),
     "expand_timestamps": (
         q_expand_timestamps,
@@ -332,7 +355,7 @@ QUERIES = {
     "ts_valid": (
         q_ts_valid,
         oracle(
-            """SELECT event_id, event_id > 5 AND (event_id - 5) * 1000000 < 4102444800 AS valid,
+            """SELECT event_id, event_id > 5 AS low, 4102444000 + (event_id - 5) * 1000 < 4102444800 AS high,
             event_id > 0 AND event_id * 500000 < 1000000000 AS parts_valid FROM v_points"""
         ),
     ),

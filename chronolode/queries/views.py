@@ -1,8 +1,8 @@
 """Input views over the given tables, once as DataFrames and once as SQL.
 
 Scalar expressions are written once and serve both engines; ``US(x)`` stands
-for microseconds since the epoch. Packed arrays are built inside rows or by
-grouping the columns of one request, and the SQL side keeps them in long form.
+for microseconds since the epoch. Packed arrays are built inside their row, and
+the SQL side keeps them in long form.
 """
 
 import re
@@ -93,6 +93,19 @@ RAW = {
     "quantity": "l_quantity",
 }
 
+REQUESTS = {
+    "request_id": "'req-' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING)",
+    "provider_id": """CASE WHEN l_orderkey % 29 = 0 THEN '' WHEN l_partkey % 10 = 3 THEN 'gone-' || CAST(l_suppkey AS STRING)
+        ELSE 'prov-' || CAST(l_suppkey AS STRING) END""",
+    "stream_id": "'stream-' || CAST(l_orderkey % 40 AS STRING)",
+    "suffix": "CAST(l_partkey AS STRING) || '_' || CAST(l_linenumber AS STRING)",
+    "declared": "CAST(CASE WHEN l_orderkey % 13 = 0 THEN 5 ELSE 4 END AS BIGINT)",
+    "start_ns": "US(l_shipdate) * 1000 + l_orderkey",
+    "period_ns": "CAST(8257539 AS BIGINT)",
+    "price": "l_extendedprice",
+    "quantity": "l_quantity",
+}
+
 PROVIDERS = {
     "provider_id": "'prov-' || CAST(s_suppkey AS STRING)",
     "name": "s_name",
@@ -202,45 +215,22 @@ def v_raw(spark, sf):
 
 
 def v_requests(spark, sf):
-    """Ingest requests: one per order, one column of four values per line item."""
-    orders = table(spark, sf, "orders").selectExpr(
-        "o_orderkey",
-        "'req-' || CAST(o_orderkey AS STRING) AS request_id",
-        "CASE WHEN o_orderkey % 29 = 0 THEN '' ELSE 'prov-' || CAST(o_custkey % 120 AS STRING) END AS provider_id",
-        "'stream-' || CAST(o_orderkey % 40 AS STRING) AS stream_id",
-        "CAST(CASE WHEN o_orderkey % 13 = 0 THEN 5 ELSE 4 END AS BIGINT) AS declared",
-        _spark("US(o_orderdate) * 1000 + o_orderkey") + " AS start_ns",
-    )
-    columns = (
-        table(spark, sf, "lineitem")
-        .selectExpr(
-            "l_orderkey AS o_orderkey",
-            """struct(l_linenumber AS no, 'PV_' || CAST(l_partkey AS STRING) || '_' || CAST(l_linenumber AS STRING)
-                AS name, transform(sequence(0, 3), i -> l_extendedprice + i) AS vals) AS c""",
-        )
-        .groupBy("o_orderkey")
-        .agg(F.array_sort(F.collect_list("c")).alias("cs"))
-    )
-    return orders.join(columns, "o_orderkey").select(
+    """Ingest requests: one per line item with two columns of four values, built inside the row."""
+    steps = "sequence(0, 3)"
+    rows = _select(table(spark, sf, "lineitem"), REQUESTS)
+    return rows.selectExpr(
         "request_id",
         "provider_id",
         "stream_id",
-        F.array(F.lit("order")).alias("tags"),
-        F.create_map(F.lit("stream"), F.col("stream_id")).alias("attributes"),
-        F.struct(
-            F.concat(F.lit("run "), F.col("stream_id")).alias("description"),
-            F.col("start_ns").alias("start_ns"),
-            (F.col("start_ns") + 3 * 8257539).alias("stop_ns"),
-        ).alias("event"),
-        F.struct(
-            F.lit(CLOCK).alias("kind"),
-            F.col("start_ns").alias("start_ns"),
-            F.lit(8257539).cast("bigint").alias("period_ns"),
-            F.col("declared").alias("count"),
-            F.lit(None).cast("array<bigint>").alias("ts_ns"),
-        ).alias("ts"),
-        F.transform("cs", lambda c: F.struct(c["name"].alias("name"), c["vals"].alias("vals"))).alias("columns"),
-        F.col("start_ns").alias("received_ns"),
+        "array('order') AS tags",
+        "map('stream', stream_id) AS attributes",
+        """named_struct('description', 'run ' || stream_id, 'start_ns', start_ns,
+            'stop_ns', start_ns + 3 * period_ns) AS event""",
+        f"""named_struct('kind', '{CLOCK}', 'start_ns', start_ns, 'period_ns', period_ns, 'count', declared,
+            'ts_ns', CAST(NULL AS ARRAY<BIGINT>)) AS ts""",
+        f"""array(named_struct('name', 'PV_' || suffix, 'vals', transform({steps}, i -> price + i)),
+            named_struct('name', 'QT_' || suffix, 'vals', transform({steps}, i -> quantity + i))) AS columns""",
+        "start_ns AS received_ns",
     )
 
 
@@ -344,21 +334,15 @@ SQL = {
             + CASE WHEN file_no % 5 = 0 AND t.i = 3 THEN 5000 ELSE 0 END END AS nano,
         CASE WHEN file_no % 11 = 0 AND t.i = 2 THEN 'n/a' ELSE CAST(quantity + t.i AS VARCHAR) END AS val_text
         FROM v_raw CROSS JOIN (VALUES (0),(1),(2),(3),(4),(5),(6),(7)) AS t(i)""",
-    "v_requests_long": """SELECT 'req-' || CAST(o.o_orderkey AS VARCHAR) AS request_id,
-        CASE WHEN o.o_orderkey % 29 = 0 THEN '' ELSE 'prov-' || CAST(o.o_custkey % 120 AS VARCHAR) END AS provider_id,
-        'stream-' || CAST(o.o_orderkey % 40 AS VARCHAR) AS stream_id,
-        'PV_' || CAST(l.l_partkey AS VARCHAR) || '_' || CAST(l.l_linenumber AS VARCHAR) AS pv,
-        l.lid AS lid, t.i AS i, CASE WHEN o.o_orderkey % 13 = 0 THEN 5 ELSE 4 END AS declared,
-        epoch_us(o.o_orderdate) * 1000 + o.o_orderkey AS start_ns, CAST(8257539 AS BIGINT) AS period_ns,
-        l.l_extendedprice + t.i AS value
-        FROM orders o JOIN (SELECT row_number() OVER () AS lid, * FROM lineitem) l ON l.l_orderkey = o.o_orderkey
+    "v_requests": f"SELECT row_number() OVER () AS lid, 2 AS n_columns, * FROM ({_sql(REQUESTS, 'lineitem')})",
+    "v_requests_long": """SELECT r.*, c.prefix || suffix AS pv, t.i AS i,
+        CASE c.prefix WHEN 'PV_' THEN price + t.i ELSE quantity + t.i END AS value
+        FROM v_requests r CROSS JOIN (VALUES ('PV_'), ('QT_')) AS c(prefix)
         CROSS JOIN (VALUES (0),(1),(2),(3)) AS t(i)""",
-    "v_requests": """SELECT request_id, provider_id, stream_id, declared, start_ns,
-        CAST(count(DISTINCT lid) AS BIGINT) AS n_columns FROM v_requests_long GROUP BY ALL""",
     "v_clock_buckets": """SELECT pv || '-' || CAST(start_ns // 1000000000 AS VARCHAR) || '-'
             || CAST(start_ns % 1000000000 AS VARCHAR) AS bucket_id, lid, pv, provider_id, request_id,
-        start_ns AS first_ns, start_ns + period_ns * (declared - 1) AS last_ns, CAST(declared AS BIGINT) AS sample_count,
-        period_ns, CAST(list_sum(list(value)) AS DOUBLE) AS value_sum
+        start_ns AS first_ns, start_ns + period_ns * (declared - 1) AS last_ns, declared AS sample_count,
+        period_ns, sum(value) AS value_sum
         FROM v_requests_long GROUP BY lid, pv, provider_id, request_id, start_ns, period_ns, declared""",
     "v_providers": _sql(PROVIDERS, "supplier JOIN nation ON n_nationkey = s_nationkey"),
     "v_status": _sql(STATUS, "orders"),
@@ -384,7 +368,7 @@ SQL = {
 
 _NEEDS = {
     "v_raw_long": ["v_raw"],
-    "v_requests": ["v_requests_long"],
+    "v_requests_long": ["v_requests"],
     "v_clock_buckets": ["v_requests_long"],
     "v_user_pvs": ["v_samples"],
     "v_bucket_rows": ["v_samples"],

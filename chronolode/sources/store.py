@@ -18,13 +18,23 @@ def clustered(buckets: DataFrame, partitions: int | None = None) -> DataFrame:
     return ranged.sortWithinPartitions(*keys)
 
 
-def save_buckets(buckets: DataFrame, path: str, mode: str = "append", partitions: int | None = None) -> None:
-    clustered(buckets, partitions).write.mode(mode).partitionBy("day").parquet(path)
-
-
-def write_buckets(requests: DataFrame, path: str, mode: str = "append", partitions: int | None = None) -> DataFrame:
+def save_buckets(
+    buckets: DataFrame, path: str, mode: str = "append", partitions: int | None = None, folders: str = "day"
+) -> None:
+    """Write buckets into ``day`` folders, or ``month`` folders where a day holds little data."""
+    laid_out = clustered(buckets, partitions)
+    if folders == "month":
+        laid_out = laid_out.withColumn("month", F.trunc("day", "month"))
+    elif folders != "day":
+        raise ValueError(f"unknown folders {folders!r}")
+    laid_out.write.mode(mode).partitionBy(folders).parquet(path)
+
+
+def write_buckets(
+    requests: DataFrame, path: str, mode: str = "append", partitions: int | None = None, folders: str = "day"
+) -> DataFrame:
     """Store one bucket per column of every accepted request; returns the stored table."""
-    save_buckets(request_buckets(requests), path, mode, partitions)
+    save_buckets(request_buckets(requests), path, mode, partitions, folders)
     return read_buckets(requests.sparkSession, path)
 
 

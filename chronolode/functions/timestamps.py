@@ -194,6 +194,11 @@ def ts_combine(secs: Column, nanos: Column) -> Column:
     )
 
 
+def instant_at(secs: Column, nanos: Column, index: Column | int) -> Column:
+    """One instant of a time axis, without building the whole axis."""
+    return F.get(secs, F.lit(index)) * F.lit(NS_PER_SEC) + F.coalesce(F.get(nanos, F.lit(index)), F.lit(0))
+
+
 def period_first_pair(ts: Column) -> Column:
     """Gap of the first two samples in nanoseconds; one second below two samples."""
     return F.when(F.size(ts) < 2, F.lit(NS_PER_SEC)).otherwise(F.get(ts, 1) - F.get(ts, 0))
@@ -241,10 +246,15 @@ def time_axis(dims: Column, count: Column) -> Column:
 
 def axis_slice(vals: Column, dims: Column, axis: Column) -> Column:
     """Vector along ``axis`` at offset 0 of the others, from row-major values."""
+    n = F.get(dims, axis)
     after = F.slice(dims, axis + 2, F.size(dims))
     stride = F.aggregate(after, F.lit(1).cast("bigint"), lambda acc, d: acc * d)
-    steps = F.sequence(F.lit(0).cast("bigint"), F.get(dims, axis) - 1)
-    return F.transform(steps, lambda i: F.get(vals, (i * stride).cast("int")))
+    # positions are laid out once; inside the lambda nothing but the lookup is left
+    positions = F.sequence(F.lit(0).cast("bigint"), (n - 1) * stride, stride)
+    picked = F.transform(positions, lambda i: F.get(vals, i.cast("int")))
+    return F.when((n < 1) | (stride < 1), F.slice(vals, 1, 0)).when(stride == 1, F.slice(vals, 1, n.cast("int"))).otherwise(
+        picked
+    )
 
 
 def numeric_cascade(raw: Column) -> Column:

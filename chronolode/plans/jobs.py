@@ -4,12 +4,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronolode.functions.archive import mask_invalid
-from chronolode.functions.timestamps import axis_slice, guard_period, period_first_pair, time_axis, ts_combine
+from chronolode.functions.timestamps import axis_slice, guard_period, instant_at, time_axis
 from chronolode.operators import files
 from chronolode.operators.archive import archive_attributes
 from chronolode.operators.buckets import query_buckets, query_samples
 from chronolode.operators.stats import pv_statistics
-from chronolode.schema import CLOCK, LIST
+from chronolode.schema import CLOCK, LIST, NS_PER_SEC
 from chronolode.sources.archive_json import archive_meta, parse_answers
 
 
@@ -30,17 +30,19 @@ def statistics_of_window(
 def import_requests(raw: DataFrame, provider_id: str, received_ns: int, manifest: DataFrame | None = None) -> DataFrame:
     """Decoded signal files as ingest requests, one per signal; inadmissible files and signals drop out.
 
-    Tests on file level come first, so that arrays of refused files are never touched.
+    All tests use sizes and dimensions, so that arrays of refused signals are
+    never touched and those of accepted ones are built once.
     """
     admitted = files.file_admission(raw).where("admitted")
     if manifest is not None:
         admitted = files.resume_filter(admitted, manifest)
-    signals = files.signal_catalog(admitted).withColumn("__ts", ts_combine(F.col("secs"), F.col("nanos")))
-    signals = files.ts_bounds(signals, F.size("__ts"))
-    axis = time_axis(F.col("dims"), F.size("__ts").cast("bigint"))
-    signals = signals.withColumn("__vals", axis_slice(F.col("vals"), F.col("dims"), axis))
-    signals = files.validate_signal(signals, F.col("__vals"), F.size("__ts")).where("ok")
-    start = F.get("__ts", 0)
+    secs, nanos, dims = F.col("secs"), F.col("nanos"), F.col("dims")
+    count = F.size(secs)
+    axis = time_axis(dims, count.cast("bigint"))
+    signals = files.signal_catalog(admitted).where(secs.isNotNull() & (nanos.isNull() | (F.size(nanos) == count)))
+    signals = files.ts_bounds(signals, count).where(F.get(dims, axis) == count)
+    start, last = instant_at(secs, nanos, 0), instant_at(secs, nanos, count - 1)
+    period = F.when(count < 2, F.lit(NS_PER_SEC)).otherwise(instant_at(secs, nanos, 1) - start)
     return signals.select(
         F.sha2(F.concat_ws("\x1f", "path", "signal_name"), 256).alias("request_id"),
         F.lit(provider_id).alias("provider_id"),
@@ -50,16 +52,16 @@ def import_requests(raw: DataFrame, provider_id: str, received_ns: int, manifest
         F.struct(
             F.concat(F.lit("H5: "), F.col("signal_name")).alias("description"),
             start.alias("start_ns"),
-            F.element_at("__ts", -1).alias("stop_ns"),
+            last.alias("stop_ns"),
         ).alias("event"),
         F.struct(
             F.lit(CLOCK).alias("kind"),
             start.alias("start_ns"),
-            guard_period(period_first_pair(F.col("__ts"))).alias("period_ns"),
-            F.size("__ts").cast("bigint").alias("count"),
+            guard_period(period).alias("period_ns"),
+            count.cast("bigint").alias("count"),
             F.lit(None).cast("array<bigint>").alias("ts_ns"),
         ).alias("ts"),
-        F.array(F.struct(F.col("signal_name").alias("name"), F.col("__vals").alias("vals"))).alias("columns"),
+        F.array(F.struct(F.col("signal_name").alias("name"), axis_slice(F.col("vals"), dims, axis).alias("vals"))).alias("columns"),
         F.lit(received_ns).cast("bigint").alias("received_ns"),
     )
 

@@ -69,7 +69,7 @@ QUERIES = {
             FROM v_requests_long GROUP BY lid, pv, start_ns, request_id"""
         ),
     ),
-    "column_size": (q_column_size, oracle("SELECT bucket_id, sample_count AS n FROM v_buckets")),
+    "column_size": (q_column_size, oracle("SELECT bucket_id, CAST(sample_count AS INT) AS n FROM v_buckets")),
     "calculation_frames": (
         q_calculation_frames,
         oracle(

@@ -188,7 +188,7 @@ QUERIES = {
             g AS (SELECT pv, min(first_ns) AS first_ns, max(last_ns) AS last_ns, count(*) AS num_buckets,
               CAST(sum(sample_count) AS BIGINT) AS total_samples FROM v_buckets GROUP BY pv)
             SELECT g.pv, bucket_id AS last_bucket_id, 'DOUBLE' AS last_data_type, 'LIST' AS last_ts_kind,
-            sample_count AS last_bucket_sample_count, 0 AS last_period_ns, g.first_ns, g.last_ns, num_buckets,
+            sample_count AS last_bucket_sample_count, 0::BIGINT AS last_period_ns, g.first_ns, g.last_ns, num_buckets,
             total_samples FROM g JOIN l ON l.pv = g.pv AND rn = 1"""
         ),
     ),

@@ -10,8 +10,8 @@ from chronolode.queries.views import oracle
 NOW_NS = 900_000_000_000_000_000
 
 
-def _axis(spark, sf):
-    raw = v.v_raw(spark, sf)
+def _axis(spark, sf, *arrays):
+    raw = v.v_raw(spark, sf, "secs", "nanos", *arrays)
     return raw.withColumn("ts", t.ts_combine(F.col("secs"), F.col("nanos")))
 
 
@@ -35,7 +35,7 @@ def q_period_first_pair(spark, sf):
 
 def q_period_whole_sec(spark, sf):
     every = F.filter("secs", lambda _, i: i % 4 == 0)  # one sample per second
-    return v.v_raw(spark, sf).select(
+    return v.v_raw(spark, sf, "secs").select(
         "path", "price",
         t.period_whole_sec(F.col("secs"), guard=False).alias("unguarded"),
         t.period_whole_sec(F.col("secs")).alias("guarded"),
@@ -60,7 +60,7 @@ def q_regular_gaps(spark, sf):
 
 
 def q_time_axis(spark, sf):
-    return v.v_raw(spark, sf).select(
+    return v.v_raw(spark, sf, "dims").select(
         "path", "price", t.time_axis(F.col("dims"), F.lit(8).cast("bigint")).alias("axis"),
         t.time_axis(F.col("dims"), F.lit(5).cast("bigint")).alias("fallback_axis"),
     )
@@ -75,20 +75,20 @@ def _checksum(array):
 def q_axis_slice(spark, sf):
     at = t.time_axis(F.col("dims"), F.lit(8).cast("bigint"))
     sliced = t.axis_slice(F.col("vals"), F.col("dims"), at)
-    return v.v_raw(spark, sf).select("path", "price", F.size(sliced).alias("n"), _checksum(sliced).alias("checksum"))
+    return v.v_raw(spark, sf, "dims", "vals").select("path", "price", F.size(sliced).alias("n"), _checksum(sliced).alias("checksum"))
 
 
 def q_numeric_cascade(spark, sf):
     numbers = t.numeric_cascade(F.col("texts"))
     present = F.transform(numbers, lambda x: F.nanvl(x, F.lit(0.0)))
-    return v.v_raw(spark, sf).select(
+    return v.v_raw(spark, sf, "texts").select(
         "path", "price", F.size(numbers).alias("n"), F.size(F.filter(numbers, F.isnan)).alias("nan"),
         _checksum(present).alias("checksum"),
     )
 
 
 def q_validate_signal(spark, sf):
-    checked = files.validate_signal(_axis(spark, sf), F.col("texts"), F.size("ts"))
+    checked = files.validate_signal(_axis(spark, sf, "texts"), F.col("texts"), F.size("ts"))
     return checked.select("path", "signal_name", "price", "ok", "reason")
 
 
@@ -246,7 +246,7 @@ QUERIES = {
         q_period_whole_sec,
         oracle(
             f"""SELECT path, price, max(CASE WHEN i = 1 THEN sec END) * {_S} - max(CASE WHEN i = 0 THEN sec END) * {_S}
-            AS unguarded, {_S} AS guarded, (max(CASE WHEN i = 4 THEN sec END) - max(CASE WHEN i = 0 THEN sec END)) * {_S}
+            AS unguarded, {_S}::BIGINT AS guarded, (max(CASE WHEN i = 4 THEN sec END) - max(CASE WHEN i = 0 THEN sec END)) * {_S}
             AS per_second FROM v_raw_long GROUP BY lid, path, price"""
         ),
     ),
@@ -315,7 +315,7 @@ QUERIES = {
     ),
     "expand_timestamps": (
         q_expand_timestamps,
-        oracle("SELECT pv, pos, ts_ns, CASE WHEN isnan(value) THEN NULL ELSE value END AS value FROM v_bucket_rows"),
+        oracle("SELECT pv, CAST(pos AS INT) AS pos, ts_ns, CASE WHEN isnan(value) THEN NULL ELSE value END AS value FROM v_bucket_rows"),
     ),
     "regular_series": (
         q_regular_series,

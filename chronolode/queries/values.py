@@ -192,7 +192,7 @@ QUERIES = {
             WHEN 'BMP' THEN 'image/bmp' WHEN 'TIFF' THEN 'image/tiff' WHEN 'SVG' THEN 'image/svg+xml'
             WHEN 'EPS' THEN 'application/postscript' WHEN 'PDF' THEN 'application/pdf'
             ELSE 'application/octet-stream' END AS mime, CASE t WHEN 'JPEG' THEN '.jpg' WHEN 'XYZ' THEN '.raw'
-            ELSE '.' || lower(t) END AS ext, strlen(props) AS bytes, t <> 'XYZ' AS valid
+            ELSE '.' || lower(t) END AS ext, CAST(strlen(props) AS INT) AS bytes, t <> 'XYZ' AS valid
             FROM (SELECT event_id, props, CASE WHEN event_id % 10 = 0 THEN 'XYZ' ELSE file_type END AS t FROM v_values)"""
         ),
     ),

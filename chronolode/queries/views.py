@@ -193,25 +193,33 @@ def v_files(spark, sf):
     return _select(table(spark, sf, "orders"), FILES)
 
 
-def v_raw(spark, sf):
-    """Decoded signals: eight samples each, with odd axes and texts mixed in."""
-    steps = "sequence(0L, 7L)"
+_STEPS = "sequence(0L, 7L)"
+_RAW_ARRAYS = {
+    "secs": f"transform({_STEPS}, i -> 1700000000 + file_no * 10 + i div 4)",
+    "nanos": f"""CASE WHEN file_no % 7 = 0 THEN NULL WHEN file_no % 23 = 0 THEN sequence(0L, 6L)
+        ELSE transform({_STEPS}, i -> i % 4 * 250000000
+            + CASE WHEN file_no % 5 = 0 AND i = 3 THEN 5000 ELSE 0 END) END""",
+    "texts": f"""transform({_STEPS}, i -> CASE WHEN file_no % 11 = 0 AND i = 2 THEN 'n/a'
+        ELSE CAST(quantity + i AS STRING) END)""",
+    "dims": """CASE file_no % 5 WHEN 0 THEN array(8L) WHEN 1 THEN array(8L, 1L) WHEN 2 THEN array(1L, 8L)
+        WHEN 3 THEN array(2L, 8L) ELSE array(3L, 2L, 8L) END""",
+    "vals": f"""flatten(transform(sequence(1, CASE file_no % 5 WHEN 3 THEN 2 WHEN 4 THEN 6 ELSE 1 END),
+        r -> transform({_STEPS}, i -> quantity + i + 100 * (r - 1))))""",
+}
+
+
+def v_raw(spark, sf, *arrays):
+    """Decoded signals: eight samples each, with odd axes and texts mixed in.
+
+    ``inline`` makes the arrays asked for real columns, as a file reader would,
+    so that no expression over them repeats their making.
+    """
     rows = _select(table(spark, sf, "lineitem"), RAW)
-    return rows.selectExpr(
-        "*",
-        "10L * 1024 * (1 + file_no % 7) AS file_bytes",
-        f"transform({steps}, i -> 1700000000 + file_no * 10 + i div 4) AS secs",
-        f"""CASE WHEN file_no % 7 = 0 THEN NULL
-            WHEN file_no % 23 = 0 THEN sequence(0L, 6L)
-            ELSE transform({steps}, i -> i % 4 * 250000000
-                + CASE WHEN file_no % 5 = 0 AND i = 3 THEN 5000 ELSE 0 END) END AS nanos""",
-        f"""transform({steps}, i -> CASE WHEN file_no % 11 = 0 AND i = 2 THEN 'n/a'
-            ELSE CAST(quantity + i AS STRING) END) AS texts""",
-        """CASE file_no % 5 WHEN 0 THEN array(8L) WHEN 1 THEN array(8L, 1L) WHEN 2 THEN array(1L, 8L)
-            WHEN 3 THEN array(2L, 8L) ELSE array(3L, 2L, 8L) END AS dims""",
-        f"""flatten(transform(sequence(1, CASE file_no % 5 WHEN 3 THEN 2 WHEN 4 THEN 6 ELSE 1 END),
-            r -> transform({steps}, i -> quantity + i + 100 * (r - 1)))) AS vals""",
-    )
+    plain = ["file_no", "path", "n_objects", "10L * 1024 * (1 + file_no % 7) AS file_bytes", "signal_name", "price"]
+    if not arrays:
+        return rows.selectExpr(*plain)
+    fields = ", ".join(f"'{name}', {_RAW_ARRAYS[name]}" for name in arrays)
+    return rows.selectExpr(*plain, f"inline(array(named_struct({fields})))")
 
 
 def v_requests(spark, sf):

@@ -60,8 +60,9 @@ def archive_json(answers: DataFrame, column: str = "payload") -> DataFrame:
 
     An answer in error gives one row without a point; one without points gives no row.
     """
-    parsed = parse_answers(answers, column).where((F.col("error") != "") | (F.size("points") > 0))
-    return parsed.select("pv", "error", F.explode_outer("points").alias("p")).select("pv", "p.*", "error")
+    rows = parse_answers(answers, column).select("pv", "error", F.explode_outer("points").alias("p"))
+    # tested on the exploded row: a test on the packed points would parse every answer once more
+    return rows.where((F.col("error") != "") | F.col("p").isNotNull()).select("pv", "p.*", "error")
 
 
 def archive_meta(answers: DataFrame, column: str = "payload") -> DataFrame:

@@ -10,7 +10,13 @@ from chronolode.functions.values import attr_to_map, map_to_attr
 
 def archive_attach_meta(points: DataFrame, meta: DataFrame) -> DataFrame:
     """Points with the metadata of their own signal, matched by name."""
-    return points.join(meta, "pv", "left")
+    return points.join(one_meta(meta), "pv", "left")
+
+
+def one_meta(meta: DataFrame) -> DataFrame:
+    """One metadata row per signal, always the same one, however many answers name it."""
+    whole = F.struct("enums", "properties", "description")
+    return meta.groupBy("pv").agg(F.max_by(whole, F.to_json(whole)).alias("__m")).select("pv", "__m.*")
 
 
 def archive_attributes(

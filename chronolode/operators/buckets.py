@@ -38,8 +38,17 @@ def _split_days(keyed: DataFrame, full_days: DataFrame, max_samples: int) -> Dat
         (div(F.coalesce(F.sum("__n").over(before), F.lit(0)), max_samples) + 1).alias("__run"),
         F.ceil(F.col("__n") / F.lit(max_samples)).alias("__shares"),
     )
-    share = F.pmod(F.xxhash64("ts_ns", "value"), F.col("__shares"))
-    cut = of_full.join(runs, ["pv", "day", "__minute"]).withColumn("__share", share)
+    # equal samples travel as one counted row; its portions then take different shares
+    counted = of_full.groupBy("pv", "day", "__minute", "ts_ns", "value").agg(F.count("*").alias("__copies"))
+    portions = F.sequence(F.lit(0).cast("bigint"), div(F.col("__copies") - 1, max_samples))
+    portioned = counted.withColumn("__k", F.explode(portions))
+    size = F.least(F.lit(max_samples).cast("bigint"), F.col("__copies") - F.col("__k") * max_samples)
+    share = F.pmod(F.pmod(F.xxhash64("ts_ns", "value"), F.col("__shares")) + F.col("__k"), F.col("__shares"))
+    cut = (
+        portioned.join(runs, ["pv", "day", "__minute"])
+        .withColumn("__share", share)
+        .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), size)))
+    )
     return usual.unionByName(cut.select(*usual.columns))
 
 
@@ -48,7 +57,7 @@ def pack_buckets(samples: DataFrame, max_samples: int = MAX_BUCKET_SAMPLES) -> D
 
     A day with more than ``max_samples`` is cut into runs of minutes, and a
     minute that is still too full into hashed shares, so no bucket grows
-    with a hot signal. Which days need this comes from a count first.
+    with a hot signal. Which days need this is counted first.
     """
     keyed = samples.select("pv", "ts_ns", "value", day_of(F.col("ts_ns")).alias("day"))
     groups = ["pv", "day"]
@@ -213,11 +222,12 @@ def column_merge(buckets: DataFrame) -> DataFrame:
     Every bucket only learns how many values come before it; the values never
     meet in one group, whatever the length of the merged column.
     """
+    hour = div(F.col("first_ns"), 3600 * NS_PER_SEC).alias("hour")
     shifted = running_offset(
-        buckets.select("pv", "day", "first_ns", "bucket_id", "vals"),
+        buckets.select("pv", hour, "first_ns", "bucket_id", "vals"),
         F.size("vals").cast("bigint"),
         "pv",
-        "day",
+        "hour",
         "first_ns",
         "bucket_id",
     )

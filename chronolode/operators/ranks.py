@@ -23,13 +23,13 @@ def with_global_rank(df: DataFrame, *order: str, name: str = "rank") -> DataFram
     Range partitions are sorted side by side and then shifted by the sizes of
     the partitions before them. A lost executor must not re-draw the ranges
     between counting and numbering, hence the checkpoint. Rows equal in all of
-    ``order`` stay together, so end the list with a key that tells rows apart.
+    ``order`` get a tie number where they are read, so that many of them still
+    spread over partitions; sorting first makes that number the same when a
+    task runs again.
     """
-    marked = (
-        df.repartitionByRange(*order).sortWithinPartitions(*order)
-        .withColumn("__id", F.monotonically_increasing_id())
-    )
-    fixed = cut_lineage(marked)
+    tied = df.sortWithinPartitions(*order).withColumn("__tie", F.monotonically_increasing_id())
+    ranged = tied.repartitionByRange(*order, "__tie").sortWithinPartitions(*order, "__tie").drop("__tie")
+    fixed = cut_lineage(ranged.withColumn("__id", F.monotonically_increasing_id()))
     part = F.shiftright("__id", _LOCAL_BITS)
     sizes = fixed.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))
     # one row per partition: this window and this broadcast are bounded by their number

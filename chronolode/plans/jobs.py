@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from chronolode.functions.archive import mask_invalid
 from chronolode.functions.timestamps import axis_slice, guard_period, instant_at, time_axis
 from chronolode.operators import files
-from chronolode.operators.archive import archive_attributes
+from chronolode.operators.archive import archive_attributes, one_meta
 from chronolode.operators.buckets import query_buckets, query_samples
 from chronolode.operators.stats import pv_statistics
 from chronolode.schema import CLOCK, LIST, NS_PER_SEC
@@ -74,7 +74,7 @@ def archive_requests(answers: DataFrame, provider_id: str, received_ns: int, col
     ordered = F.array_sort(F.transform("points", lambda p: F.struct(
         p["ts_ns"].alias("ts_ns"), mask_invalid(p["val"], p["severity"]).alias("value"))))
     packed = parse_answers(answers, column).where(F.size("points") > 0).select("pv", ordered.alias("s"))
-    meta = archive_attributes(archive_meta(answers, column)).select("pv", "attributes").dropDuplicates(["pv"])
+    meta = archive_attributes(one_meta(archive_meta(answers, column))).select("pv", "attributes")
     return packed.join(meta, "pv", "left").select(
         F.sha2(F.concat_ws("\x1f", "pv", F.get("s", 0)["ts_ns"].cast("string")), 256).alias("request_id"),
         F.lit(provider_id).alias("provider_id"),

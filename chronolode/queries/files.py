@@ -1,30 +1,19 @@
 """Files, decoded signals and archive JSON."""
 
-import tempfile
-
 from pyspark.sql import functions as F
 
-from chronolode.functions.values import attr_to_map, map_to_attr
+from chronolode.functions.values import map_to_attr
 from chronolode.operators import files
 from chronolode.operators.archive import archive_attach_meta, archive_attributes
 from chronolode.queries import views as v
 from chronolode.queries.views import oracle
+from chronolode.session import scratch
 from chronolode.sources import archive_json as archive
 from chronolode.sources.catalog import file_catalog
 from chronolode.sources.dictionaries import dim_tables
 from chronolode.sources.store import write_buckets
 
 
-def scratch(spark, name: str) -> str:
-    """A new folder for written results: in the shared checkpoint folder, else a local one."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if base is None:
-        return tempfile.mkdtemp(prefix=f"{name}-")
-    import uuid
-
-    return f"{base}/chronolode/{name}-{uuid.uuid4().hex}"
-
-
 def _pairs(column) -> F.Column:
     """Map as text ``k=v;k=v`` ordered by key."""
     return F.array_join(F.transform(map_to_attr(column), lambda p: F.concat(p["key"], F.lit("="), p["value"])), ";")

@@ -4,9 +4,9 @@ from pyspark.sql import functions as F
 
 from chronolode.operators import annotations, datasets, ingest, tables
 from chronolode.queries import views as v
-from chronolode.queries.files import scratch
 from chronolode.queries.ranges import BEGIN, END
 from chronolode.queries.views import oracle
+from chronolode.session import scratch
 from chronolode.sources.export import export_bucketed, export_csv
 
 AREAS = ("LI23", "DMPH", "LTUH", "BSY", "LI20", "UNDS")

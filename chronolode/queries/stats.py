@@ -6,9 +6,9 @@ from chronolode.operators import datasets, ingest, median, stats
 from chronolode.operators.buckets import pack_buckets
 from chronolode.plans import jobs
 from chronolode.queries import views as v
-from chronolode.queries.files import scratch
 from chronolode.queries.ranges import BEGIN, END
 from chronolode.queries.views import oracle
+from chronolode.session import scratch
 from chronolode.sources.store import save_buckets
 
 

@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from chronolode.queries import views as v
-from chronolode.queries.files import scratch
 from chronolode.queries.views import oracle
+from chronolode.session import scratch
 from chronolode.streaming import jobs
 
 SINCE_NS = 883_612_800_000_000_000  # 1998-01-01

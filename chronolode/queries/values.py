@@ -196,7 +196,13 @@ QUERIES = {
             FROM (SELECT event_id, props, CASE WHEN event_id % 10 = 0 THEN 'XYZ' ELSE file_type END AS t FROM v_values)"""
         ),
     ),
-    "json_render": (q_json_render, None),
+    "json_render": (
+        q_json_render,
+        oracle(
+            """SELECT provider_id, '{"provider_id":"' || provider_id || '","name":"' || name || '","description":'
+            || CASE WHEN name LIKE '%1' THEN '"' || description || '"' ELSE 'null' END || '}' AS json FROM v_providers"""
+        ),
+    ),
     "json_parse": (
         q_json_parse,
         oracle(

@@ -5,6 +5,7 @@ that such a session already carries.
 """
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,19 +26,28 @@ def local_session(cpus: int | str = "*", name: str = "chronolode", memory: str =
     )
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and continue from the copy.
+def shared_folder(spark: SparkSession) -> str:
+    """Folder for written intermediates, named by ``spark.checkpoint.dir``.
 
-    The folder comes from ``spark.checkpoint.dir``. Only a local master may
-    fall back to a temporary folder, since executors of a cluster share none.
+    Only a local master may fall back to a temporary folder, since executors
+    of a cluster share none.
     """
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if configured:
+        return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return tempfile.mkdtemp(prefix="spark-shared-")
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the checkpoint folder and continue from the copy."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        configured = sc.getConf().get("spark.checkpoint.dir", None)
-        if configured:
-            sc.setCheckpointDir(configured)
-        elif sc.master.startswith("local"):
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
-        else:
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that no earlier run has used."""
+    return f"{shared_folder(spark)}/chronolode/{name}-{uuid.uuid4().hex}"

@@ -122,7 +122,7 @@ def q_dim_tables(spark, sf):
 
 
 def q_write_buckets(spark, sf):
-    stored = write_buckets(v.v_requests(spark, sf), scratch(spark, "buckets"), "overwrite", folders="month")
+    stored = write_buckets(v.v_requests(spark, sf), scratch(spark, "buckets"), "overwrite", folder="month")
     return stored.select(
         "bucket_id", "provider_id", "request_id", "first_ns", "last_ns", "sample_count", "period_ns",
         F.date_format("day", "yyyy-MM-dd").alias("day"),

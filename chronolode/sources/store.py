@@ -1,4 +1,4 @@
-"""The bucket store: Parquet in day folders, clustered by signal."""
+"""The bucket store: Parquet in day folders, sorted by signal."""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -7,34 +7,44 @@ from chronolode import schema
 from chronolode.operators.buckets import request_buckets
 
 
-def clustered(buckets: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Buckets laid out for writing: near signals together, no partition too full.
+def laid_out(buckets: DataFrame, folder: str = "day", layout: str = "rebalance", partitions: int | None = None) -> DataFrame:
+    """Buckets arranged for writing.
 
-    Ranges over (day, signal, start) split a hot signal by time and give every
-    file a narrow span of signals, which its statistics then let queries skip.
+    ``rebalance`` is one pass: one partition per folder, and adaptive execution
+    cuts those that are too big and joins those that are too small. ``range``
+    looks at the data once more to find ranges of (day, signal, start); every
+    file then covers few signals, and a hot signal is split by time. Either way
+    rows are sorted by signal, so page statistics narrow what a query reads.
     """
-    keys = ["day", "pv", "first_ns"]
-    ranged = buckets.repartitionByRange(partitions, *keys) if partitions else buckets.repartitionByRange(*keys)
-    return ranged.sortWithinPartitions(*keys)
+    keys = [folder, "pv", "first_ns"]
+    if layout == "rebalance":
+        spread = buckets.hint("rebalance", folder)
+    elif layout == "range":
+        spread = buckets.repartitionByRange(*([partitions] if partitions else []), *keys)
+    else:
+        raise ValueError(f"unknown layout {layout!r}")
+    return spread.sortWithinPartitions(*keys)
 
 
 def save_buckets(
-    buckets: DataFrame, path: str, mode: str = "append", partitions: int | None = None, folders: str = "day"
+    buckets: DataFrame,
+    path: str,
+    mode: str = "append",
+    folder: str = "day",
+    layout: str = "rebalance",
+    partitions: int | None = None,
 ) -> None:
     """Write buckets into ``day`` folders, or ``month`` folders where a day holds little data."""
-    laid_out = clustered(buckets, partitions)
-    if folders == "month":
-        laid_out = laid_out.withColumn("month", F.trunc("day", "month"))
-    elif folders != "day":
-        raise ValueError(f"unknown folders {folders!r}")
-    laid_out.write.mode(mode).partitionBy(folders).parquet(path)
-
-
-def write_buckets(
-    requests: DataFrame, path: str, mode: str = "append", partitions: int | None = None, folders: str = "day"
-) -> DataFrame:
-    """Store one bucket per column of every accepted request; returns the stored table."""
-    save_buckets(request_buckets(requests), path, mode, partitions, folders)
+    if folder == "month":
+        buckets = buckets.withColumn("month", F.trunc("day", "month"))
+    elif folder != "day":
+        raise ValueError(f"unknown folder {folder!r}")
+    laid_out(buckets, folder, layout, partitions).write.mode(mode).partitionBy(folder).parquet(path)
+
+
+def write_buckets(requests: DataFrame, path: str, mode: str = "append", folder: str = "day") -> DataFrame:
+    """Store one bucket per column of every accepted request in one pass; returns the stored table."""
+    save_buckets(request_buckets(requests), path, mode, folder)
     return read_buckets(requests.sparkSession, path)
 
 
@@ -43,6 +53,6 @@ def read_buckets(spark: SparkSession, path: str) -> DataFrame:
 
 
 def compact_day(spark: SparkSession, source: str, target: str, day: str, partitions: int | None = None) -> None:
-    """Rewrite one day of a store into few clustered files of another store."""
+    """Rewrite one day of a store into clustered files of another store."""
     one = read_buckets(spark, source).where(F.col("day") == F.lit(day).cast("date"))
-    save_buckets(one, target, "append", partitions)
+    save_buckets(one, target, "append", layout="range", partitions=partitions)

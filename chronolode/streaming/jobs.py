@@ -13,6 +13,7 @@ from chronolode import schema
 from chronolode.operators.axis import expand_timestamps
 from chronolode.operators.buckets import request_buckets
 from chronolode.operators.ingest import accepted, request_status, validate_requests
+from chronolode.sources.store import laid_out
 
 
 def request_stream(
@@ -42,8 +43,7 @@ def stream_ingest(
     def ingest(batch: DataFrame, batch_id: int) -> None:
         checked = validate_requests(batch, providers)
         _replace_batch(request_status(checked), batch_id, f"{out}/status")
-        stored = request_buckets(accepted(checked)).hint("rebalance", "day").sortWithinPartitions("pv", "first_ns")
-        _replace_batch(stored, batch_id, f"{out}/buckets")
+        _replace_batch(laid_out(request_buckets(accepted(checked))), batch_id, f"{out}/buckets")
 
     writer = source.writeStream.foreachBatch(ingest).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

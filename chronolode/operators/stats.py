@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from chronolode.functions.archive import is_finite, point_valid
 from chronolode.functions.timestamps import div
+from chronolode.operators.buckets import select_pvs
 from chronolode.operators.median import radix_median
 from chronolode.operators.ranks import small_side, with_global_rank
 from chronolode.session import cut_lineage
@@ -147,8 +148,9 @@ def archive_quality(points: DataFrame, key: str = "pv", has_enums: str | None =
     )
 
 
-def pv_metadata(buckets: DataFrame) -> DataFrame:
+def pv_metadata(buckets: DataFrame, pvs: list[str] | str | None = None, pattern: str | None = None) -> DataFrame:
     """What is known per signal from its buckets; the last bucket is the one that ends last."""
+    buckets = select_pvs(buckets, pvs, pattern)
     last = F.max_by(
         F.struct("bucket_id", "data_type", "ts_kind", "sample_count", "period_ns"), F.struct("last_ns", "bucket_id")
     )
@@ -175,9 +177,7 @@ def pv_metadata(buckets: DataFrame) -> DataFrame:
 
 def pv_list(buckets: DataFrame, pattern: str = ".*") -> DataFrame:
     """Signal names that match, with the counts of the verbose listing."""
-    return pv_metadata(buckets.where(F.col("pv").rlike(pattern))).select(
-        "pv", "last_bucket_sample_count", "num_buckets"
-    )
+    return pv_metadata(buckets, pattern=pattern).select("pv", "last_bucket_sample_count", "num_buckets")
 
 
 def provider_pvs(buckets: DataFrame) -> DataFrame:

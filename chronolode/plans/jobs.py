@@ -1,14 +1,15 @@
 """End-to-end jobs: statistics of a window, directory import, archive import, dataset export."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronolode.functions.archive import mask_invalid
-from chronolode.functions.timestamps import axis_slice, guard_period, instant_at, time_axis
+from chronolode.functions.archive import is_finite, mask_invalid, point_valid
+from chronolode.functions.names import parse_file_lenient, parse_pv_split
+from chronolode.functions.timestamps import axis_slice, div, guard_period, instant_at, time_axis
 from chronolode.operators import files
 from chronolode.operators.archive import archive_attributes, one_meta
 from chronolode.operators.buckets import query_buckets, query_samples
-from chronolode.operators.stats import pv_statistics
+from chronolode.operators.stats import FILE_TAGS, pv_statistics
 from chronolode.schema import CLOCK, LIST, NS_PER_SEC
 from chronolode.sources.archive_json import archive_meta, parse_answers
 
@@ -27,6 +28,22 @@ def statistics_of_window(
     return pv_statistics(query_samples(buckets, *window), sizes=sizes)
 
 
+def _as_columns(df: DataFrame, **made: Column) -> DataFrame:
+    """Add columns that are computed once, however often later expressions use them.
+
+    ``inline`` keeps the optimizer from copying their expressions into every use.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in made.items()]))))
+
+
+def _text(value: Column) -> Column:
+    return value.cast("string")
+
+
+def _attributes(pairs: dict[str, Column]) -> Column:
+    return F.map_from_arrays(F.array(*map(F.lit, pairs)), F.array(*pairs.values()))
+
+
 def import_requests(raw: DataFrame, provider_id: str, received_ns: int, manifest: DataFrame | None = None) -> DataFrame:
     """Decoded signal files as ingest requests, one per signal; inadmissible files and signals drop out.
 
@@ -43,12 +60,41 @@ def import_requests(raw: DataFrame, provider_id: str, received_ns: int, manifest
     signals = files.ts_bounds(signals, count).where(F.get(dims, axis) == count)
     start, last = instant_at(secs, nanos, 0), instant_at(secs, nanos, count - 1)
     period = F.when(count < 2, F.lit(NS_PER_SEC)).otherwise(instant_at(secs, nanos, 1) - start)
+    signals = _as_columns(signals, __vals=axis_slice(F.col("vals"), dims, axis))
+    signals = _as_columns(
+        signals,
+        __nan=F.size(F.filter("__vals", F.isnan)),
+        __valid=F.size(F.filter("__vals", is_finite)),
+        __n=F.size("__vals"),
+        __file=parse_file_lenient(F.col("path")),
+        __pv=parse_pv_split(F.col("signal_name")),
+    )
+    nan, valid, n = F.col("__nan"), F.col("__valid"), F.col("__n")
+    inf = n - nan - valid
+    always = {
+        "pv_name": F.col("signal_name"),
+        "source_file": F.col("path"),
+        "sample_count": _text(n),
+        "beam_line": F.col("__file.beam_line"),
+        "acquisition_date": F.col("__file.date"),
+        "acquisition_time": F.col("__file.time_id"),
+        "valid_samples": _text(valid),
+        "nan_samples": _text(nan),
+        "inf_samples": _text(inf),
+        "data_quality_ratio": F.format_string("%.6f", valid / n),
+    }
+    named = {k: F.col(f"__pv.{k}") for k in ("device_type", "device_area", "device_location", "measurement_type")}
+    quality = [
+        F.when(nan > 0, F.lit("contains_nan")),
+        F.when(inf > 0, F.lit("contains_inf")),
+        F.when(valid == n, F.lit("all_valid")),
+    ]
     return signals.select(
         F.sha2(F.concat_ws("\x1f", "path", "signal_name"), 256).alias("request_id"),
         F.lit(provider_id).alias("provider_id"),
         F.col("path").alias("stream_id"),
-        F.array(*[F.lit(t) for t in ("h5_data", "accelerator_data", "production")]).alias("tags"),
-        F.create_map(F.lit("pv_name"), F.col("signal_name"), F.lit("source_file"), F.col("path")).alias("attributes"),
+        F.array_compact(F.array(*map(F.lit, FILE_TAGS), *quality)).alias("tags"),
+        F.when(F.col("__pv.valid"), _attributes(always | named)).otherwise(_attributes(always)).alias("attributes"),
         F.struct(
             F.concat(F.lit("H5: "), F.col("signal_name")).alias("description"),
             start.alias("start_ns"),
@@ -61,38 +107,78 @@ def import_requests(raw: DataFrame, provider_id: str, received_ns: int, manifest
             count.cast("bigint").alias("count"),
             F.lit(None).cast("array<bigint>").alias("ts_ns"),
         ).alias("ts"),
-        F.array(F.struct(F.col("signal_name").alias("name"), axis_slice(F.col("vals"), dims, axis).alias("vals"))).alias("columns"),
+        F.array(F.struct(F.col("signal_name").alias("name"), F.col("__vals").alias("vals"))).alias("columns"),
         F.lit(received_ns).cast("bigint").alias("received_ns"),
     )
 
 
-def archive_requests(answers: DataFrame, provider_id: str, received_ns: int, column: str = "payload") -> DataFrame:
-    """Archiver answers as ingest requests: points masked, metadata as attributes.
+def archive_requests(
+    answers: DataFrame, provider_id: str, received_ns: int, column: str = "payload", clock: bool = True
+) -> DataFrame:
+    """Archiver answers as ingest requests: points masked, metadata and quality as attributes and tags.
 
-    An answer is one row and stays one: its points are packed where they were read.
+    An answer is one row and stays one: its points are used where they were
+    read, in the order given. With ``clock`` the time axis is the clock of the
+    mean period, else the list of all instants.
     """
-    ordered = F.array_sort(F.transform("points", lambda p: F.struct(
-        p["ts_ns"].alias("ts_ns"), mask_invalid(p["val"], p["severity"]).alias("value"))))
-    packed = parse_answers(answers, column).where(F.size("points") > 0).select("pv", ordered.alias("s"))
-    meta = archive_attributes(one_meta(archive_meta(answers, column))).select("pv", "attributes")
+    points = F.col("__points")
+    packed = _as_columns(parse_answers(answers, column).select("pv", "error", F.col("points").alias("__p")), __points=F.col("__p"))
+    packed = packed.where((F.col("error") == "") & (F.size(points) > 0))
+    packed = _as_columns(
+        packed,
+        __n=F.size(points),
+        __valid=F.size(F.filter(points, lambda p: point_valid(p["val"], p["severity"]))),
+        __alarms=F.size(F.filter(points, lambda p: p["severity"] > 0)),
+        __first=F.get(points, 0)["ts_ns"],
+        __last=F.element_at(points, -1)["ts_ns"],
+    )
+    meta = archive_attributes(one_meta(archive_meta(answers, column))).select(
+        "pv", "attributes", (F.size("enums") > 0).alias("__enums")
+    )
+    n, first, last = F.col("__n"), F.col("__first"), F.col("__last")
+    pct = F.col("__valid") / n * 100
+    figures = {
+        "data_valid_count": _text(F.col("__valid")),
+        "data_total_count": _text(n),
+        "data_valid_percentage": F.format_string("%.6f", pct),
+        "data_alarm_count": _text(F.col("__alarms")),
+        "has_enums": _text(F.col("__enums")),
+    }
+    tags = [
+        F.lit("archiver_data"),
+        F.lit("epics_data"),
+        F.concat(F.lit("device_"), F.col("attributes")["device"]),
+        F.concat(F.lit("project_"), F.col("attributes")["project"]),
+        F.when(F.col("__enums"), F.lit("has_enums")),
+        F.when(F.col("__alarms") > 0, F.lit("has_alarms")),
+        F.when(pct > 90, F.lit("high_quality_data")),
+        F.when(pct < 10, F.lit("low_quality_data")),
+    ]
+    period = F.when(n > 1, div(last - first, F.greatest(n - 1, F.lit(1)))).otherwise(F.lit(NS_PER_SEC))
+    instants = F.transform(points, lambda p: p["ts_ns"])
     return packed.join(meta, "pv", "left").select(
-        F.sha2(F.concat_ws("\x1f", "pv", F.get("s", 0)["ts_ns"].cast("string")), 256).alias("request_id"),
+        F.sha2(F.concat_ws("\x1f", F.col("pv"), _text(first)), 256).alias("request_id"),
         F.lit(provider_id).alias("provider_id"),
         F.lit("archive").alias("stream_id"),
-        F.array(F.lit("archiver_data"), F.lit("epics_data")).alias("tags"),
-        "attributes",
+        F.array_compact(F.array(*tags)).alias("tags"),
+        F.map_concat("attributes", _attributes(figures)).alias("attributes"),
         F.struct(
             F.concat(F.lit("EPICS Archiver Data: "), F.col("pv")).alias("description"),
-            F.get("s", 0)["ts_ns"].alias("start_ns"),
-            F.element_at("s", -1)["ts_ns"].alias("stop_ns"),
+            first.alias("start_ns"),
+            last.alias("stop_ns"),
         ).alias("event"),
         F.struct(
-            F.lit(LIST).alias("kind"),
-            F.get("s", 0)["ts_ns"].alias("start_ns"),
-            F.lit(0).cast("bigint").alias("period_ns"),
-            F.size("s").cast("bigint").alias("count"),
-            F.col("s.ts_ns").alias("ts_ns"),
+            F.lit(CLOCK if clock else LIST).alias("kind"),
+            first.alias("start_ns"),
+            (period if clock else F.lit(0).cast("bigint")).alias("period_ns"),
+            n.cast("bigint").alias("count"),
+            (F.lit(None).cast("array<bigint>") if clock else instants).alias("ts_ns"),
         ).alias("ts"),
-        F.array(F.struct(F.col("pv").alias("name"), F.col("s.value").alias("vals"))).alias("columns"),
+        F.array(
+            F.struct(
+                F.col("pv").alias("name"),
+                F.transform(points, lambda p: mask_invalid(p["val"], p["severity"])).alias("vals"),
+            )
+        ).alias("columns"),
         F.lit(received_ns).cast("bigint").alias("received_ns"),
     )

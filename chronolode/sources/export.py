@@ -29,3 +29,12 @@ def export_bucketed(datasets: DataFrame, buckets: DataFrame, id, path: str) -> s
         "overwrite"
     ).parquet(path)
     return path
+
+
+def export_data(datasets: DataFrame, samples: DataFrame, buckets: DataFrame, id, fmt: str | None, path: str) -> tuple[str, str]:
+    """``(path, "")``, or ``("", reason)`` when the format or the dataset is not known."""
+    if fmt not in ("csv", "bucketed"):
+        return "", f"REJECTED: export format {fmt!r} is not available"
+    if _one(datasets, id).isEmpty():
+        return "", f"REJECTED: no dataset {id!r}"
+    return (export_csv(datasets, samples, id, path) if fmt == "csv" else export_bucketed(datasets, buckets, id, path)), ""

@@ -46,6 +46,9 @@ def test_import(spark):
     assert klys.event.stop_ns == 13 * S + 4
     assert got["QUAD_LI23_1_BACT"]["columns"][0].vals == [0.0, 1.0, 2.0, 3.0]
     assert got["BPMS_LI23_3_X"].ts.start_ns == 10 * S
+    assert klys.tags == ["h5_data", "accelerator_data", "production", "all_valid"]
+    assert klys.attributes["data_quality_ratio"] == "1.000000" and klys.attributes["device_area"] == "LI23"
+    assert klys.attributes["beam_line"] == "a" and klys.attributes["acquisition_time"] == "unknown_time"
     providers = spark.createDataFrame([("prov-1",)], "provider_id string")
     checked = ingest.validate_requests(requests, providers)
     assert {r.status for r in checked.collect()} == {"ACCEPTED"}
@@ -59,7 +62,12 @@ def test_archive_import(spark):
     one = next(r for r in rows if r["columns"][0].name.endswith(":1:TEMP"))
     vals = one["columns"][0].vals
     assert vals[0] == 1.0 and vals[1] != vals[1] and vals[2] != vals[2]  # bad value, then invalid alarm
-    assert one.attributes["epics_egu"] == "C"
+    assert one.attributes["epics_egu"] == "C" and one.attributes["data_valid_percentage"] == "33.333333"
+    assert one.attributes["data_alarm_count"] == "2" and one.attributes["has_enums"] == "false"
+    assert one.tags == ["archiver_data", "epics_data", "device_IOC", "project_epics_archive", "has_alarms"]
+    assert tuple(one.ts)[:4] == ("CLOCK", 1_700_000_000 * S + 5, 121 * S // 2, 3)
+    listed = jobs.archive_requests(v.v_archive_json(spark, SF), "prov-1", 7, clock=False).first().ts
+    assert (listed.kind, listed.period_ns, len(listed.ts_ns)) == ("LIST", 0, 3)
 
 
 @pytest.mark.parametrize("payload", ["[]", "{}", "nonsense", '{"meta": {}}', ""])
@@ -91,6 +99,17 @@ def test_store_round_trip_and_compaction(spark, tmp_path):
     assert store.read_buckets(spark, str(tmp_path / "c")).count() == stored.where(F.col("day") == F.lit(day)).count()
 
 
+def test_export_formats(spark, tmp_path):
+    from chronolode.sources.export import export_data
+
+    sets, samples = v.v_datasets(spark, SF), v.v_samples(spark, SF)
+    packed = buckets.pack_buckets(samples)
+    assert export_data(sets, samples, packed, 9, None, str(tmp_path / "n"))[1].startswith("REJECTED")
+    assert export_data(sets, samples, packed, -1, "csv", str(tmp_path / "n"))[1].startswith("REJECTED")
+    path, fault = export_data(sets, samples, packed, 9, "bucketed", str(tmp_path / "b"))
+    assert fault == "" and spark.read.parquet(path).count() > 0
+
+
 def test_file_listing(spark, tmp_path):
     for name in ("a.h5", "b.txt", "2024/07/16/c.h5", "2024/07/d.h5"):
         target = tmp_path / name

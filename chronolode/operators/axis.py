@@ -7,6 +7,14 @@ from chronolode.functions.timestamps import clock_duration_ns, clock_frequency_h
 from chronolode.schema import CLOCK, LIST
 
 
+def computed(df: DataFrame, **made: Column) -> DataFrame:
+    """Add columns that are computed once, however often later expressions use them.
+
+    ``inline`` keeps the optimizer from copying their expressions into every use.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in made.items()]))))
+
+
 def expand_clock(buckets: DataFrame, *keep: str) -> DataFrame:
     """Samples of clock buckets: ``keep..., pos, ts_ns, value``."""
     rows = buckets.select(*keep, "first_ns", "period_ns", F.posexplode("vals").alias("pos", "value"))

@@ -97,8 +97,9 @@ def request_buckets(requests: DataFrame) -> DataFrame:
         F.col("received_ns").alias("created_ns"),
         first.alias("first_ns"),
         last.alias("last_ns"),
-        F.posexplode("columns").alias("col_no", "c"),
-    )
+        # outer, then tested: the plain form would first build every column only to see that there is one
+        F.explode_outer("columns").alias("c"),
+    ).where(F.col("c").isNotNull())
     return rows.select(
         bucket_id(F.col("c.name"), F.col("first_ns")).alias("bucket_id"),
         F.col("c.name").alias("pv"),

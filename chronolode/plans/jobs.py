@@ -8,6 +8,7 @@ from chronolode.functions.names import parse_file_lenient, parse_pv_split
 from chronolode.functions.timestamps import axis_slice, div, guard_period, instant_at, time_axis
 from chronolode.operators import files
 from chronolode.operators.archive import archive_attributes, one_meta
+from chronolode.operators.axis import computed
 from chronolode.operators.buckets import query_buckets, query_samples
 from chronolode.operators.stats import FILE_TAGS, pv_statistics
 from chronolode.schema import CLOCK, LIST, NS_PER_SEC
@@ -28,14 +29,6 @@ def statistics_of_window(
     return pv_statistics(query_samples(buckets, *window), sizes=sizes)
 
 
-def _as_columns(df: DataFrame, **made: Column) -> DataFrame:
-    """Add columns that are computed once, however often later expressions use them.
-
-    ``inline`` keeps the optimizer from copying their expressions into every use.
-    """
-    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in made.items()]))))
-
-
 def _text(value: Column) -> Column:
     return value.cast("string")
 
@@ -55,13 +48,13 @@ def import_requests(raw: DataFrame, provider_id: str, received_ns: int, manifest
         admitted = files.resume_filter(admitted, manifest)
     secs, nanos, dims = F.col("secs"), F.col("nanos"), F.col("dims")
     count = F.size(secs)
-    axis = time_axis(dims, count.cast("bigint"))
     signals = files.signal_catalog(admitted).where(secs.isNotNull() & (nanos.isNull() | (F.size(nanos) == count)))
-    signals = files.ts_bounds(signals, count).where(F.get(dims, axis) == count)
+    signals = computed(files.ts_bounds(signals, count), __axis=time_axis(dims, count.cast("bigint")))
+    signals = signals.where(F.get(dims, F.col("__axis")) == count)
     start, last = instant_at(secs, nanos, 0), instant_at(secs, nanos, count - 1)
     period = F.when(count < 2, F.lit(NS_PER_SEC)).otherwise(instant_at(secs, nanos, 1) - start)
-    signals = _as_columns(signals, __vals=axis_slice(F.col("vals"), dims, axis))
-    signals = _as_columns(
+    signals = computed(signals, __vals=axis_slice(F.col("vals"), dims, F.col("__axis")))
+    signals = computed(
         signals,
         __nan=F.size(F.filter("__vals", F.isnan)),
         __valid=F.size(F.filter("__vals", is_finite)),
@@ -122,9 +115,9 @@ def archive_requests(
     mean period, else the list of all instants.
     """
     points = F.col("__points")
-    packed = _as_columns(parse_answers(answers, column).select("pv", "error", F.col("points").alias("__p")), __points=F.col("__p"))
+    packed = computed(parse_answers(answers, column).select("pv", "error", F.col("points").alias("__p")), __points=F.col("__p"))
     packed = packed.where((F.col("error") == "") & (F.size(points) > 0))
-    packed = _as_columns(
+    packed = computed(
         packed,
         __n=F.size(points),
         __valid=F.size(F.filter(points, lambda p: point_valid(p["val"], p["severity"]))),

@@ -66,25 +66,21 @@ def q_time_axis(spark, sf):
     )
 
 
-def _checksum(array):
-    """Sum of values weighted by position, which also tells their order."""
-    weighted = F.transform(array, lambda x, i: x * (i + 1))
-    return F.round(F.aggregate(weighted, F.lit(0.0), lambda a, x: a + x), 4)
+def _elements(array, finish=lambda x: x):
+    return [finish(F.get(array, F.lit(i))).alias(f"v{i}") for i in range(8)]
 
 
 def q_axis_slice(spark, sf):
-    at = t.time_axis(F.col("dims"), F.lit(8).cast("bigint"))
-    sliced = t.axis_slice(F.col("vals"), F.col("dims"), at)
-    return v.v_raw(spark, sf, "dims", "vals").select("path", "price", F.size(sliced).alias("n"), _checksum(sliced).alias("checksum"))
+    dims = F.col("dims")
+    raw = axis.computed(v.v_raw(spark, sf, "dims", "vals"), at=t.time_axis(dims, F.lit(8).cast("bigint")))
+    sliced = axis.computed(raw, s=t.axis_slice(F.col("vals"), dims, F.col("at")))
+    return sliced.select("path", "price", F.size("s").alias("n"), *_elements(F.col("s")))
 
 
 def q_numeric_cascade(spark, sf):
-    numbers = t.numeric_cascade(F.col("texts"))
-    present = F.transform(numbers, lambda x: F.nanvl(x, F.lit(0.0)))
-    return v.v_raw(spark, sf, "texts").select(
-        "path", "price", F.size(numbers).alias("n"), F.size(F.filter(numbers, F.isnan)).alias("nan"),
-        _checksum(present).alias("checksum"),
-    )
+    raw = axis.computed(v.v_raw(spark, sf, "texts"), x=t.numeric_cascade(F.col("texts")))
+    bad = F.isnan(F.get("x", F.lit(2))).alias("bad")
+    return raw.select("path", "price", F.size("x").alias("n"), bad, *_elements(F.col("x"), lambda x: F.nanvl(x, F.lit(None))))
 
 
 def q_validate_signal(spark, sf):
@@ -212,6 +208,7 @@ def q_event_active(spark, sf):
 
 
 _S = "1000000000"
+_EIGHT = ", ".join(f"max(CASE WHEN i = {k} THEN {{x}} END) AS v{k}" for k in range(8))
 _EPOCH_OK = "o_orderkey % 17 <> 0"
 _DAY = "CAST(epoch(o_orderdate) AS BIGINT)"
 _HMS = "(o_orderkey % 24 * 3600 + 30 * 60 + 15)"
@@ -287,15 +284,14 @@ QUERIES = {
     "axis_slice": (
         q_axis_slice,
         oracle(
-            """SELECT path, price, CAST(count(*) AS INT) AS n, round(sum((quantity + i) * (i + 1)), 4) AS checksum
+            f"""SELECT path, price, CAST(count(*) AS INT) AS n, {_EIGHT.format(x="quantity + i")}
             FROM v_raw_long GROUP BY lid, path, price"""
         ),
     ),
     "numeric_cascade": (
         q_numeric_cascade,
         oracle(
-            """SELECT path, price, 8 AS n, CAST(count(*) FILTER (x IS NULL) AS INT) AS nan,
-            round(sum(coalesce(x, 0) * (i + 1)), 4) AS checksum
+            f"""SELECT path, price, 8 AS n, bool_or(i = 2 AND x IS NULL) AS bad, {_EIGHT.format(x="x")}
             FROM (SELECT *, TRY_CAST(val_text AS DOUBLE) AS x FROM v_raw_long) GROUP BY lid, path, price"""
         ),
     ),

@@ -203,8 +203,8 @@ _RAW_ARRAYS = {
         ELSE CAST(quantity + i AS STRING) END)""",
     "dims": """CASE file_no % 5 WHEN 0 THEN array(8L) WHEN 1 THEN array(8L, 1L) WHEN 2 THEN array(1L, 8L)
         WHEN 3 THEN array(2L, 8L) ELSE array(3L, 2L, 8L) END""",
-    "vals": f"""flatten(transform(sequence(1, CASE file_no % 5 WHEN 3 THEN 2 WHEN 4 THEN 6 ELSE 1 END),
-        r -> transform({_STEPS}, i -> quantity + i + 100 * (r - 1))))""",
+    "vals": """transform(sequence(0L, CASE file_no % 5 WHEN 3 THEN 15L WHEN 4 THEN 47L ELSE 7L END),
+        j -> quantity + j % 8 + 100 * (j div 8))""",
 }
 
 

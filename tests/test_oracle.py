@@ -30,3 +30,22 @@ def test_flagship(spark):
     import __spark_entry__
 
     assert __spark_entry__.entry(spark).columns[0] == "pv"
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["dataset_resolve", "dataset_buckets", "spatial_enrich", "validate_requests", "pv_statistics_hot", "radix_median", "annotation_datasets"],
+)
+def test_matches_sql_without_broadcasts(spark, con, name, monkeypatch):
+    """The way beyond the broadcast limits gives the same rows."""
+    from chronolode.operators import ranks
+
+    monkeypatch.setattr(ranks, "BROADCAST_ROWS", -1)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        assert compare(spark, con, name, QUERIES[name], ORACLES[name], SF) == ""
+    finally:
+        for key in settings:
+            spark.conf.unset(key)

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from chronolode.functions.timestamps import day_of
 from chronolode.functions.values import text_match
+from chronolode.operators.ranks import small_side
+from chronolode.session import cut_lineage
 
 # Days up to which an interval is joined day by day; longer ones join on the signal alone.
 MAX_JOIN_DAYS = 62
@@ -81,19 +83,28 @@ def dataset_resolve(datasets: DataFrame, samples: DataFrame, max_join_days: int
 
     Short intervals join on (signal, day), which spreads a hot signal over its
     days and leaves few false pairs; long ones cover most of the signal anyway
-    and join on its name. Sizes decide between broadcast and shuffle at run time.
+    and join on its name. The intervals are written and counted first, so that
+    samples are read once unless both kinds occur, and a side is broadcast
+    only by its count.
     """
-    intervals = block_intervals(datasets).drop("prev_end_ns")
-    inside = (F.col("ts_ns") >= F.col("begin_ns")) & (F.col("ts_ns") < F.col("end_ns"))
-    days = F.sequence(day_of(F.col("begin_ns")), day_of(F.col("end_ns") - 1))
-    short = intervals.where(_span_days() <= max_join_days).withColumn("__day", F.explode(days))
-    long = intervals.where(_span_days() > max_join_days)
     columns = ["dataset_id", "pv", "ts_ns", "value"]
-    by_day = samples.select("pv", "ts_ns", "value", day_of(F.col("ts_ns")).alias("__day"))
-    return (
-        by_day.join(short, ["pv", "__day"]).where(inside).select(*columns)
-        .unionByName(samples.join(long, "pv").where(inside).select(*columns))
-    )
+    samples = samples.select(*columns[1:])
+    intervals = cut_lineage(block_intervals(datasets).drop("prev_end_ns").withColumn("__span", _span_days()))
+    is_short = F.col("__span") <= max_join_days
+    n_days, n_long = intervals.agg(
+        F.coalesce(F.sum(F.when(is_short, F.col("__span") + 1)), F.lit(0)), F.count_if(~is_short)
+    ).first()
+    inside = (F.col("ts_ns") >= F.col("begin_ns")) & (F.col("ts_ns") < F.col("end_ns"))
+    parts = []
+    if n_days or not n_long:
+        days = F.sequence(day_of(F.col("begin_ns")), day_of(F.col("end_ns") - 1))
+        short = intervals.where(is_short).drop("__span").withColumn("__day", F.explode(days))
+        by_day = samples.withColumn("__day", day_of(F.col("ts_ns")))
+        parts.append(by_day.join(small_side(short, n_days), ["pv", "__day"]).where(inside).select(*columns))
+    if n_long:
+        long = intervals.where(~is_short).drop("__span")
+        parts.append(samples.join(small_side(long, n_long), "pv").where(inside).select(*columns))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def dataset_buckets(datasets: DataFrame, buckets: DataFrame) -> DataFrame:

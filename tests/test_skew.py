@@ -117,7 +117,7 @@ def brute_resolve(blocks, rows):
     )
 
 
-@pytest.mark.parametrize("max_join_days", [62, 0])
+@pytest.mark.parametrize("max_join_days", [62, 3, 0, -1])
 def test_dataset_blocks_overlap_and_touch(spark, max_join_days):
     rows = [("hot" if i % 3 else "p1", i * DAY // 10, float(i)) for i in range(200)]
     blocks = [

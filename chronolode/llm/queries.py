@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolode.llm import chat, sharding, simhash
+from chronolode.llm import chat, lines, packing, sharding, simhash
 from chronolode.llm.common import table, text_of
 
 
@@ -16,11 +16,50 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.prefix_target_examples(given.unionByName(more)))
 
 
+def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents"))
+    placed = packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.removed_lines(table(spark, sf_dir, "documents"))
+
+
+#: Candidates share their first or last half; two lines are within one edit if they differ at one place at most, or if
+#: the longer without one code point is the shorter.
+OP9_SQL = """
+WITH l AS (
+  SELECT doc_id, unnest(range(len(a))) AS line_no, unnest(a) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents)),
+r AS (SELECT *, CAST(doc_id AS HUGEINT) * 4294967296 + line_no AS pos, length(line) AS n FROM l WHERE length(line) >= 10),
+c AS (SELECT line, n, min(pos) AS pos FROM r GROUP BY ALL),
+h AS (SELECT *, unnest(list_distinct([n // 2, (n - 1) // 2])) AS p FROM c),
+k AS (SELECT *, 'first' AS side, left(line, p) AS part FROM h UNION ALL SELECT *, 'last', right(line, p) FROM h),
+pairs AS (
+  SELECT DISTINCT a.line, a.n, b.line AS to_line, b.n AS to_n, b.pos AS to_pos
+  FROM k a JOIN k b ON a.p = b.p AND a.side = b.side AND a.part = b.part AND b.pos < a.pos AND abs(a.n - b.n) <= 1),
+sides AS (
+  SELECT line, to_pos, n = to_n AS even,
+         CASE WHEN n >= to_n THEN line ELSE to_line END AS x, CASE WHEN n >= to_n THEN to_line ELSE line END AS y
+  FROM pairs),
+near AS (
+  SELECT line, min(to_pos) AS to_pos FROM sides
+  WHERE CASE WHEN even THEN len(list_filter(range(1, length(x) + 1), i -> substr(x, i, 1) <> substr(y, i, 1))) <= 1
+             ELSE len(list_filter(range(length(x)), i -> left(x, i) || substr(x, i + 2) = y)) > 0 END
+  GROUP BY line),
+s AS (SELECT c.line, coalesce(to_pos, pos) AS seen, CASE WHEN to_pos IS NULL THEN 0 ELSE 1 END AS edits FROM c LEFT JOIN near USING (line))
+SELECT doc_id, CAST(line_no AS INT) AS line_no, CAST(seen // 4294967296 AS BIGINT) AS seen_doc_id,
+       CAST(seen % 4294967296 AS INT) AS seen_line_no, edits
+FROM r JOIN s USING (line) WHERE pos > seen
+"""
+
+
 def op10_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.external_shuffle(docs, 40).select(
@@ -36,7 +75,9 @@ def op10_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_chat_format": (op2_chat_format, None),
+    "op6_pack": (op6_pack, None),
     "op8_simhash": (op8_simhash, None),
+    "op9_line_dedup": (op9_line_dedup, OP9_SQL),
     "op10_shuffle_shards": (op10_shuffle_shards, None),
 }
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolode.llm import chat, lines, packing, sharding, simhash
+from chronolode.llm import chat, embeddings, lines, packing, sharding, simhash, toxicity
 from chronolode.llm.common import table, text_of
 
 
@@ -16,6 +16,24 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.prefix_target_examples(given.unionByName(more)))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~toxicity.held_out(F.col("doc_id")))
+    scored = toxicity.tag_documents(docs, toxicity.learn(docs, labels))
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+        F.expr("transform(toxic_spans, s -> s.start)").alias("span_starts"),
+        F.expr("transform(toxic_spans, s -> s.`end`)").alias("span_ends"),
+    )
+
+
+def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.token_pieces(table(spark, sf_dir, "documents"))
     placed = packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
@@ -75,6 +93,8 @@ def op10_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_chat_format": (op2_chat_format, None),
+    "op4_toxicity": (op4_toxicity, None),
+    "op5_near_vectors": (op5_near_vectors, None),
     "op6_pack": (op6_pack, None),
     "op8_simhash": (op8_simhash, None),
     "op9_line_dedup": (op9_line_dedup, OP9_SQL),

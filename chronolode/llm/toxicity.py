@@ -36,6 +36,7 @@ SUPPORT = 3
 COPY_CHARS = 60
 ROUNDS = 80
 CHAIN = 256
+BACKGROUND = 0.1
 CACHE_WORDS = 200_000
 PREFIXES = (3, 4, 5, 6)
 SUFFIXES = (3, 4)
@@ -192,11 +193,14 @@ class Tagger:
 
 
 def summary(chance: np.ndarray) -> tuple[float, float]:
-    """Log odds of the largest marginal and log of their sum."""
+    """Log odds of the largest marginal, and log of one more than the sum of those that are no mere background.
+
+    The background of a long text adds up to any number, so it is left out of the sum.
+    """
     if not len(chance):
-        return -20.0, -20.0
+        return -20.0, 0.0
     top = float(np.clip(chance.max(), 2e-9, 1 - 2e-9))
-    return float(np.log(top / (1 - top))), float(np.log(max(chance.sum(), 2e-9)))
+    return float(np.log(top / (1 - top))), float(np.log1p(chance[chance >= BACKGROUND].sum()))
 
 
 def score(field: Field, chance: np.ndarray) -> float:

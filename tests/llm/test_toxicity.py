@@ -40,8 +40,9 @@ def test_long_chains_do_not_overflow():
 def test_training_follows_the_labels():
     given = [(6, [(1, ["=bad"], True), (2, ["=bad", "<ba"], True), (4, ["<ba"], False)])] * 30 + [(9, [(3, ["<ba"], False)])] * 30
     field = toxicity.train(given)
-    chance, _ = marginals(np.array([[field.bias + field.weights.get("=bad", 0), field.bias, field.bias + field.weights.get("<ba", 0)]]), np.array([3]), field.change)
-    assert chance[0, 0] > 0.8 and chance[0, 1] < 0.2 and chance[0, 2] < 0.3
+    bad, ba = field.weights.get("=bad", 0), field.weights.get("<ba", 0)
+    chance, _ = marginals(field.bias + np.array([[0, bad, bad + ba, 0, ba, 0]]), np.array([6]), field.change)
+    assert (np.round(chance) == [[0, 1, 1, 0, 0, 0]]).all() and chance[0, 1:3].min() > 0.8 and chance[0, 4] < 0.2
 
 
 def test_tagger_takes_every_token_and_any_text(monkeypatch):

@@ -24,8 +24,10 @@ from chronolode.llm.common import fresh, kept, text_of
 
 LENGTH = 1024
 END_ID = 2
-CACHE_WORDS = 150_000
+CACHE_WORDS = 400_000
 LONG_WORD = 100
+#: Fixed value: how the vocabulary file writes a space.
+SPACE = "Ġ"
 RANK_ROWS = 65_536
 
 
@@ -39,7 +41,9 @@ class Encoder:
     """Token ids of texts by a byte-level BPE file, as little-endian unsigned 32-bit ids.
 
     The tokenizer never merges across a space between two other characters, so a text is cut there and ids of its words
-    are remembered. A text with any other spacing goes to the tokenizer whole.
+    are remembered: those of the last ``words`` or fewer, in two halves of which the older is given up. New words are
+    encoded many at a time; a token that begins with a space begins a word. A text with any other spacing goes to the
+    tokenizer whole.
     """
 
     def __init__(self, path: str, words: int = CACHE_WORDS):
@@ -48,22 +52,36 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer, self.words = Tokenizer.from_file(path), words
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.begins[[i for token, i in vocabulary.items() if token.startswith(SPACE)]] = True
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn(self, words: list[str]) -> None:
+        parts = [words[i : i + 64] for i in range(0, len(words), 64)]
+        for part, found in zip(parts, self.tokenizer.encode_batch_fast(["".join([f" {w}" for w in p]) for p in parts], add_special_tokens=False)):
+            ids = np.array(found.ids, "<u4")
+            starts = np.flatnonzero(self.begins[ids])
+            if len(starts) == len(part) and starts[0] == 0:
+                data, edges = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
+                self.known.update((w, data[i:j]) for w, i, j in zip(part, edges, edges[1:]))
+            else:
+                self.known.update(zip(part, self._whole([f" {w}" for w in part])))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [t.split(" ") for t in texts]
         new = set()
         for words in cut:
             new.update(words[1:])
         new.difference_update(self.known)
+        again = self.older.keys() & new
+        self.known.update((w, self.older[w]) for w in again)
         # an empty word, or white space beside the cut, is another spacing
-        new = [w for w in new if w and not w[0].isspace() and not w[-1].isspace()]
-        if len(self.known) + len(new) > self.words:
-            self.known = {}
-            new = [w for w in {w for words in cut for w in words[1:]} if w and not w[0].isspace() and not w[-1].isspace()]
-        self.known.update(zip(new, self._whole([f" {w}" for w in new])))
+        new = [w for w in new - again if w and not w[0].isspace() and not w[-1].isspace()]
+        self._learn(new)
         plain = [bool(w[0]) and not w[0][-1].isspace() for w in cut]
         firsts = self._whole([w[0] if ok else "" for w, ok in zip(cut, plain)])
         found = []
@@ -75,6 +93,8 @@ class Encoder:
         for word in new:
             if len(word) > LONG_WORD:
                 del self.known[word]
+        if 2 * len(self.known) > self.words:
+            self.known, self.older = {}, self.known
         return found
 
 

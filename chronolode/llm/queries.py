@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolode.llm import chat, embeddings, lines, packing, sharding, simhash, toxicity
+from chronolode.llm import chat, embeddings, lines, packing, pages, sharding, simhash, toxicity
 from chronolode.llm.common import table, text_of
 
 
@@ -16,6 +16,12 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.prefix_target_examples(given.unionByName(more)))
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = pages.main_text(given, pages.learn_pages(given))
+    return found.select("page_id", "url", F.col("main_text").alias("text"), F.char_length("main_text").cast("long").alias("n_chars"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where(~toxicity.held_out(F.col("doc_id")))
@@ -93,6 +99,7 @@ def op10_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_chat_format": (op2_chat_format, None),
+    "op3_main_text": (op3_main_text, None),
     "op4_toxicity": (op4_toxicity, None),
     "op5_near_vectors": (op5_near_vectors, None),
     "op6_pack": (op6_pack, None),

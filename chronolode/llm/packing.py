@@ -14,6 +14,7 @@ from __future__ import annotations
 import os
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -73,21 +74,19 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [t.split(" ") for t in texts]
-        new = set()
-        for words in cut:
-            new.update(words[1:])
-        new.difference_update(self.known)
+        firsts = [words.pop(0) for words in cut]
+        new = set(chain.from_iterable(cut)).difference(self.known)
         again = self.older.keys() & new
         self.known.update((w, self.older[w]) for w in again)
         # an empty word, or white space beside the cut, is another spacing
         new = [w for w in new - again if w and not w[0].isspace() and not w[-1].isspace()]
         self._learn(new)
-        plain = [bool(w[0]) and not w[0][-1].isspace() for w in cut]
-        firsts = self._whole([w[0] if ok else "" for w, ok in zip(cut, plain)])
-        found = []
-        for text, words, ok, first in zip(texts, cut, plain, firsts):
+        plain = [bool(w) and not w[-1].isspace() for w in firsts]
+        heads = self._whole([w if ok else "" for w, ok in zip(firsts, plain)])
+        ids_of, found = self.known.__getitem__, []
+        for text, words, ok, head in zip(texts, cut, plain, heads):
             try:
-                found.append(first + b"".join([self.known[w] for w in words[1:]]) if ok else self._whole([text])[0])
+                found.append(head + b"".join(map(ids_of, words)) if ok else self._whole([text])[0])
             except KeyError:
                 found.append(self._whole([text])[0])
         for word in new:

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolode.llm import chat, embeddings, lines, packing, pages, sharding, simhash, toxicity
+from chronolode.llm import chat, decontaminate, embeddings, lines, packing, pages, sharding, simhash, toxicity
 from chronolode.llm.common import table, text_of
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     own = r"\### Assistant: </turn> ok"
@@ -98,6 +102,7 @@ def op10_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontaminate": (op1_decontaminate, None),
     "op2_chat_format": (op2_chat_format, None),
     "op3_main_text": (op3_main_text, None),
     "op4_toxicity": (op4_toxicity, None),

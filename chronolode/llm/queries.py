@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolode.llm import chat, decontaminate, embeddings, lines, packing, pages, sharding, simhash, toxicity
+from chronolode.llm import chat, decontaminate, embeddings, lines, lm_score, packing, pages, sharding, simhash, toxicity
 from chronolode.llm.common import table, text_of
 
 
@@ -50,6 +50,11 @@ def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return lm_score.cross_entropy_difference(table(spark, sf_dir, "documents"), good)
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -108,6 +113,7 @@ QUERIES = {
     "op4_toxicity": (op4_toxicity, None),
     "op5_near_vectors": (op5_near_vectors, None),
     "op6_pack": (op6_pack, None),
+    "op7_lm_score": (op7_lm_score, None),
     "op8_simhash": (op8_simhash, None),
     "op9_line_dedup": (op9_line_dedup, OP9_SQL),
     "op10_shuffle_shards": (op10_shuffle_shards, None),

@@ -32,7 +32,8 @@ STEP = 16
 WINDOW = 2 * STEP
 RANK = 256
 OVERSAMPLING = 16
-BLOCK_ITEMS = 4_000
+BLOCK_ITEMS = 2_000
+SUM_GROUPS = 32
 SIMILARITY = 0.3
 #: Shares of a text's weight in the common subsequence: enough alone, and enough with that share of its answer.
 COPIED, REWORDED, ANSWERED = 0.7, 0.5, 0.8
@@ -149,6 +150,12 @@ def _gauss(word: np.ndarray, size: int) -> np.ndarray:
     return np.stack([np.random.Generator(np.random.PCG64([SEED, int(w)])).standard_normal(size) for w in word]) if len(word) else np.zeros((0, size))
 
 
+def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    """Lists of equal length as rows."""
+    parts = [c.flatten().to_numpy() for c in column.chunks]
+    return np.concatenate(parts).reshape(-1, width) if parts else np.zeros((0, width))
+
+
 def randomised_svd(items: DataFrame, vocabulary: dict[bytes, int], weights: np.ndarray, rank: int = RANK) -> np.ndarray:
     """Axes [word, axis] of the leading right singular vectors of the passages of ``items`` (item, text).
 
@@ -167,17 +174,21 @@ def randomised_svd(items: DataFrame, vocabulary: dict[bytes, int], weights: np.n
                 total += y.T @ y
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(list(total), pa.list_(pa.float64()))], names=["row", "sums"])
 
-    def added(df: DataFrame, key: str, width: int) -> dict[int, np.ndarray]:
-        """Arrays of equal keys added up, place by place."""
-        sums = df.select(key, F.posexplode("sums").alias("place", "x")).groupBy(key, "place").agg(F.sum("x").alias("x"))
-        found: dict[int, np.ndarray] = {}
-        for r in sums.groupBy(key).agg(F.collect_list(F.struct("place", "x")).alias("all")).collect():
-            row = found.setdefault(r[key], np.zeros(width))
-            row[[v["place"] for v in r["all"]]] = [v["x"] for v in r["all"]]
-        return found
-
-    table = added(items.mapInArrow(gram, "row long, sums array<double>"), "row", size)
-    total = np.stack([table[i] for i in range(size)]) if table else np.zeros((size, size))
+    def added(df: DataFrame, key: str, count: int, width: int) -> np.ndarray:
+        """Arrays of equal keys added up, as rows of a matrix."""
+
+        def total(part: pa.Table) -> pa.Table:
+            keys, where = np.unique(part.column(key).to_numpy(), return_inverse=True)
+            sums = np.zeros((len(keys), width))
+            np.add.at(sums, where, _matrix(part.column("sums"), width))
+            return pa.table({key: keys, "sums": pa.array(list(sums), pa.list_(pa.float64()))})
+
+        found = df.groupBy(F.pmod(key, F.lit(SUM_GROUPS))).applyInArrow(total, f"{key} long, sums array<double>").toArrow()
+        out = np.zeros((count, width))
+        out[found.column(key).to_numpy()] = _matrix(found.column("sums"), width)
+        return out
+
+    total = added(items.mapInArrow(gram, "row long, sums array<double>"), "row", size, size)
     values, base = np.linalg.eigh(total)
     good = values > 1e-9 * max(values.max(), 1e-300)
     whiten = base[:, good] / np.sqrt(values[good])  # Y @ whiten has orthonormal columns
@@ -192,12 +203,9 @@ def randomised_svd(items: DataFrame, vocabulary: dict[bytes, int], weights: np.n
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array(list(sums.values()), pa.list_(pa.float64()))], names=["word", "sums"])
 
     width = int(good.sum())
-    columns = added(items.mapInArrow(project, "word long, sums array<double>"), "word", width)
-    b = np.zeros((len(vocabulary), width))
-    for w, v in columns.items():
-        b[w] = v
     if not width:
         return np.zeros((len(vocabulary), 1))
+    b = added(items.mapInArrow(project, "word long, sums array<double>"), "word", len(vocabulary), width)
     values, base = np.linalg.eigh(b.T @ b)
     top = np.argsort(values)[::-1][:rank]
     top = top[values[top] > 1e-12]

@@ -62,8 +62,21 @@ def annotation_links(annotations: DataFrame, id=None) -> DataFrame:
     return refs.join(known, "target", "left_semi").select(F.col("target").alias("annotation_id"), "linked_by")
 
 
-def create_annotations(incoming: DataFrame) -> DataFrame:
-    """Add ``annotation_id``, ``status`` and ``message``: owner, name and a dataset are required."""
+def _with_unknown(rows: DataFrame, column: str, table: DataFrame, id: str) -> DataFrame:
+    """Ids made for rows that refer, in a list column, to something ``table`` lacks."""
+    refs = rows.select("__made", F.explode(column).alias("__ref")).distinct()
+    known = table.select(F.col(id).alias("__ref")).distinct()
+    return refs.join(known, "__ref", "left_anti").select("__made").distinct()
+
+
+def create_annotations(
+    incoming: DataFrame, datasets: DataFrame | None = None, annotations: DataFrame | None = None
+) -> DataFrame:
+    """Add ``annotation_id``, ``status`` and ``message``: owner, name and a dataset are required.
+
+    With the tables of datasets and annotations, what an annotation refers to
+    must be there. The id is a hash of all fields given.
+    """
 
     def blank(c):
         return F.col(c).isNull() | (F.col(c) == "")
@@ -73,11 +86,22 @@ def create_annotations(incoming: DataFrame) -> DataFrame:
         .when(blank("name"), "name missing")
         .when(F.coalesce(F.size("dataset_ids"), F.lit(0)) < 1, "no datasets")
     )
-    made = F.sha2(F.concat_ws("\x1f", "owner", "name", F.to_json("dataset_ids")), 256)
+    # every field that is given, so that different annotations never share an id
+    given = [c for c in sorted(incoming.columns) if c not in ("annotation_id", "status", "message")]
+    made = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in given]), {"ignoreNullFields": "false"}), 256)
+    rows = incoming.withColumn("__made", made)
+    for column, table, id in (("dataset_ids", datasets, "dataset_id"), ("annotation_ids", annotations, "annotation_id")):
+        if table is not None:
+            unknown = _with_unknown(rows, column, table, id).withColumn("__unknown", F.lit(True))
+            rows = rows.join(unknown, "__made", "left")
+            fault = fault.when(F.col("__unknown"), F.lit(f"unknown {id.removesuffix('_id')}"))
+            rows = rows.withColumn("message", F.coalesce(fault, F.lit(""))).drop("__unknown")
+            fault = F.when(F.col("message") != "", F.col("message"))
     return (
-        incoming.withColumn("message", F.coalesce(fault, F.lit("")))
+        rows.withColumn("message", F.coalesce(fault, F.lit("")))
         .withColumn("status", F.when(F.col("message") == "", "CREATED").otherwise("REJECT"))
-        .withColumn("annotation_id", F.when(F.col("status") == "CREATED", made))
+        .withColumn("annotation_id", F.when(F.col("status") == "CREATED", F.col("__made")))
+        .drop("__made")
     )
 
 

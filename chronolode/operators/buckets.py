@@ -14,7 +14,6 @@ from chronolode.schema import LIST, NS_PER_DAY, NS_PER_SEC
 
 # Samples one packed bucket may hold before its day is split.
 MAX_BUCKET_SAMPLES = 1_000_000
-_MINUTE_NS = 60 * NS_PER_SEC
 
 
 def bucket_id(pv: Column, first_ns: Column) -> Column:
@@ -22,55 +21,41 @@ def bucket_id(pv: Column, first_ns: Column) -> Column:
     return F.concat_ws("-", pv, seconds_part(first_ns).cast("string"), nanos_part(first_ns).cast("string"))
 
 
-def _split_days(keyed: DataFrame, full_days: DataFrame, max_samples: int) -> DataFrame:
-    """Add ``__run`` (of minutes) and ``__share`` to the samples of full days, 0 elsewhere."""
-    minute = div(F.col("ts_ns"), _MINUTE_NS)
-    zero = F.lit(0).cast("bigint")
-    usual = keyed.join(full_days, ["pv", "day"], "left_anti").withColumn("__run", zero).withColumn("__share", zero)
-    of_full = keyed.join(full_days, ["pv", "day"], "left_semi").withColumn("__minute", minute)
-    minutes = of_full.groupBy("pv", "day", "__minute").agg(F.count("*").alias("__n"))
-    # one row per minute: at most 1,440 per signal and day
-    before = Window.partitionBy("pv", "day").orderBy("__minute").rowsBetween(Window.unboundedPreceding, -1)
-    runs = minutes.select(
-        "pv",
-        "day",
-        "__minute",
-        (div(F.coalesce(F.sum("__n").over(before), F.lit(0)), max_samples) + 1).alias("__run"),
-        F.ceil(F.col("__n") / F.lit(max_samples)).alias("__shares"),
-    )
-    # equal samples travel as one counted row; its portions then take different shares
-    counted = of_full.groupBy("pv", "day", "__minute", "ts_ns", "value").agg(F.count("*").alias("__copies"))
-    portions = F.sequence(F.lit(0).cast("bigint"), div(F.col("__copies") - 1, max_samples))
-    portioned = counted.withColumn("__k", F.explode(portions))
-    size = F.least(F.lit(max_samples).cast("bigint"), F.col("__copies") - F.col("__k") * max_samples)
-    share = F.pmod(F.pmod(F.xxhash64("ts_ns", "value"), F.col("__shares")) + F.col("__k"), F.col("__shares"))
-    cut = (
-        portioned.join(runs, ["pv", "day", "__minute"])
-        .withColumn("__share", share)
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), size)))
-    )
-    return usual.unionByName(cut.select(*usual.columns))
+def _numbered(full: DataFrame) -> DataFrame:
+    """Samples with ``__pos``, their 0-based place in time within their signal and day."""
+    ranked = with_global_rank(full, "pv", "ts_ns", "value", name="__rank")
+    firsts = ranked.groupBy("pv", "day").agg(F.min("__rank").alias("__first"))
+    return ranked.join(firsts, ["pv", "day"]).withColumn("__pos", F.col("__rank") - F.col("__first")).drop("__rank", "__first")
 
 
 def pack_buckets(samples: DataFrame, max_samples: int = MAX_BUCKET_SAMPLES) -> DataFrame:
     """Samples as list buckets, one per signal and UTC day.
 
-    A day with more than ``max_samples`` is cut into runs of minutes, and a
-    minute that is still too full into hashed shares, so no bucket grows
-    with a hot signal. Which days need this is counted first.
+    A day with more than ``max_samples`` is cut into buckets of that many in
+    time order, so no bucket grows with a hot signal and buckets of a signal
+    follow each other in time. Which days need this is counted first; their
+    samples are numbered by sorted ranges. From its second bucket on, a day's
+    bucket ids end with the number of the bucket, as several can begin at one
+    instant.
     """
     keyed = samples.select("pv", "ts_ns", "value", day_of(F.col("ts_ns")).alias("day"))
     groups = ["pv", "day"]
     full_days = keyed.groupBy("pv", "day").agg(F.count("*").alias("__n")).where(F.col("__n") > max_samples)
     full_days = full_days.select("pv", "day")
     n_full = full_days.count()
+    part = F.lit(0).cast("bigint")
     if n_full:
-        keyed = _split_days(keyed, small_side(cut_lineage(full_days), n_full), max_samples)
-        groups += ["__run", "__share"]
+        full_days = small_side(cut_lineage(full_days), n_full)
+        usual = keyed.join(full_days, groups, "left_anti").withColumn("__part", part)
+        full = _numbered(keyed.join(full_days, groups, "left_semi"))
+        keyed = usual.unionByName(full.withColumn("__part", div(F.col("__pos"), max_samples)).select(*usual.columns))
+        part = F.col("__part")
+        groups.append("__part")
     packed = keyed.groupBy(*groups).agg(F.array_sort(F.collect_list(F.struct("ts_ns", "value"))).alias("__s"))
     first, last = F.get("__s", 0)["ts_ns"], F.element_at("__s", -1)["ts_ns"]
+    id = bucket_id(F.col("pv"), first)
     return packed.select(
-        bucket_id(F.col("pv"), first).alias("bucket_id"),
+        F.when(part == 0, id).otherwise(F.concat_ws("-", id, F.lpad(part.cast("string"), 9, "0"))).alias("bucket_id"),
         "pv",
         first.alias("first_ns"),
         last.alias("last_ns"),

@@ -3,13 +3,15 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronolode.functions.timestamps import day_of
+from chronolode.functions.timestamps import day_of, div
 from chronolode.functions.values import text_match
 from chronolode.operators.ranks import small_side
+from chronolode.schema import NS_PER_DAY
 from chronolode.session import cut_lineage
 
-# Days up to which an interval is joined day by day; longer ones join on the signal alone.
+# Days up to which an interval is joined day by day; longer ones, and buckets, join by slots of so many days.
 MAX_JOIN_DAYS = 62
+SLOT_DAYS = 32
 
 
 def dataset_extent(datasets: DataFrame) -> DataFrame:
@@ -82,8 +84,8 @@ def dataset_resolve(datasets: DataFrame, samples: DataFrame, max_join_days: int
     """``dataset_id, pv, ts_ns, value`` of the samples in each dataset's blocks.
 
     Short intervals join on (signal, day), which spreads a hot signal over its
-    days and leaves few false pairs; long ones cover most of the signal anyway
-    and join on its name. The intervals are written and counted first, so that
+    days and leaves few false pairs; long ones join on (signal, slot of many
+    days), which spreads it as well without a row per day. The intervals are written and counted first, so that
     samples are read once unless both kinds occur, and a side is broadcast
     only by its count.
     """
@@ -91,8 +93,10 @@ def dataset_resolve(datasets: DataFrame, samples: DataFrame, max_join_days: int
     samples = samples.select(*columns[1:])
     intervals = cut_lineage(block_intervals(datasets).drop("prev_end_ns").withColumn("__span", _span_days()))
     is_short = F.col("__span") <= max_join_days
+    n_slots = _slot(F.col("end_ns") - 1) - _slot(F.col("begin_ns")) + 1
     n_days, n_long = intervals.agg(
-        F.coalesce(F.sum(F.when(is_short, F.col("__span") + 1)), F.lit(0)), F.count_if(~is_short)
+        F.coalesce(F.sum(F.when(is_short, F.col("__span") + 1)), F.lit(0)),
+        F.coalesce(F.sum(F.when(~is_short, n_slots)), F.lit(0)),
     ).first()
     inside = (F.col("ts_ns") >= F.col("begin_ns")) & (F.col("ts_ns") < F.col("end_ns"))
     parts = []
@@ -102,21 +106,38 @@ def dataset_resolve(datasets: DataFrame, samples: DataFrame, max_join_days: int
         by_day = samples.withColumn("__day", day_of(F.col("ts_ns")))
         parts.append(by_day.join(small_side(short, n_days), ["pv", "__day"]).where(inside).select(*columns))
     if n_long:
-        long = intervals.where(~is_short).drop("__span")
-        parts.append(samples.join(small_side(long, n_long), "pv").where(inside).select(*columns))
+        spread = F.explode(F.sequence(_slot(F.col("begin_ns")), _slot(F.col("end_ns") - 1)))
+        long = intervals.where(~is_short).drop("__span").withColumn("__slot", spread)
+        by_slot = samples.withColumn("__slot", _slot(F.col("ts_ns")))
+        parts.append(by_slot.join(small_side(long, n_long), ["pv", "__slot"]).where(inside).select(*columns))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
+def _slot(instant: Column) -> Column:
+    """Number of the slot of ``SLOT_DAYS`` days an instant is in."""
+    return div(instant, SLOT_DAYS * NS_PER_DAY)
+
+
 def dataset_buckets(datasets: DataFrame, buckets: DataFrame) -> DataFrame:
     """``dataset_id`` and the buckets that overlap its blocks, each once per dataset.
 
-    Of several intervals one bucket overlaps, only the first is kept: the one
-    whose predecessor ends before the bucket starts.
+    Both sides carry the (signal, slot) pairs they touch and meet on them, so
+    a signal with very many buckets is spread over its slots. Of several
+    intervals one bucket overlaps, only the first is kept: the one whose
+    predecessor ends before the bucket starts; of several slots both touch,
+    only the first of both.
     """
-    intervals = block_intervals(datasets)
+
+    def slots(begin: Column, last: Column) -> Column:
+        return F.explode(F.sequence(_slot(begin), _slot(last)))
+
+    intervals = block_intervals(datasets).withColumn("__slot", slots(F.col("begin_ns"), F.col("end_ns") - 1))
+    spread = buckets.withColumn("__slot", slots(F.col("first_ns"), F.col("last_ns")))
     overlaps = (F.col("first_ns") < F.col("end_ns")) & (F.col("last_ns") >= F.col("begin_ns"))
     first_hit = F.coalesce(F.col("prev_end_ns") <= F.col("first_ns"), F.lit(True))
-    return buckets.join(intervals, "pv").where(overlaps & first_hit).drop("begin_ns", "end_ns", "prev_end_ns")
+    first_slot = F.col("__slot") == _slot(F.greatest("first_ns", "begin_ns"))
+    found = spread.join(intervals, ["pv", "__slot"]).where(overlaps & first_hit & first_slot)
+    return found.drop("__slot", "begin_ns", "end_ns", "prev_end_ns")
 
 
 def exists_by_id(table: DataFrame, ids: DataFrame, id: str) -> DataFrame:
@@ -129,7 +150,7 @@ def create_datasets(incoming: DataFrame) -> DataFrame:
     """Add ``dataset_id``, ``status`` and ``message``: names, owner and whole blocks are required."""
     blocks_ok = F.forall(
         "blocks",
-        lambda b: b["begin_ns"].isNotNull() & b["end_ns"].isNotNull() & (F.size(b["pvs"]) > 0),
+        lambda b: b["begin_ns"].isNotNull() & b["end_ns"].isNotNull() & (b["begin_ns"] <= b["end_ns"]) & (F.size(b["pvs"]) > 0),
     )
 
     def blank(c):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from chronolode.functions.names import parse_file_strict, parse_pv_strict
 from chronolode.operators.ranks import with_global_rank
 
+# Limits usual for imports; none applies unless it is passed.
 MIN_FILE_BYTES = 1024
 MAX_FILE_BYTES = 10 * 1024**3
 MAX_OBJECTS = 10_000
@@ -15,12 +16,18 @@ MAX_SAMPLES = 10_000_000
 TIME_DATASETS = ("secondsPastEpoch", "nanoseconds")
 
 
-def file_admission(files: DataFrame, lo: int = MIN_FILE_BYTES, hi: int = MAX_FILE_BYTES) -> DataFrame:
+def size_fault(lo: int | None, hi: int | None) -> Column:
+    """Why a file of this size is refused; NULL if it is not."""
+    size, fault = F.col("file_bytes"), F.lit(None).cast("string")
+    if hi is not None:
+        fault = F.when(size > hi, "too large").otherwise(fault)
+    return fault if lo is None else F.when(size < lo, "too small").otherwise(fault)
+
+
+def file_admission(files: DataFrame, lo: int | None = None, hi: int | None = None) -> DataFrame:
     """Add ``admitted`` and ``reason``."""
-    size = F.col("file_bytes")
-    return files.withColumn("admitted", size.between(lo, hi)).withColumn(
-        "reason", F.when(size < lo, "too small").when(size > hi, "too large").otherwise("")
-    )
+    checked = files.withColumn("reason", F.coalesce(size_fault(lo, hi), F.lit("")))
+    return checked.select(*files.columns, (F.col("reason") == "").alias("admitted"), "reason")
 
 
 def file_order(files: DataFrame) -> DataFrame:
@@ -38,14 +45,19 @@ def append_manifest(done: DataFrame, path: str) -> None:
     done.where("ok").select("path").write.mode("append").parquet(path)
 
 
-def signal_catalog(raw: DataFrame, max_objects: int = MAX_OBJECTS) -> DataFrame:
-    """Signals of each file; a file with too many objects has none."""
-    return raw.where(~F.col("signal_name").isin(*TIME_DATASETS) & (F.col("n_objects") <= max_objects))
+def _usable(max_objects: int | None) -> Column:
+    signal = ~F.col("signal_name").isin(*TIME_DATASETS)
+    return signal if max_objects is None else signal & (F.col("n_objects") <= max_objects)
+
+
+def signal_catalog(raw: DataFrame, max_objects: int | None = None) -> DataFrame:
+    """Signals of each file; with a limit, a file with more objects has none."""
+    return raw.where(_usable(max_objects))
 
 
-def file_signal_counts(raw: DataFrame, max_objects: int = MAX_OBJECTS) -> DataFrame:
+def file_signal_counts(raw: DataFrame, max_objects: int | None = None) -> DataFrame:
     """``path, signals, ok``: a file without a signal has failed."""
-    usable = ~F.col("signal_name").isin(*TIME_DATASETS) & (F.col("n_objects") <= max_objects)
+    usable = _usable(max_objects)
     counts = raw.groupBy("path").agg(F.count_if(usable).alias("signals"))
     return counts.withColumn("ok", F.col("signals") > 0)
 
@@ -60,8 +72,8 @@ def signal_cap(signals: DataFrame, n: int = 1000, *tie: str) -> DataFrame:
     return signals.withColumn("__rn", F.row_number().over(order)).where(F.col("__rn") <= n).drop("__rn")
 
 
-def ts_bounds(signals: DataFrame, count: Column, max_samples: int = MAX_SAMPLES) -> DataFrame:
-    return signals.where(count.between(1, max_samples))
+def ts_bounds(signals: DataFrame, count: Column, max_samples: int | None = None) -> DataFrame:
+    return signals.where(count >= 1) if max_samples is None else signals.where(count.between(1, max_samples))
 
 
 def validate_signal(signals: DataFrame, vals: Column, count: Column) -> DataFrame:

@@ -61,14 +61,22 @@ def spatial_classify(df: DataFrame, dim_device: DataFrame) -> DataFrame:
     )
 
 
-def spatial_signal(df: DataFrame, dim_pattern_tags: DataFrame) -> DataFrame:
+def _with_pattern_tags(df: DataFrame, dim: DataFrame | None) -> DataFrame:
+    """Add pattern_tags by device type, from a dimension or, where none is given, from the built-in patterns."""
+    if dim is not None:
+        return df.join(dim, "device_type", "left")
+    pairs = [x for name, tags in PATTERN_TAGS.items() for x in (F.lit(name), F.array(*map(F.lit, tags)))]
+    return df.withColumn("pattern_tags", F.create_map(*pairs)[F.col("device_type")])
+
+
+def spatial_signal(df: DataFrame, dim_pattern_tags: DataFrame | None = None) -> DataFrame:
     """Add signal_type and units by attribute, and pattern_tags by device type."""
     kind, units = F.lit(""), F.lit("")
     for word, name, unit in reversed(SIGNAL_RULES):
         has = F.col("attribute").contains(word)
         kind, units = F.when(has, F.lit(name)).otherwise(kind), F.when(has, F.lit(unit)).otherwise(units)
     return (
-        df.join(dim_pattern_tags, "device_type", "left")
+        _with_pattern_tags(df, dim_pattern_tags)
         .withColumn("pattern_tags", F.coalesce("pattern_tags", _no_tags()))
         .withColumn("signal_type", kind)
         .withColumn("units", units)
@@ -122,15 +130,22 @@ def spatial_metadata(pvs: DataFrame, dims: dict[str, DataFrame], sep: str = ":")
     """``pv`` and all spatial columns, one row per row of ``pvs``."""
     out = spatial_parse(pvs.select("pv"), sep)
     out = spatial_classify(out, dims["device"])
-    out = spatial_signal(out, dims["pattern_tags"])
+    out = spatial_signal(out, dims.get("pattern_tags"))
     out = spatial_position(out, dims["area"])
     out = spatial_tags(out)
     return out.select("pv", *SPATIAL_COLUMNS)
 
 
 def spatial_enrich(df: DataFrame, dims: dict[str, DataFrame], sep: str = ":") -> DataFrame:
-    """``df`` with its spatial columns: distinct signals are analysed once, then joined back."""
-    return df.join(spatial_metadata(df.select("pv").distinct(), dims, sep), "pv", "left")
+    """``df`` with its spatial columns.
+
+    A name says all that is looked up by it, so every row is read where it is
+    and meets only the dictionaries; no row is shuffled by its signal.
+    """
+    out = spatial_parse(df, sep)
+    for step, dim in ((spatial_classify, "device"), (spatial_signal, "pattern_tags"), (spatial_position, "area")):
+        out = step(out, dims.get(dim))
+    return spatial_tags(out).select(*df.columns, *SPATIAL_COLUMNS)
 
 
 def bucket_attributes(df: DataFrame, project: Column, origin: Column, file_units: Column) -> DataFrame:

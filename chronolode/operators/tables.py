@@ -5,10 +5,6 @@ from pyspark.sql import functions as F
 
 from chronolode.operators.buckets import select_pvs
 
-# A wide table is one column per signal; beyond this the row-map form is the answer.
-MAX_COLUMNS = 2_000
-
-
 def in_range(samples: DataFrame, begin_ns: int | None, end_ns: int | None) -> DataFrame:
     if begin_ns is not None:
         samples = samples.where(F.col("ts_ns") >= begin_ns)
@@ -18,16 +14,19 @@ def in_range(samples: DataFrame, begin_ns: int | None, end_ns: int | None) -> Da
 
 
 def _one_value(samples: DataFrame) -> Column:
-    """The value of a signal at an instant: the latest bucket's, else the largest."""
+    """The value of a signal at an instant: the latest bucket's, else the largest; NaN only where there is no other."""
+    number = ~F.isnan("value")
     if "bucket_id" in samples.columns:
-        return F.max_by("value", F.struct("bucket_id", "value"))
-    return F.max("value")
+        return F.max_by("value", F.struct(number, F.col("bucket_id"), F.col("value")))
+    return F.max_by("value", F.struct(number, F.col("value")))
 
 
 def table_columns(samples: DataFrame, begin_ns: int | None, end_ns: int | None, pvs: list[str]) -> DataFrame:
-    """``ts_ns`` and one column per named signal, NULL where it has no sample."""
-    if len(pvs) > MAX_COLUMNS:
-        raise ValueError(f"{len(pvs)} columns asked for, at most {MAX_COLUMNS}; use table_rows")
+    """``ts_ns`` and one column per named signal, NULL where it has no sample.
+
+    A column for each of very many signals makes a wide plan; ``table_rows``
+    and ``column_groups`` have none.
+    """
     found = in_range(select_pvs(samples, pvs), begin_ns, end_ns)
     return found.groupBy("ts_ns").pivot("pv", pvs).agg(_one_value(found))
 
@@ -57,8 +56,8 @@ def table_pattern(
     if fmt == "rows":
         return table_rows(samples, begin_ns, end_ns, pattern=pattern)
     names = in_range(select_pvs(samples, pattern=pattern), begin_ns, end_ns).select("pv").distinct()
-    # column names must be known to plan; the limit keeps this list small
-    listed = sorted(r.pv for r in names.limit(MAX_COLUMNS + 1).collect())
+    # the columns of a table must be known to plan it
+    listed = sorted(r.pv for r in names.collect())
     return table_columns(samples, begin_ns, end_ns, listed)
 
 
@@ -66,5 +65,13 @@ def table_to_map(table: DataFrame) -> DataFrame:
     """Either table form back to ``pv, ts_ns, value``; instants without a value are left out."""
     if table.columns == ["ts_ns", "values"]:
         return table.select("ts_ns", F.explode("values").alias("pv", "value")).select("pv", "ts_ns", "value")
+    # quoted, as names of signals may hold dots and backticks
     pvs = [c for c in table.columns if c != "ts_ns"]
-    return table.unpivot("ts_ns", pvs, "pv", "value").where(F.col("value").isNotNull()).select("pv", "ts_ns", "value")
+    cells = [F.struct(F.lit(c).alias("pv"), F.col(f"`{c.replace('`', '``')}`").alias("value")) for c in pvs]
+    rows = table.select("ts_ns", F.explode(F.array(*cells)).alias("c"))
+    return rows.select("c.pv", "ts_ns", "c.value").where(F.col("value").isNotNull())
+
+
+def column_groups(pvs: list[str], size: int) -> list[list[str]]:
+    """Names in groups, for tables too wide for one plan; each group makes a table over the same instants."""
+    return [pvs[i : i + size] for i in range(0, len(pvs), size)]

@@ -37,20 +37,62 @@ def _attributes(pairs: dict[str, Column]) -> Column:
     return F.map_from_arrays(F.array(*map(F.lit, pairs)), F.array(*pairs.values()))
 
 
-def import_requests(raw: DataFrame, provider_id: str, received_ns: int, manifest: DataFrame | None = None) -> DataFrame:
-    """Decoded signal files as ingest requests, one per signal; inadmissible files and signals drop out.
+def import_checks(
+    raw: DataFrame,
+    manifest: DataFrame | None = None,
+    min_file_bytes: int | None = None,
+    max_file_bytes: int | None = None,
+    max_objects: int | None = None,
+    max_samples: int | None = None,
+) -> DataFrame:
+    """Decoded datasets with ``reason``, empty where the dataset can be imported, and the axis of its time.
+
+    Every dataset stays, so accepted and refused ones add up to the input. A
+    limit that is not given does not apply. All tests use sizes and
+    dimensions; no array of values is touched.
+    """
+    secs, nanos, dims = F.col("secs"), F.col("nanos"), F.col("dims")
+    count = F.size(secs)
+    if manifest is None:
+        raw = raw.withColumn("__done", F.lit(False))
+    else:
+        done = manifest.select("path").distinct().withColumn("__done", F.lit(True))
+        raw = raw.join(done, "path", "left").withColumn("__done", F.coalesce("__done", F.lit(False)))
+    signals = computed(raw, __axis=time_axis(dims, count.cast("bigint")))
+
+    def above(column: Column, most: int | None) -> Column:
+        return F.lit(False) if most is None else column > most
+
+    reason = (
+        F.when(F.col("__done"), "file imported before")
+        .when(files.size_fault(min_file_bytes, max_file_bytes).isNotNull(), files.size_fault(min_file_bytes, max_file_bytes))
+        .when(F.col("signal_name").isin(*files.TIME_DATASETS), "time, not a signal")
+        .when(above(F.col("n_objects"), max_objects), "too many objects")
+        .when(secs.isNull(), "no time axis")
+        .when(nanos.isNotNull() & (F.size(nanos) != count), "seconds and nanoseconds differ")
+        .when(count < 1, "no samples")
+        .when(above(count, max_samples), "too many samples")
+        .when(~F.coalesce(F.get(dims, F.col("__axis")) == count, F.lit(False)), "no dimension fits the time axis")
+    )
+    return signals.withColumn("reason", F.coalesce(reason, F.lit(""))).drop("__done")
+
+
+def import_rejects(raw: DataFrame, manifest: DataFrame | None = None, **limits: int | None) -> DataFrame:
+    """``path, signal_name, reason`` of the datasets that ``import_requests`` leaves out."""
+    return import_checks(raw, manifest, **limits).where(F.col("reason") != "").select("path", "signal_name", "reason")
+
+
+def import_requests(
+    raw: DataFrame, provider_id: str, received_ns: int, manifest: DataFrame | None = None, **limits: int | None
+) -> DataFrame:
+    """Decoded signal files as ingest requests, one per signal; ``import_rejects`` has what is left out and why.
 
-    All tests use sizes and dimensions, so that arrays of refused signals are
-    never touched and those of accepted ones are built once.
+    ``limits`` are those of ``import_checks``. Arrays of accepted signals are
+    built once.
     """
-    admitted = files.file_admission(raw).where("admitted")
-    if manifest is not None:
-        admitted = files.resume_filter(admitted, manifest)
     secs, nanos, dims = F.col("secs"), F.col("nanos"), F.col("dims")
     count = F.size(secs)
-    signals = files.signal_catalog(admitted).where(secs.isNotNull() & (nanos.isNull() | (F.size(nanos) == count)))
-    signals = computed(files.ts_bounds(signals, count), __axis=time_axis(dims, count.cast("bigint")))
-    signals = signals.where(F.get(dims, F.col("__axis")) == count)
+    signals = import_checks(raw, manifest, **limits).where(F.col("reason") == "")
     start, last = instant_at(secs, nanos, 0), instant_at(secs, nanos, count - 1)
     period = F.when(count < 2, F.lit(NS_PER_SEC)).otherwise(instant_at(secs, nanos, 1) - start)
     signals = computed(signals, __vals=axis_slice(F.col("vals"), dims, F.col("__axis")))

@@ -1,5 +1,6 @@
 """Registration, validation and creation of records."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from chronolode.operators import annotations, datasets, ingest
@@ -65,7 +66,8 @@ def q_create_annotations(spark, sf):
         F.when(k % 3 == 0, F.slice("dataset_ids", 1, 0)).otherwise(F.col("dataset_ids")).alias("dataset_ids"),
     )
     out = annotations.create_annotations(incoming)
-    return out.select("k", "status", "message", F.length("annotation_id").alias("id_length"))
+    sharing = F.count("annotation_id").over(Window.partitionBy("annotation_id"))
+    return out.select("k", "status", "message", F.length("annotation_id").alias("id_length"), sharing.alias("n_with_id"))
 
 
 _MESSAGE = """CASE WHEN provider_id = '' THEN 'provider id missing'
@@ -114,7 +116,8 @@ QUERIES = {
         q_create_annotations,
         oracle(
             """SELECT k, CASE WHEN m = '' THEN 'CREATED' ELSE 'REJECT' END AS status, m AS message,
-            CASE WHEN m = '' THEN 64 END AS id_length FROM (SELECT annotation_id AS k, CASE WHEN annotation_id % 7 = 0
+            CASE WHEN m = '' THEN 64 END AS id_length, CASE WHEN m = '' THEN 1 ELSE 0 END AS n_with_id
+            FROM (SELECT annotation_id AS k, CASE WHEN annotation_id % 7 = 0
               THEN 'owner missing' WHEN annotation_id % 5 = 0 THEN 'name missing' WHEN annotation_id % 3 = 0
               THEN 'no datasets' ELSE '' END AS m FROM v_annotations)"""
         ),

@@ -5,11 +5,11 @@ from pyspark.sql import functions as F
 from chronolode.functions.values import map_to_attr
 from chronolode.operators import files
 from chronolode.operators.archive import archive_attach_meta, archive_attributes
+from chronolode.plans.jobs import import_rejects, import_requests
 from chronolode.queries import views as v
 from chronolode.queries.views import oracle
 from chronolode.session import scratch
 from chronolode.sources import archive_json as archive
-from chronolode.sources.catalog import file_catalog
 from chronolode.sources.dictionaries import dim_tables
 from chronolode.sources.store import write_buckets
 
@@ -19,13 +19,29 @@ def _pairs(column) -> F.Column:
     return F.array_join(F.transform(map_to_attr(column), lambda p: F.concat(p["key"], F.lit("="), p["value"])), ";")
 
 
-def q_file_catalog(spark, sf):
-    found = file_catalog(spark, sf, "flat", ".parquet")
-    return found.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "file_bytes")
+IMPORT_LIMITS = {"min_file_bytes": 20 * 1024, "max_objects": files.MAX_OBJECTS, "max_samples": 8}
+
+
+def q_import_requests(spark, sf):
+    raw = v.v_raw(spark, sf, "secs", "nanos", "dims", "vals")
+    requests = import_requests(raw, "provider-1", 0, **IMPORT_LIMITS)
+    column = F.get("columns", 0)
+    total = F.aggregate(column["vals"], F.lit(0.0), lambda a, x: a + x)
+    return requests.select(
+        F.col("stream_id").alias("path"), column["name"].alias("name"), F.col("ts.count").alias("n"),
+        F.col("ts.start_ns").alias("start_ns"), F.col("ts.period_ns").alias("period_ns"),
+        F.size(column["vals"]).alias("n_vals"), F.round(total, 4).alias("total"),
+        F.array_join("tags", ",").alias("tags"), F.col("attributes")["beam_line"].alias("beam_line"),
+    )
+
+
+def q_import_rejects(spark, sf):
+    return import_rejects(v.v_raw(spark, sf, "secs", "nanos", "dims"), **IMPORT_LIMITS)
 
 
 def q_file_admission(spark, sf):
-    return files.file_admission(v.v_files(spark, sf)).select("path", "file_bytes", "admitted", "reason")
+    checked = files.file_admission(v.v_files(spark, sf), files.MIN_FILE_BYTES, files.MAX_FILE_BYTES)
+    return checked.select("path", "file_bytes", "admitted", "reason")
 
 
 def q_file_order(spark, sf):
@@ -38,11 +54,11 @@ def q_resume_filter(spark, sf):
 
 
 def q_signal_catalog(spark, sf):
-    return files.signal_catalog(v.v_raw(spark, sf)).select("path", "signal_name")
+    return files.signal_catalog(v.v_raw(spark, sf), files.MAX_OBJECTS).select("path", "signal_name")
 
 
 def q_signal_counts(spark, sf):
-    return files.file_signal_counts(v.v_raw(spark, sf))
+    return files.file_signal_counts(v.v_raw(spark, sf), files.MAX_OBJECTS)
 
 
 def q_signal_cap(spark, sf):
@@ -133,8 +149,25 @@ def q_write_buckets(spark, sf):
 _PARSED = """regexp_extract(path, '([^/]*)\\.h5$', 1) AS stem"""
 _NAME = "'^([A-Z]+)_([A-Z]+)_([0-9]{8})_([0-9]{6})(?:_([A-Za-z0-9]+))?$'"
 
+_REFUSED = """CASE WHEN file_no % 7 = 0 THEN 'too small'
+    WHEN signal_name IN ('secondsPastEpoch', 'nanoseconds') THEN 'time, not a signal'
+    WHEN n_objects > 10000 THEN 'too many objects' WHEN file_no % 23 = 0 THEN 'seconds and nanoseconds differ' ELSE '' END"""
+
 QUERIES = {
-    "file_catalog": (q_file_catalog, None),
+    "import_requests": (
+        q_import_requests,
+        oracle(
+            f"""SELECT path, signal_name AS name, 8 AS n, (1700000000 + file_no * 10) * 1000000000 AS start_ns,
+            250000000 AS period_ns, 8 AS n_vals, round(sum(CAST(quantity AS DOUBLE) + i), 4) AS total,
+            'h5_data,accelerator_data,production,all_valid' AS tags,
+            CASE file_no % 2 WHEN 0 THEN 'CU' ELSE 'SC' END || '_' || CASE file_no % 3 WHEN 0 THEN 'HXR' ELSE 'SXR' END
+            AS beam_line FROM v_raw_long WHERE {_REFUSED} = '' GROUP BY lid, path, signal_name, file_no"""
+        ),
+    ),
+    "import_rejects": (
+        q_import_rejects,
+        oracle(f"SELECT * FROM (SELECT path, signal_name, {_REFUSED} AS reason FROM v_raw) WHERE reason <> ''"),
+    ),
     "file_admission": (
         q_file_admission,
         oracle(
@@ -251,7 +284,7 @@ QUERIES = {
         oracle(
             """SELECT bucket_id, provider_id, request_id, first_ns, last_ns, sample_count, period_ns,
             strftime(make_timestamp(first_ns // 1000), '%Y-%m-%d') AS day, round(value_sum, 4) AS value_sum
-            FROM v_clock_buckets"""
+            FROM v_clock_buckets WHERE sample_count = 4"""
         ),
     ),
 }

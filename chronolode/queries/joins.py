@@ -35,8 +35,7 @@ def q_table_pattern(spark, sf):
 
 
 def q_table_to_map(spark, sf):
-    # from the column form of one area's monitors, chosen by pattern, and back
-    table = tables.table_pattern(v.v_samples(spark, sf), None, None, "^BPMS_BSY_", "columns")
+    table = tables.table_rows(v.v_samples(spark, sf), None, None)
     return tables.table_to_map(table).select("pv", "ts_ns", _value())
 
 
@@ -108,7 +107,7 @@ QUERIES = {
     ),
     "table_to_map": (
         q_table_to_map,
-        oracle(f"SELECT pv, ts_ns, {_V} AS value FROM v_samples WHERE starts_with(pv, 'BPMS_BSY_')"),
+        oracle(f"SELECT pv, ts_ns, {_V} AS value FROM v_samples"),
     ),
     "dataset_resolve": (
         q_dataset_resolve,

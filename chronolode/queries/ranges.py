@@ -27,6 +27,12 @@ def q_query_buckets(spark, sf):
     return found.select("bucket_id", "first_ns", "last_ns", "sample_count")
 
 
+def q_pack_buckets_split(spark, sf):
+    """Buckets of two samples at most, so that most days are split."""
+    packed = buckets.pack_buckets(v.v_samples(spark, sf), 2)
+    return packed.select("bucket_id", "pv", "first_ns", "last_ns", "sample_count")
+
+
 def q_query_samples(spark, sf):
     return buckets.query_samples(v.v_buckets(spark, sf), BEGIN, END, max_span_days=1).select("pv", "ts_ns", _value())
 
@@ -142,6 +148,18 @@ QUERIES = {
             WHERE first_ns < {END} AND last_ns >= {BEGIN} AND regexp_matches(pv, '_(X|BCTRL)$')"""
         ),
     ),
+    "pack_buckets_split": (
+        q_pack_buckets_split,
+        oracle(
+            """SELECT pv || '-' || CAST(min(ts_ns) // 1000000000 AS VARCHAR) || '-'
+            || CAST(min(ts_ns) % 1000000000 AS VARCHAR)
+            || CASE part WHEN 0 THEN '' ELSE '-' || lpad(CAST(part AS VARCHAR), 9, '0') END AS bucket_id,
+            pv, min(ts_ns) AS first_ns, max(ts_ns) AS last_ns, count(*) AS sample_count
+            FROM (SELECT *, (row_number() OVER (PARTITION BY pv, day_no ORDER BY ts_ns, value) - 1) // 2 AS part
+              FROM (SELECT *, ts_ns // 86400000000000 AS day_no FROM v_samples))
+            GROUP BY pv, day_no, part"""
+        ),
+    ),
     "query_samples": (
         q_query_samples,
         oracle(

@@ -18,7 +18,7 @@ def q_classify(spark, sf):
 
 
 def q_signal(spark, sf):
-    out = spatial.spatial_signal(_parsed(spark, sf), v.v_dims(spark, sf)["pattern_tags"])
+    out = spatial.spatial_signal(_parsed(spark, sf), v.v_dims(spark, sf).get("pattern_tags"))
     return out.select("pv", "signal_type", "units", F.array_join("pattern_tags", ",").alias("tags"))
 
 

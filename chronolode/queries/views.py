@@ -301,8 +301,6 @@ def v_events_meta(spark, sf):
 
 
 def v_dims(spark, sf):
-    from chronolode.operators.spatial import pattern_tags
-
     area = spark.sql(
         f"""SELECT area, CAST(z_min AS DOUBLE) AS z_min, CAST(z_max AS DOUBLE) AS z_max, array(beam_path) AS beam_path,
         'area ' || area AS description FROM {AREA_ROWS} AS a(area, z_min, z_max, beam_path)"""
@@ -311,7 +309,7 @@ def v_dims(spark, sf):
         f"""SELECT device_type, category, 'does ' || category AS function, controllable, array('kind_' || category)
         AS tags FROM {DEVICE_ROWS} AS d(device_type, category, controllable)"""
     )
-    return {"area": area, "device": device, "pattern_tags": pattern_tags(spark)}
+    return {"area": area, "device": device}
 
 
 def v_buckets(spark, sf):

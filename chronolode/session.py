@@ -4,8 +4,11 @@ On a cluster the caller brings the session. Nothing here overrides a setting
 that such a session already carries.
 """
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,7 +40,15 @@ def shared_folder(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="spark-shared-")
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    """One folder for all local sessions of this process, removed when it ends."""
+    path = tempfile.mkdtemp(prefix="spark-shared-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -43,8 +43,8 @@ def parse_answers(answers: DataFrame, column: str = "payload") -> DataFrame:
 
     return answers.select(
         first["meta"]["name"].alias("pv"),
-        F.when(~valid, F.lit("JSON parsing error"))
-        .when(~is_list | first.isNull(), F.lit("Invalid JSON format: expected non-empty array"))
+        F.when(~valid, F.lit("answer is no JSON"))
+        .when(~is_list | first.isNull(), F.lit("answer has no signal: a list with one entry at least is needed"))
         .otherwise(F.lit(""))
         .alias("error"),
         F.zip_with(

@@ -1,5 +1,6 @@
 """The bucket store: Parquet in day folders, sorted by signal."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,9 +43,50 @@ def save_buckets(
     laid_out(buckets, folder, layout, partitions).write.mode(mode).partitionBy(folder).parquet(path)
 
 
-def write_buckets(requests: DataFrame, path: str, mode: str = "append", folder: str = "day") -> DataFrame:
-    """Store one bucket per column of every accepted request in one pass; returns the stored table."""
-    save_buckets(request_buckets(requests), path, mode, folder)
+# What makes a stored bucket the same one when it is written again.
+BUCKET_KEY = ["day", "pv", "provider_id", "request_id", "bucket_id"]
+
+
+def consistent(buckets: DataFrame) -> DataFrame:
+    """Buckets with an instant for every value."""
+    return buckets.where(F.col("first_ns").isNotNull() & (F.size("vals") == F.col("sample_count")))
+
+
+def _stored(spark: SparkSession, path: str) -> bool:
+    try:
+        return not read_buckets(spark, path).isEmpty()
+    except AnalysisException:  # no such path yet
+        return False
+
+
+def insert_buckets(buckets: DataFrame, path: str, folder: str = "day") -> None:
+    """Add the buckets a store does not have yet; inserting them again changes nothing.
+
+    Keys of the days at hand are read from the store, never arrays. Every
+    bucket is taken once, also when the input repeats it.
+    """
+    spark = buckets.sparkSession
+    new = consistent(buckets).dropDuplicates(BUCKET_KEY)
+    if _stored(spark, path):
+        same = [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in BUCKET_KEY]
+        old = read_buckets(spark, path).select(*BUCKET_KEY)
+        condition = same[0]
+        for test in same[1:]:
+            condition = condition & test
+        new = new.alias("n").join(old.alias("o"), condition, "left_anti")
+    save_buckets(new, path, "append", folder)
+
+
+def write_buckets(requests: DataFrame, path: str, mode: str = "insert", folder: str = "day") -> DataFrame:
+    """Store one bucket per column of every consistent request; returns the stored table.
+
+    ``insert`` adds what the store lacks, so a repeated call changes nothing.
+    ``overwrite`` and ``append`` write in one pass without looking.
+    """
+    if mode == "insert":
+        insert_buckets(request_buckets(requests), path, folder)
+    else:
+        save_buckets(consistent(request_buckets(requests)), path, mode, folder)
     return read_buckets(requests.sparkSession, path)
 
 
@@ -53,6 +95,7 @@ def read_buckets(spark: SparkSession, path: str) -> DataFrame:
 
 
 def compact_day(spark: SparkSession, source: str, target: str, day: str, partitions: int | None = None) -> None:
-    """Rewrite one day of a store into clustered files of another store."""
+    """Rewrite one day of a store into clustered files of another store, in place of what that has of the day."""
     one = read_buckets(spark, source).where(F.col("day") == F.lit(day).cast("date"))
-    save_buckets(one, target, "append", layout="range", partitions=partitions)
+    clustered = laid_out(one, "day", "range", partitions)
+    clustered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(target)

@@ -13,7 +13,7 @@ from chronolode import schema
 from chronolode.operators.axis import expand_timestamps
 from chronolode.operators.buckets import request_buckets
 from chronolode.operators.ingest import accepted, request_status, validate_requests
-from chronolode.sources.store import laid_out
+from chronolode.sources.store import insert_buckets, laid_out
 
 
 def request_stream(
@@ -26,9 +26,15 @@ def request_stream(
     return reader.parquet(path)
 
 
-def _replace_batch(df: DataFrame, batch_id: int, path: str) -> None:
-    """Write under this batch's folder; a repeated batch replaces itself."""
-    df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark keeps in a checkpoint, the same whenever its query starts again."""
+    return spark.read.json(f"{checkpoint}/metadata").first()["id"]
+
+
+def _replace_batch(df: DataFrame, folder: str, by_day: bool = False) -> None:
+    """Write under the folder of one batch of one query; a repeated batch replaces itself."""
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy("day") if by_day else writer).parquet(folder)
 
 
 def stream_ingest(
@@ -36,23 +42,47 @@ def stream_ingest(
 ) -> StreamingQuery:
     """Validate requests as they come, store their buckets and one status row each.
 
-    Every batch owns its folder, so a batch run again after a failure leaves
-    no duplicates.
+    Every batch owns a folder under the id its checkpoint gives the query. So
+    a batch run again after a failure leaves no duplicates, and streams with
+    other checkpoints can write to the same place. Buckets are written before
+    the status rows that report them, from one validation of the batch.
     """
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
-        checked = validate_requests(batch, providers)
-        _replace_batch(request_status(checked), batch_id, f"{out}/status")
-        _replace_batch(laid_out(request_buckets(accepted(checked))), batch_id, f"{out}/buckets")
+        own = f"source={_query_id(batch.sparkSession, checkpoint)}/batch={batch_id}"
+        checked = validate_requests(batch, providers).persist()
+        try:
+            _replace_batch(laid_out(request_buckets(accepted(checked))), f"{out}/buckets/{own}", by_day=True)
+            _replace_batch(request_status(checked), f"{out}/status/{own}")
+        finally:
+            checked.unpersist()
 
     writer = source.writeStream.foreachBatch(ingest).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def _one_source(rows: DataFrame) -> DataFrame:
+    """Of requests that several streams have stored, the rows of one stream; only keys are read to choose it."""
+    if rows.select("source").distinct().limit(2).count() < 2:
+        return rows.drop("source", "batch")
+    key = ["provider_id", "request_id"]
+    owner = rows.groupBy(*key).agg(F.min("source").alias("source"))
+    return rows.join(owner, [*key, "source"], "left_semi").drop("source", "batch")
+
+
 def ingested(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
-    """Buckets and status rows a stream has stored so far."""
-    buckets = spark.read.parquet(f"{out}/buckets").drop("batch")
-    return buckets, spark.read.parquet(f"{out}/status").drop("batch")
+    """Buckets and status rows that streams have stored so far.
+
+    A stream that lost its checkpoint reads its input again into folders of
+    its own; a request stored by several streams is taken from one of them.
+    """
+    buckets = _one_source(spark.read.schema(schema.BUCKETS).parquet(f"{out}/buckets"))
+    return buckets.select(*schema.BUCKETS.names), _one_source(spark.read.parquet(f"{out}/status"))
+
+
+def merge_stream(spark: SparkSession, out: str, store: str) -> None:
+    """Add what a stream has stored so far to the store of batch imports; run again, it adds only what is new."""
+    insert_buckets(spark.read.schema(schema.BUCKETS).parquet(f"{out}/buckets"), store)
 
 
 def subscription(source: DataFrame, pvs: list[str], since_ns: int) -> DataFrame:

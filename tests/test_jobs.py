@@ -6,10 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from chronolode import schema
-from chronolode.operators import buckets, files, ingest
+from chronolode.operators import annotations, buckets, datasets, files, ingest, spatial, tables
 from chronolode.plans import jobs
 from chronolode.queries import views as v
-from chronolode.sources import catalog, dictionaries, store
+from chronolode.sources import catalog, dictionaries, export, store
 from chronolode.streaming import jobs as streaming
 
 SF = "/root/testdata/sf0.001"
@@ -37,7 +37,19 @@ def raw(spark):
 
 def test_import(spark):
     done = spark.createDataFrame([("/d/done.h5",)], "path string")
-    requests = jobs.import_requests(raw(spark), "prov-1", 99, done)
+    limits = {"min_file_bytes": 1024, "max_file_bytes": 10**10, "max_objects": 10_000, "max_samples": 10**7}
+    requests = jobs.import_requests(raw(spark), "prov-1", 99, done, **limits)
+    rejects = {(r.path, r.signal_name): r.reason for r in jobs.import_rejects(raw(spark), done, **limits).collect()}
+    assert rejects == {
+        ("/d/a.h5", "secondsPastEpoch"): "time, not a signal",
+        ("/d/a.h5", "BPMS_LI23_1_X"): "no dimension fits the time axis",
+        ("/d/a.h5", "BPMS_LI23_2_X"): "seconds and nanoseconds differ",
+        ("/d/small.h5", "KLYS_LI23_1_AMPL"): "too small",
+        ("/d/many.h5", "KLYS_LI23_1_AMPL"): "too many objects",
+        ("/d/done.h5", "KLYS_LI23_1_AMPL"): "file imported before",
+    }
+    assert requests.count() + len(rejects) == raw(spark).count()
+    assert jobs.import_requests(raw(spark), "prov-1", 99).count() == 6  # without limits or a manifest
     assert set(requests.columns) == set(schema.INGEST_REQUESTS.names)
     got = {r["columns"][0].name: r for r in requests.collect()}
     assert sorted(got) == ["BPMS_LI23_3_X", "KLYS_LI23_1_AMPL", "QUAD_LI23_1_BACT"]
@@ -93,7 +105,8 @@ def test_store_round_trip_and_compaction(spark, tmp_path):
     path = str(tmp_path / "s")
     requests = v.v_requests(spark, SF).limit(50)
     stored = store.write_buckets(requests, path)
-    assert stored.count() == 100
+    whole = requests.where("ts.count = 4").count()
+    assert stored.count() == 2 * whole
     day = stored.select("day").orderBy("day").first().day
     store.compact_day(spark, path, str(tmp_path / "c"), str(day), 1)
     assert store.read_buckets(spark, str(tmp_path / "c")).count() == stored.where(F.col("day") == F.lit(day)).count()
@@ -201,3 +214,97 @@ def test_scan_gets_the_filters(spark, tmp_path, capsys):
     assert f"GreaterThanOrEqual(last_ns,{begin})" in pushed and f"LessThan(first_ns,{begin + S})" in pushed
     assert "day" in facts["PartitionFilters"]
     assert "data_type" not in facts["ReadSchema"] and "sample_count" not in facts["ReadSchema"]
+
+
+def store_requests(spark, n, prefix="r", declared=2):
+    rows = [("prov", f"{prefix}{i}", [(f"PV_{i % 3}", [1.0 * i, 2.0])], 86_400 * S * i, declared) for i in range(n)]
+    df = spark.createDataFrame(rows, "provider_id string, request_id string, columns array<struct<name:string,vals:array<double>>>, start bigint, n bigint")
+    return df.selectExpr(
+        "request_id", "provider_id", "'s' AS stream_id", "array('t') AS tags", "map('a', 'b') AS attributes",
+        "named_struct('description', 'd', 'start_ns', start, 'stop_ns', start) AS event",
+        "named_struct('kind', 'CLOCK', 'start_ns', start, 'period_ns', 5L, 'count', n, 'ts_ns', CAST(NULL AS ARRAY<BIGINT>)) AS ts",
+        "columns", "start AS received_ns",
+    )
+
+
+def test_store_can_be_written_again(spark, tmp_path):
+    path = str(tmp_path / "store")
+    for _ in range(2):
+        assert store.write_buckets(store_requests(spark, 30), path).count() == 30
+    assert store.write_buckets(store_requests(spark, 40), path).count() == 40
+    assert store.write_buckets(store_requests(spark, 5, "bad", declared=3), path).count() == 40  # inconsistent
+    day = str(store.read_buckets(spark, path).agg({"day": "max"}).first()[0])
+    for _ in range(2):
+        store.compact_day(spark, path, str(tmp_path / "compact"), day)
+    assert store.read_buckets(spark, str(tmp_path / "compact")).count() == 1
+
+
+def test_streams_share_a_store(spark, tmp_path):
+    """Two sources with checkpoints of their own keep all rows; merged twice, the batch store has each once."""
+    out, batch = str(tmp_path / "out"), str(tmp_path / "batch")
+    providers = spark.createDataFrame([("prov",)], "provider_id string")
+    for name, n in (("a", 20), ("b", 30)):
+        source = str(tmp_path / name)
+        store_requests(spark, n, name).repartition(3).write.parquet(source)
+        stream = streaming.request_stream(spark, source, 1, store_requests(spark, 1).schema)
+        streaming.stream_ingest(stream, providers, out, str(tmp_path / f"progress-{name}"), True).awaitTermination()
+    found, status = streaming.ingested(spark, out)
+    assert status.count() == 50 and found.count() == 50
+    plan = found.where(F.col("day") == F.lit("1970-01-03").cast("date"))._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+    store.write_buckets(store_requests(spark, 10, "batch"), batch)
+    for _ in range(2):
+        streaming.merge_stream(spark, out, batch)
+        assert store.read_buckets(spark, batch).count() == 60
+
+
+def test_names_with_dots_and_two_values_at_an_instant(spark, tmp_path):
+    nan = float("nan")
+    rows = [("A.B", 1, 1.0), ("A.B", 2, nan), ("A.B", 2, 5.0), ("C`D", 1, 2.0), ("C`D", 2, nan)]
+    df = spark.createDataFrame(rows, "pv string, ts_ns bigint, value double")
+    table = tables.table_columns(df, None, None, ["A.B", "C`D"])
+    back = {(r.pv, r.ts_ns): str(r.value) for r in tables.table_to_map(table).collect()}
+    assert back == {("A.B", 1): "1.0", ("A.B", 2): "5.0", ("C`D", 1): "2.0", ("C`D", 2): "nan"}
+    rows = {r.ts_ns: r["values"] for r in tables.table_rows(df, None, None).collect()}
+    assert rows[2]["A.B"] == 5.0
+
+
+def test_wide_export(spark, tmp_path):
+    """More signals than one CSV table takes: several tables with one key."""
+    pvs = [f"P.{i:04d}" for i in range(2500)]
+    sets = spark.createDataFrame([(1, [(0, 10, pvs)])], "dataset_id int, blocks array<struct<begin_ns:bigint,end_ns:bigint,pvs:array<string>>>")
+    samples = spark.createDataFrame([(p, i % 2, float(i)) for i, p in enumerate(pvs)], "pv string, ts_ns bigint, value double")
+    path = export.export_csv(sets, samples, 1, str(tmp_path / "csv"))
+    parts = sorted(os.listdir(path))
+    assert parts == ["columns-00000", "columns-00001", "columns-00002"]
+    read = [spark.read.option("header", True).csv(f"{path}/{p}") for p in parts]
+    assert [c for df in read for c in df.columns if c != "ts_ns"] == pvs
+    assert read[2].where("ts_ns = 1").first()["P.2499"] == "2499.0"
+
+
+def test_annotation_ids_and_references(spark):
+    rows = [("o", "n", [1], [], "x"), ("o", "n", [1], [], "y"), ("o", "n", [9], [], "x"), ("o", "n", [1], ["gone"], "x"), (None, "n", [9], [], "z")]
+    incoming = spark.createDataFrame(rows, "owner string, name string, dataset_ids array<int>, annotation_ids array<string>, comment string")
+    plain = annotations.create_annotations(incoming).collect()
+    assert len({r.annotation_id for r in plain if r.annotation_id}) == 4
+    known = spark.createDataFrame([(1,)], "dataset_id int"), spark.createDataFrame([("a",)], "annotation_id string")
+    checked = [(r.message, r.annotation_id is None) for r in annotations.create_annotations(incoming, *known).collect()]
+    assert sorted(checked) == sorted([("", False), ("", False), ("unknown dataset", True), ("unknown annotation", True), ("owner missing", True)])
+    bad = spark.createDataFrame([("n", "o", "d", [(5, 4, ["p"])])], "name string, owner string, description string, blocks array<struct<begin_ns:bigint,end_ns:bigint,pvs:array<string>>>")
+    assert datasets.create_datasets(bad).first().message == "incomplete data block"
+
+
+def test_no_shuffle_by_signal_alone(spark):
+    """Neither enrichment nor dataset joins deal rows out by the signal's name or the device type."""
+
+    def exchanges(df):
+        return [x for x in df._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange hashpartitioning" in x]
+
+    enriched = spatial.spatial_enrich(v.v_samples(spark, SF), v.v_dims(spark, SF), "_")
+    assert exchanges(enriched) == []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = datasets.dataset_buckets(v.v_datasets(spark, SF), v.v_buckets(spark, SF))
+        assert not [x for x in exchanges(found) if "hashpartitioning(pv" in x and x.count("#") == 1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -216,7 +216,7 @@ def test_slices(spark):
 def test_admission_bounds(spark):
     sizes = [1023, 1024, 10 * 1024**3, 10 * 1024**3 + 1]
     df = spark.createDataFrame([(str(n), n) for n in sizes], "path string, file_bytes bigint")
-    assert {r.file_bytes for r in files.file_admission(df).where("admitted").collect()} == set(sizes[1:3])
+    assert {r.file_bytes for r in files.file_admission(df, files.MIN_FILE_BYTES, files.MAX_FILE_BYTES).where("admitted").collect()} == set(sizes[1:3])
 
 
 def test_dataset_criteria(spark):

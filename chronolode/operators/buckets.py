@@ -129,8 +129,9 @@ def query_buckets(
     """Buckets that overlap [begin, end).
 
     All tests are on plain columns and reach the Parquet scan; ``day`` prunes
-    folders. ``max_span_days`` states how long a bucket of this store may last,
-    which bounds the days before ``begin`` as well.
+    folders. How long a bucket may last bounds the days before ``begin`` as
+    well: the store says it by its ``span_days`` folders; for other tables
+    ``max_span_days`` can state it.
     """
     first, last = F.col("first_ns"), F.col("last_ns")
     out = select_pvs(buckets, pvs, pattern).where(last >= begin_ns)
@@ -140,6 +141,9 @@ def query_buckets(
         out = _within(out, "day", lambda d: d, lo, end_ns // NS_PER_DAY)
         if "month" in buckets.columns:
             out = _within(out, "month", lambda d: F.trunc(d, "month"), lo, end_ns // NS_PER_DAY)
+        if "span_days" in buckets.columns:
+            latest = F.last_day("month") if "month" in buckets.columns else F.col("day")
+            out = out.where(F.date_add(latest, F.col("span_days")) >= F.date_from_unix_date(F.lit(begin_ns // NS_PER_DAY)))
     return out
 
 

@@ -16,20 +16,21 @@ def _rounded(df, *columns):
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
 
-def _finite(df):
-    """Samples without Inf, for results where it would turn into NaN."""
-    return df.where(F.isnan("value") | (F.abs("value") < float("inf")))
+def _plain(df, *columns):
+    """Numbers rounded and NULL where they are none; ``odd`` names those that are Inf or NaN, as engines write them apart."""
+    inf = float("inf")
+    odd = F.concat_ws(",", *[F.when(F.isnan(c), f"{c}=nan").when(F.col(c) == inf, f"{c}=inf").when(F.col(c) == -inf, f"{c}=-inf") for c in columns])
+    finite = {c: F.when(F.abs(c) < inf, F.round(c, 6)) for c in columns}
+    return df.withColumn("odd", odd).withColumns(finite)
 
 
 def q_pv_statistics(spark, sf):
-    out = stats.pv_statistics(_finite(v.v_samples(spark, sf)))
-    return _rounded(out, "mean", "median", "std_dev")
+    return _plain(stats.pv_statistics(v.v_samples(spark, sf)), "mean", "median", "std_dev", "min", "max")
 
 
 def q_pv_statistics_hot(spark, sf):
     """The same with every signal treated as hot: all medians come from the digit-wise search."""
-    out = stats.pv_statistics(_finite(v.v_samples(spark, sf)), hot_samples=0)
-    return _rounded(out, "mean", "median", "std_dev")
+    return _plain(stats.pv_statistics(v.v_samples(spark, sf), hot_samples=0), "mean", "median", "std_dev", "min", "max")
 
 
 def q_radix_median(spark, sf):
@@ -41,15 +42,14 @@ def q_radix_median(spark, sf):
 
 
 def q_statistics_window(spark, sf):
-    finite = _finite(v.v_samples(spark, sf))
     store = scratch(spark, "store")
-    save_buckets(pack_buckets(finite), store, "overwrite")
+    save_buckets(pack_buckets(v.v_samples(spark, sf)), store, "overwrite")
     out = jobs.statistics_of_window(spark.read.parquet(store), BEGIN, END, pattern="^BPMS_", max_span_days=1)
-    return _rounded(out, "mean", "median", "std_dev")
+    return _plain(out, "mean", "median", "std_dev", "min", "max")
 
 
 def q_table_summary(spark, sf):
-    return _rounded(stats.table_summary(_finite(v.v_samples(spark, sf))), "mean")
+    return _plain(stats.table_summary(v.v_samples(spark, sf)), "mean", "min", "max")
 
 
 def q_data_summary(spark, sf):
@@ -118,15 +118,35 @@ def q_stream_requests(spark, sf):
 
 
 _P = "CASE WHEN isnan(value) THEN NULL ELSE value END"
-_STATS = """SELECT pv, count({p}) AS count, CAST(sum(CASE WHEN isnan(value) THEN 1 ELSE 0 END) AS BIGINT) AS nan_count,
-    round(avg({p}), 6) AS mean, round(median({p}), 6) AS median, round(stddev_pop({p}), 6) AS std_dev,
-    min({p}) AS min, max({p}) AS max FROM v_samples WHERE NOT isinf(value) {where} GROUP BY pv"""
+# Inf carries over to the mean and makes the deviation NaN; some engines refuse to say so
+_F = "CASE WHEN isfinite(value) THEN value END"
+_MEAN = f"CASE WHEN bool_or(isinf(value)) THEN sum(CASE WHEN isinf(value) THEN value END) ELSE avg({_F}) END"
+_DEVIATION = f"CASE WHEN bool_or(isinf(value)) THEN 'nan'::DOUBLE ELSE stddev_pop({_F}) END"
+
+
+def _plain_sql(body: str, keys: str, *columns: str) -> str:
+    """The twin of ``_plain`` over a query."""
+    odd = ", ".join(
+        f"CASE WHEN isnan({c}) THEN '{c}=nan' WHEN {c} = 'inf'::DOUBLE THEN '{c}=inf' WHEN {c} = '-inf'::DOUBLE THEN '{c}=-inf' END"
+        for c in columns
+    )
+    finite = ", ".join(f"CASE WHEN isfinite({c}) THEN round({c}, 6) END AS {c}" for c in columns)
+    return f"SELECT {keys}, {finite}, concat_ws(',', {odd}) AS odd FROM ({body})"
+
+
+def _stats_sql(where: str = "true") -> str:
+    body = f"""SELECT pv, count({_P}) AS count, CAST(sum(CASE WHEN isnan(value) THEN 1 ELSE 0 END) AS BIGINT) AS nan_count,
+        {_MEAN} AS mean, median({_P}) AS median, {_DEVIATION} AS std_dev, min({_P}) AS min, max({_P}) AS max
+        FROM v_samples WHERE {where} GROUP BY pv"""
+    return _plain_sql(body, "pv, count, nan_count", "mean", "median", "std_dev", "min", "max")
+
+
 _VALID = "isfinite(value) AND severity < 3"
 _REJECTED = "provider_id = '' OR declared <> 4 OR provider_id NOT IN (SELECT provider_id FROM v_providers)"
 
 QUERIES = {
-    "pv_statistics": (q_pv_statistics, oracle(_STATS.format(p=_P, where=""))),
-    "pv_statistics_hot": (q_pv_statistics_hot, oracle(_STATS.format(p=_P, where=""))),
+    "pv_statistics": (q_pv_statistics, oracle(_stats_sql())),
+    "pv_statistics_hot": (q_pv_statistics_hot, oracle(_stats_sql())),
     "radix_median": (
         q_radix_median,
         """SELECT l_returnflag || l_linestatus AS pv, round(median(l_extendedprice), 6) AS median
@@ -134,13 +154,15 @@ QUERIES = {
     ),
     "statistics_window": (
         q_statistics_window,
-        oracle(_STATS.format(p=_P, where=f"AND ts_ns >= {BEGIN} AND ts_ns < {END} AND starts_with(pv, 'BPMS_')")),
+        oracle(_stats_sql(f"ts_ns >= {BEGIN} AND ts_ns < {END} AND starts_with(pv, 'BPMS_')")),
     ),
     "table_summary": (
         q_table_summary,
         oracle(
-            f"""SELECT pv, count({_P}) AS count, min({_P}) AS min, max({_P}) AS max, round(avg({_P}), 6) AS mean
-            FROM v_samples WHERE NOT isinf(value) GROUP BY pv"""
+            _plain_sql(
+                f"SELECT pv, count({_P}) AS count, min({_P}) AS min, max({_P}) AS max, {_MEAN} AS mean FROM v_samples GROUP BY pv",
+                "pv, count", "mean", "min", "max",
+            )
         ),
     ),
     "data_summary": (

@@ -1,10 +1,16 @@
-"""The bucket store: Parquet in day folders, sorted by signal."""
+"""The bucket store: Parquet in day folders, sorted by signal.
+
+Below its day a bucket lies in a folder that bounds the days it lasts
+(``span_days``: 0, 1, 2, 4 and so on). So a query knows without being told how
+far before its begin the folders go that it must open.
+"""
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronolode import schema
+from chronolode.functions.timestamps import day_of
 from chronolode.operators.buckets import request_buckets
 
 
@@ -40,7 +46,15 @@ def save_buckets(
         buckets = buckets.withColumn("month", F.trunc("day", "month"))
     elif folder != "day":
         raise ValueError(f"unknown folder {folder!r}")
-    laid_out(buckets, folder, layout, partitions).write.mode(mode).partitionBy(folder).parquet(path)
+    rows = laid_out(with_span(buckets), folder, layout, partitions)
+    rows.write.mode(mode).partitionBy(folder, "span_days").parquet(path)
+
+
+def with_span(buckets: DataFrame) -> DataFrame:
+    """Add ``span_days``: the days from a bucket's day to that of its last instant, up to the next power of two."""
+    days = F.datediff(day_of(F.col("last_ns")), F.col("day"))
+    bound = F.pow(F.lit(2), F.ceil(F.log2(days.cast("double")))).cast("int")
+    return buckets.withColumn("span_days", F.when(days > 0, bound).otherwise(0))
 
 
 # What makes a stored bucket the same one when it is written again.
@@ -97,5 +111,5 @@ def read_buckets(spark: SparkSession, path: str) -> DataFrame:
 def compact_day(spark: SparkSession, source: str, target: str, day: str, partitions: int | None = None) -> None:
     """Rewrite one day of a store into clustered files of another store, in place of what that has of the day."""
     one = read_buckets(spark, source).where(F.col("day") == F.lit(day).cast("date"))
-    clustered = laid_out(one, "day", "range", partitions)
-    clustered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(target)
+    writer = laid_out(with_span(one), "day", "range", partitions).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy("day", "span_days").parquet(target)

@@ -308,3 +308,20 @@ def test_no_shuffle_by_signal_alone(spark):
         assert not [x for x in exchanges(found) if "hashpartitioning(pv" in x and x.count("#") == 1]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("folder", ["day", "month"])
+def test_windows_prune_folders_on_both_sides(spark, tmp_path, folder):
+    """Without being told how long buckets last; long buckets are found all the same."""
+    path, day = str(tmp_path / "store"), 86_400 * S
+    long = store_requests(spark, 1, "long").withColumn("ts", F.col("ts").withField("period_ns", F.lit(100 * day)))
+    saved = store.write_buckets(store_requests(spark, 300).unionByName(long), path, folder=folder)
+    begin, end = 90 * day, 92 * day
+    found = buckets.query_buckets(store.read_buckets(spark, path), begin, end)
+    assert sorted(r.request_id for r in found.collect()) == ["long0", "r90", "r91"]
+    plain = buckets.query_buckets(saved.drop("span_days", "day", "month"), begin, end)
+    assert sorted(r.request_id for r in plain.collect()) == ["long0", "r90", "r91"]
+    plan = found._jdf.queryExecution().toString()
+    scan = next(x for x in plan.split("\n") if "PartitionFilters" in x)
+    filters = scan[scan.index("PartitionFilters") : scan.index("PushedFilters")]
+    assert f"{folder}#" in filters and "<= 1970-04-0" in filters and "(date_add(" in filters

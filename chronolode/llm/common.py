@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +41,33 @@ def text_of(column: Column | str) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def tidy(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``run`` for mapInArrow, giving memory back to the system when a task ends, as the next uses the same process."""
+
+    @wraps(run)
+    def wrapped(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return wrapped
+
+
+def parts_of(batches: Batches, rows: int = 256) -> Batches:
+    """The batches in slices of a few rows, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
 def byte_chunks(data: bytes, size: int = WORD_CHUNK) -> Iterator[bytes]:
     """``data`` in parts of about ``size`` bytes, cut in front of white space, so that no word is cut."""
     start = 0

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronolode.llm.common import fresh, kept, text_of
+from chronolode.llm.common import fresh, kept, parts_of, text_of, tidy
 
 STEP = 16
 WINDOW = 2 * STEP
@@ -113,7 +113,7 @@ def count_words(docs: DataFrame, vocabulary: dict[bytes, int]) -> tuple[np.ndarr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(none + 1, np.int64)
-        for batch in batches:
+        for batch in parts_of(batches):
             for text in batch.column(0).to_pylist():
                 ids = _numbers(words_of(text), vocabulary)
                 # passages side by side, not overlapping
@@ -124,7 +124,7 @@ def count_words(docs: DataFrame, vocabulary: dict[bytes, int]) -> tuple[np.ndarr
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], names=["word", "n"])
 
-    sums = docs.select(text_of("text").alias("text")).mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    sums = docs.select(text_of("text").alias("text")).mapInArrow(tidy(run), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counts = np.zeros(none + 1, np.int64)
     for r in sums.collect():  # at most the vocabulary of a block
         counts[r["word"]] = r["n"]
@@ -337,13 +337,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         if items:
             block = kept(spark.createDataFrame(items, "item long, item_id long, text string").repartition(8, "item"), "benchmark-block")
             space = build_space(corpus, block)
-            found = found.union(corpus.mapInArrow(_finder(space), schema))
+            found = found.union(corpus.mapInArrow(tidy(_finder(space)), schema))
     return found
 
 
 def _finder(space: Space):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches):
             out, docs, ids, lengths = [], [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids.append(_numbers(words_of(text), space.vocabulary))

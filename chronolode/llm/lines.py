@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronolode.llm.common import fresh, kept, text_of
+from chronolode.llm.common import fresh, kept, parts_of, text_of, tidy
 
 MIN_CHARS = 10
 NO_ID = (1 << 63) - 1
@@ -32,6 +32,8 @@ NO_ID = (1 << 63) - 1
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 MIXES = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 VARIANT_ROWS = 200_000
+#: What tells lines apart: where they are, and a hash for rows that share a doc_id.
+AT = ["doc", "line_no", "h1"]
 
 
 def line_rows(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -67,19 +69,19 @@ def variant_keys(line: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (k1, k2, place, doc, line_no) of lines (doc, line_no, line); place -1 is the whole line."""
-    names = ["k1", "k2", "place", "doc", "line_no"]
+    """Rows (k1, k2, place, doc, line_no, h1) of lines (doc, line_no, h1, line); place -1 is the whole line."""
+    names = ["k1", "k2", "place", "doc", "line_no", "h1"]
 
     def out(held):
-        k1, k2, place, doc, number = (np.concatenate(x) for x in zip(*held))
-        return pa.RecordBatch.from_arrays([pa.array(k1), pa.array(k2), pa.array(place, pa.int32()), pa.array(doc), pa.array(number, pa.int32())], names=names)
+        k1, k2, place, doc, number, h1 = (np.concatenate(x) for x in zip(*held))
+        return pa.RecordBatch.from_arrays([pa.array(k1), pa.array(k2), pa.array(place, pa.int32()), pa.array(doc), pa.array(number, pa.int32()), pa.array(h1)], names=names)
 
-    for batch in batches:
+    for batch in parts_of(batches, 1024):
         held, size = [], 0
-        for doc, number, line in zip(*(batch.column(i).to_pylist() for i in range(3))):
+        for doc, number, h1, line in zip(*(batch.column(i).to_pylist() for i in range(4))):
             k1, k2 = variant_keys(line)
             place = np.append(np.arange(len(k1) - 1), -1)
-            held.append((k1, k2, place, np.full(len(k1), doc, np.int64), np.full(len(k1), number, np.int32)))
+            held.append((k1, k2, place, np.full(len(k1), doc, np.int64), np.full(len(k1), number, np.int32), np.full(len(k1), h1, np.int64)))
             size += len(k1)
             if size > VARIANT_ROWS:
                 yield out(held)
@@ -89,8 +91,8 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _links(variants: DataFrame) -> DataFrame:
-    """(doc, line_no, to_doc, to_line): from later to earlier lines that share a variant as described above."""
-    at = F.struct("doc", "line_no")
+    """(at, to): from later to earlier lines that share a variant as described above."""
+    at = F.struct(*AT)
     same = Window.partitionBy("k1", "k2")
     rows = variants.withColumn("n", F.count("*").over(same)).where("n > 1")
     rows = rows.withColumn("whole", F.min(F.when(F.col("place") == -1, at)).over(same))
@@ -101,7 +103,7 @@ def _links(variants: DataFrame) -> DataFrame:
         F.when((F.col("place") >= 0) & (F.col("whole") != F.col("own")), F.struct(F.greatest("whole", "own").alias("later"), F.least("whole", "own").alias("earlier"))),
     )
     links = rows.select(F.explode(F.array_compact(cases)).alias("x"))
-    return links.select(F.expr("x.later.doc AS doc"), F.expr("x.later.line_no AS line_no"), F.expr("x.earlier.doc AS to_doc"), F.expr("x.earlier.line_no AS to_line")).distinct()
+    return links.select(F.col("x.later").alias("at"), F.col("x.earlier").alias("to")).distinct()
 
 
 def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -109,12 +111,12 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
     Returns doc_id, line_no (from 0), seen_doc_id and seen_line_no (the earliest line within the bound, which may itself
     be removed), edits (0 or 1). Order is by doc_id, null last, then line number; null and empty texts have one empty
-    line. Lines under ``min_chars`` code points are never removed: they are structure rather than content. Repeated rows
-    of one doc_id count as one document for the order, and lines at the same place are then copies of each other without
-    being removed. Further columns are ignored; an empty table gives no rows.
+    line. Lines under ``min_chars`` code points are never removed: they are structure rather than content. Rows that share
+    a doc_id, or have none, share their places, too: equal lines at one place stay together, and of different ones the
+    order is that of a hash. Further columns are ignored; an empty table gives no rows.
     """
     lines = kept(line_rows(docs, min_chars), "lines")
-    at = F.struct("doc", "line_no")
+    at = F.struct(*AT)
     classes = kept(lines.groupBy("h1", "h2").agg(F.min(at).alias("at"), F.first("halves").alias("halves"), F.count("*").alias("n")), "line-classes")
     halves = classes.select("at", F.explode("halves").alias("half"))
     alike = halves.withColumn("n", F.count("*").over(Window.partitionBy("half"))).where("n > 1").select("at.*").distinct()
@@ -122,24 +124,23 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     source = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), text_of("text").alias("text"))
     wanted = alike.groupBy("doc").agg(F.collect_set("line_no").alias("wanted"))
     texts = source.join(wanted, "doc").select("doc", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"), "wanted")
-    texts = kept(texts.where("array_contains(wanted, line_no)").select("doc", "line_no", "line").dropDuplicates(["doc", "line_no"]), "line-texts")
+    texts = texts.where("array_contains(wanted, line_no)").select("doc", "line_no", F.xxhash64("line").alias("h1"), "line")
+    texts = kept(texts.where(F.char_length("line") >= min_chars).dropDuplicates(AT), "line-texts")
 
-    links = _links(texts.mapInArrow(_variants, "k1 long, k2 long, place int, doc long, line_no int"))
-    other = texts.select(F.col("doc").alias("to_doc"), F.col("line_no").alias("to_line"), F.col("line").alias("to_text"))
-    near = links.join(texts, ["doc", "line_no"]).join(other, ["to_doc", "to_line"]).where(F.levenshtein("line", "to_text", 1) == 1)
-    first = near.groupBy("doc", "line_no").agg(F.min(F.struct(F.col("to_doc").alias("doc"), F.col("to_line").alias("line_no"))).alias("seen"))
-
-    named = first.select(F.struct("doc", "line_no").alias("at"), "seen")
+    links = _links(texts.mapInArrow(tidy(_variants), "k1 long, k2 long, place int, doc long, line_no int, h1 long"))
+    one, other = texts.select(at.alias("at"), "line"), texts.select(at.alias("to"), F.col("line").alias("to_text"))
+    near = links.join(one, "at").join(other, "to").where(F.levenshtein("line", "to_text", 1) == 1)
+    named = near.groupBy("at").agg(F.min("to").alias("seen"))
     named = classes.join(named, "at", "left").where("n > 1 OR seen IS NOT NULL")
     named = named.select("h1", "h2", F.coalesce("seen", "at").alias("seen"), F.col("seen").isNotNull().cast("int").alias("edits"))
-    gone = lines.join(named, ["h1", "h2"]).where(F.struct("doc", "line_no") > F.col("seen"))
+    gone = lines.join(named, ["h1", "h2"]).where(at > F.col("seen"))
     ids = [F.expr(f"nullif({c}, {NO_ID}L)") for c in ("doc", "seen.doc")]
     return gone.select(ids[0].alias("doc_id"), "line_no", ids[1].alias("seen_doc_id"), F.col("seen.line_no").alias("seen_line_no"), "edits")
 
 
 def _without(batches: Iterator[pa.RecordBatch], text: int, gone: int, count: int | None) -> Iterator[pa.RecordBatch]:
     """The batches with the named lines taken out of the texts; rows whose every line went are left out."""
-    for batch in batches:
+    for batch in parts_of(batches):
         texts, stays = batch.column(text).to_pylist(), []
         for i, numbers in enumerate(batch.column(gone).to_pylist()):
             if numbers:
@@ -166,4 +167,4 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFram
     rows = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone[own]), "left").drop(own)
     text, last = docs.columns.index("text"), len(docs.columns)
     count = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
-    return rows.mapInArrow(lambda batches: _without(batches, text, last, count), rows.schema).drop(mark)
+    return rows.mapInArrow(tidy(lambda batches: _without(batches, text, last, count)), rows.schema).drop(mark)

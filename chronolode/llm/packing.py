@@ -21,11 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronolode.llm.common import fresh, kept, text_of
+from chronolode.llm.common import fresh, kept, parts_of, text_of, tidy
 
 LENGTH = 1024
 END_ID = 2
-CACHE_WORDS = 400_000
+CACHE_WORDS = 240_000
 LONG_WORD = 100
 #: Fixed value: how the vocabulary file writes a space.
 SPACE = "Ġ"
@@ -119,17 +119,16 @@ def token_pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH,
             columns = [pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(size, pa.int64()), pa.array(ids, pa.binary())]
             return pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids"])
 
-        for batch in batches:
-            for at in range(0, len(batch), 256):
-                part, rows = batch.slice(at, 256), []
-                for doc, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist())):
-                    ids += end
-                    edges = cuts(len(ids) // 4, length)
-                    rows += [(doc, i, a, b - a, ids[4 * a : 4 * b]) for i, (a, b) in enumerate(zip(edges, edges[1:]))]
-                yield out(rows)
+        for part in parts_of(batches):
+            rows = []
+            for doc, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist())):
+                ids += end
+                edges = cuts(len(ids) // 4, length)
+                rows += [(doc, i, a, b - a, ids[4 * a : 4 * b]) for i, (a, b) in enumerate(zip(edges, edges[1:]))]
+            yield out(rows)
 
     schema = "doc_id long, piece int, start long, length long, ids binary"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text")).mapInArrow(tidy(run), schema)
 
 
 def plan(counts: dict[int, int], length: int = LENGTH) -> list[tuple[list[int], int]]:

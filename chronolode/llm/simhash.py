@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronolode.llm.common import byte_chunks, components, fresh, kept, text_of
+from chronolode.llm.common import byte_chunks, components, fresh, kept, parts_of, text_of, tidy
 
 SHINGLE = 3
 SEED = 42
@@ -59,11 +59,11 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE, seed: int = SEED) -> Data
     """``docs`` (doc_id, text) with column fp, the fingerprint's 64 bits as BIGINT."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches):
             found = np.array([fingerprint(t, size, seed) for t in batch.column(1).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text")).mapInArrow(tidy(run), "doc_id long, fp long")
 
 
 def _variants(fps: DataFrame) -> DataFrame:
@@ -177,7 +177,7 @@ def _hot_links(fps: DataFrame, hot: DataFrame) -> DataFrame:
 def near_links(fps: DataFrame) -> DataFrame:
     """Edges (a, b) that join all distinct fingerprints (column fp) differing in at most two bits."""
     rows = _variants(fps).repartition("key").sortWithinPartitions("key")
-    found = kept(rows.mapInArrow(_links, "a long, b long, hot long"), "simhash-links")
+    found = kept(rows.mapInArrow(tidy(_links), "a long, b long, hot long"), "simhash-links")
     hot = kept(found.where("hot IS NOT NULL").select(F.col("hot").alias("key")).distinct(), "simhash-hot")
     links = found.where("hot IS NULL").select("a", "b")
     return links if hot.isEmpty() else links.union(_hot_links(fps, hot))

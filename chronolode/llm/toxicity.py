@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronolode.llm.common import fresh, kept, text_of
+from chronolode.llm.common import fresh, kept, parts_of, text_of, tidy
 
 #: Bounds of training: labelled documents read, forms kept, chains trained on.
 SAMPLE_DOCUMENTS = 8_000
@@ -37,7 +37,7 @@ COPY_CHARS = 60
 ROUNDS = 80
 CHAIN = 256
 BACKGROUND = 0.1
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 PREFIXES = (3, 4, 5, 6)
 SUFFIXES = (3, 4)
 
@@ -285,7 +285,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Field:
     rate = totals[1] / (totals[0] + totals[1])
     shuffled = [(F.pmod(F.xxhash64(F.lit(k), "id"), F.lit(1 << 30)) < int(rate * (1 << 30))).cast("int") for k in range(SHUFFLES)]
     given = sample.select("text", "y", *shuffled)
-    sums = given.mapInArrow(_forms_of, ", ".join(["form string", *(f"n{i} long" for i in range(SHUFFLES + 2))]))
+    sums = given.mapInArrow(tidy(_forms_of), ", ".join(["form string", *(f"n{i} long" for i in range(SHUFFLES + 2))]))
     sums = sums.groupBy("form").agg(*(F.sum(f"n{i}").alias(f"n{i}") for i in range(SHUFFLES + 2)))
     clean = F.col(f"n{SHUFFLES + 1}")
     both = F.col("n0") + clean
@@ -310,7 +310,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Field:
             columns = [pa.array(length, pa.int64()), pa.array(places, pa.list_(pa.int32())), pa.array(has, pa.list_(pa.list_(pa.string()))), pa.array(y, pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, names=["length", "places", "forms", "y"])
 
-    rows = sample.select("id", "text", "y").mapInArrow(chained, "length long, places array<int>, forms array<array<string>>, y int")
+    rows = sample.select("id", "text", "y").mapInArrow(tidy(chained), "length long, places array<int>, forms array<array<string>>, y int")
     rows = rows.orderBy(F.xxhash64("length", "places", "forms"), "length").limit(CHAINS).collect()
     field = train([(r["length"], [(p, list(fs), r["y"] == 1) for p, fs in zip(r["places"], r["forms"])]) for r in rows])
 
@@ -323,14 +323,12 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Field:
 def _summaries(sample: DataFrame, field: Field) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = Tagger(field)
-        for batch in batches:
-            found = []
-            for at in range(0, len(batch), 64):
-                found += [summary(c) for c in tagger.tag(batch.column(0).slice(at, 64).to_pylist())]
+        for batch in parts_of(batches, 64):
+            found = [summary(c) for c in tagger.tag(batch.column(0).to_pylist())]
             x, z = zip(*found) if found else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()), pa.array(z, pa.float64()), batch.column(1)], names=["x", "z", "y"])
 
-    return sample.select("text", "y").mapInArrow(run, "x double, z double, y int")
+    return sample.select("text", "y").mapInArrow(tidy(run), "x double, z double, y int")
 
 
 def tag_documents(docs: DataFrame, field: Field) -> DataFrame:
@@ -349,21 +347,19 @@ def tag_documents(docs: DataFrame, field: Field) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = Tagger(field)
-        for batch in batches:
-            for i in range(0, len(batch), 128):
-                part = batch.slice(i, 128)
-                texts = part.column(at).to_pylist()
-                chances = tagger.tag(texts)
-                columns = [
-                    *part.columns[:at],
-                    pa.array([score(field, c) for c in chances], pa.float64()),
-                    pa.array([float(c.sum()) for c in chances], pa.float64()),
-                    pa.array([[{"start": a, "end": b} for a, b in spans(t, c)] for t, c in zip(texts, chances)], span),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+        for part in parts_of(batches, 128):
+            texts = part.column(at).to_pylist()
+            chances = tagger.tag(texts)
+            columns = [
+                *part.columns[:at],
+                pa.array([score(field, c) for c in chances], pa.float64()),
+                pa.array([float(c.sum()) for c in chances], pa.float64()),
+                pa.array([[{"start": a, "end": b} for a, b in spans(t, c)] for t, c in zip(texts, chances)], span),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = T.StructType([*docs.schema.fields]).add("toxicity", T.DoubleType()).add("toxic_words", T.DoubleType())
-    return rows.mapInArrow(run, schema.add("toxic_spans", spark_span))
+    return rows.mapInArrow(tidy(run), schema.add("toxic_spans", spark_span))
 
 
 def held_out(doc_id: Column) -> Column:

@@ -83,3 +83,11 @@ def test_dropping(spark):
 def test_none(spark):
     assert lines.removed_lines(documents(spark, [])).collect() == []
     assert lines.drop_repeated_lines(documents(spark, [])).collect() == []
+
+
+def test_rows_without_ids_stay_apart(spark):
+    """Lines of several rows without doc_id, at the same place: only those with an earlier partner go."""
+    base = "the quick brown fox jumps"
+    rows = [(None, f"{base}\nsomething else entirely"), (None, f"words that nobody else has\n{base}"), (None, "yet another text here"), (4, "what the fourth one says"), (4, base + "!")]
+    got = sorted((str(r.doc_id), r.line_no, str(r.seen_doc_id)) for r in lines.removed_lines(documents(spark, rows)).collect())
+    assert got == [("None", 0, "4"), ("None", 1, "4")]

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronolode.llm.common import fresh, text_of
+from chronolode.llm.common import fresh, parts_of, text_of, tidy
 
 #: Bounds of training: pages read, characters of a page that is, and generated pages.
 SAMPLE_PAGES = 200
@@ -524,11 +524,9 @@ def main_text(pages: DataFrame, trees: Trees) -> DataFrame:
     names, at = [*pages.columns, "main_text"], len(pages.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(0, len(batch), 200):
-                part = batch.slice(i, 200)
-                texts = pa.array(extract(part.column(at).to_pylist(), trees), pa.string())
-                yield pa.RecordBatch.from_arrays([*part.columns[:at], texts], names=names)
+        for part in parts_of(batches):
+            texts = pa.array(extract(part.column(at).to_pylist(), trees), pa.string())
+            yield pa.RecordBatch.from_arrays([*part.columns[:at], texts], names=names)
 
     schema = T.StructType([*pages.schema.fields, T.StructField("main_text", T.StringType())])
-    return pages.withColumn(own, text_of("html")).mapInArrow(run, schema)
+    return pages.withColumn(own, text_of("html")).mapInArrow(tidy(run), schema)

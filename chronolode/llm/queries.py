@@ -83,8 +83,8 @@ sides AS (
   FROM pairs),
 near AS (
   SELECT line, min(to_pos) AS to_pos FROM sides
-  WHERE CASE WHEN even THEN len(list_filter(range(1, length(x) + 1), i -> substr(x, i, 1) <> substr(y, i, 1))) <= 1
-             ELSE len(list_filter(range(length(x)), i -> left(x, i) || substr(x, i + 2) = y)) > 0 END
+  WHERE CASE WHEN even THEN len(list_filter(range(1, length(x) + 1), lambda i: substr(x, i, 1) <> substr(y, i, 1))) <= 1
+             ELSE len(list_filter(range(length(x)), lambda i: left(x, i) || substr(x, i + 2) = y)) > 0 END
   GROUP BY line),
 s AS (SELECT c.line, coalesce(to_pos, pos) AS seen, CASE WHEN to_pos IS NULL THEN 0 ELSE 1 END AS edits FROM c LEFT JOIN near USING (line))
 SELECT doc_id, CAST(line_no AS INT) AS line_no, CAST(seen // 4294967296 AS BIGINT) AS seen_doc_id,

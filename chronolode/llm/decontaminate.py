@@ -3,14 +3,18 @@
 Benchmark texts are cut into passages and weighted by TF-IDF, where the document frequencies of their words are counted
 over the passages of all documents. A randomised SVD of that matrix, whose products are summed over the partitions that
 hold its rows, gives a latent space. Every passage of every document (overlapping windows of words) is folded into it,
-and windows whose cosine with a benchmark passage reaches ``SIMILARITY`` are candidates. A candidate is confirmed by the
-longest common subsequence of words around the window, weighted like the words; a paraphrase that keeps less of the
-text must also hold its answer, the end of the text.
-
-Words of no benchmark text are outside the space; each counts in the length of a window with the greatest weight. What
-each word can add to the inner product with any benchmark passage bounds a window's cosines, so windows whose bound is
-too small are left before they are folded in, without any loss. Benchmarks are taken in blocks of ``BLOCK_ITEMS``, which
-bounds what tasks are given.
+and windows whose cosine with a benchmark passage reaches ``SIMILARITY``, or that cover ``COVERED`` of its energy, are
+candidates. A candidate is confirmed by the longest common subsequence of words around the window, weighted like the
+words; a paraphrase that keeps less of the text must also hold its answer, the end of the text.
+
+A space has at most ``RANK`` passages, as many as it has axes, so it holds all their energy; larger benchmarks have
+several, which are searched side by side. Two windows in a row hold every word of a passage that is copied, so one of
+them covers half its energy at least, whatever stands beside the copy: copies are candidates without exception.
+
+Words of no benchmark text are outside the spaces; each counts in the length of a window with the greatest weight. What
+each word can add to the inner product with any benchmark passage bounds a window's cosines and cover, so windows whose
+bounds are too small are left before they are folded in, without any loss. Benchmarks are taken in blocks of
+``BLOCK_ITEMS``, which bounds what tasks are given.
 """
 
 from __future__ import annotations
@@ -35,6 +39,8 @@ OVERSAMPLING = 16
 BLOCK_ITEMS = 2_000
 SUM_GROUPS = 32
 SIMILARITY = 0.3
+#: Share of a passage's energy in a window; verbatim copies have 0.5 in one window at least.
+COVERED = 0.4
 #: Shares of a text's weight in the common subsequence: enough alone, and enough with that share of its answer.
 COPIED, REWORDED, ANSWERED = 0.7, 0.5, 0.8
 SEED = 40_503
@@ -63,17 +69,27 @@ class Item:
     answer: int
 
 
+@dataclass
+class Latent:
+    """Latent space of at most RANK passages."""
+
+    words: np.ndarray  # numbers of its words, sorted
+    axes: np.ndarray  # [word, axis]
+    passages: np.ndarray  # [passage, axis], unit rows
+    norms: np.ndarray  # of the passages before
+    owner: np.ndarray  # item of each passage
+    gain: np.ndarray  # of each word, the most it can add to the inner product with a unit passage
+    cover: np.ndarray  # of each word, the most it can add to the covered share of a passage
+
+
 @dataclass
 class Space:
-    """Vocabulary, weights and latent space of one block of benchmark texts."""
+    """Vocabulary, weights and latent spaces of one block of benchmark texts."""
 
     vocabulary: dict[bytes, int]
     items: list[Item]
     weights: np.ndarray  # of words; the last is that of all others
-    axes: np.ndarray  # [word, axis]
-    passages: np.ndarray  # [passage, axis], unit rows
-    owner: np.ndarray  # item of each passage
-    gain: np.ndarray  # of each word, the most it can add to the inner product with a passage
+    latents: list[Latent]
 
 
 def spots(n: int) -> list[tuple[int, int]]:
@@ -219,57 +235,89 @@ def build_space(docs: DataFrame, items: DataFrame) -> Space:
     vocabulary = {w: i for i, w in enumerate(sorted({w for ws in split for w in ws}))}
     counts, passages = count_words(docs, vocabulary)
     weights = np.append(np.log((passages + 2) / (counts + 1)), math.log(passages + 2))
-    axes = randomised_svd(items.select("item", "text"), vocabulary, weights)
+    latents = []
+    for pieces in pieces_of(split):
+        own = {w: i for i, w in enumerate(sorted({w for _, ws in pieces for w in ws}))}
+        words = _numbers(list(own), vocabulary)  # both sorted alike
+        rows = [(i, b" ".join(ws).decode("utf-8", "surrogatepass")) for i, ws in pieces]
+        part = kept(docs.sparkSession.createDataFrame(rows, "item long, text string").repartition(8), "benchmark-passages")
+        latents.append(_latent(pieces, own, words, weights[words], randomised_svd(part, own, weights[words])))
+    listed = [Item(r["item_id"], _numbers(ws, vocabulary), answer_of(r["text"])) for r, ws in zip(given, split)]
+    return Space(vocabulary, listed, weights, latents)
+
+
+def pieces_of(texts: list[list[bytes]]) -> Iterator[list[tuple[int, list[bytes]]]]:
+    """Groups of (text, words) with at most RANK passages each; a text of more passages is cut between them."""
+    group, size = [], 0
+    for i, words in enumerate(texts):
+        n = len(spots(len(words)))
+        for at in range(0, n, RANK):
+            more = min(RANK, n - at)
+            if size + more > RANK:
+                yield group
+                group, size = [], 0
+            group.append((i, words[at * STEP : (at + more - 1) * STEP + WINDOW]))
+            size += more
+    if group:
+        yield group
+
+
+def _latent(pieces: list[tuple[int, list[bytes]]], own: dict[bytes, int], words: np.ndarray, weights: np.ndarray, axes: np.ndarray) -> Latent:
     found, owner = [], []
-    for i, ws in enumerate(split):
-        ids = _numbers(ws, vocabulary)
+    for i, ws in pieces:
+        ids = _numbers(ws, own)
         for begin, end in spots(len(ids)):
             word, count = np.unique(ids[begin:end], return_counts=True)
             found.append((count * weights[word]) @ axes[word])
             owner.append(i)
-    latent = np.stack(found) if found else np.zeros((0, axes.shape[1]))
-    latent = latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
-    latent, axes = latent.astype(np.float32), axes.astype(np.float32)
-    gain = np.zeros(len(vocabulary), np.float32)
-    for at in range(0, len(latent), 256):
-        gain = np.maximum(gain, (axes @ latent[at : at + 256].T).max(axis=1))
-    listed = [Item(r["item_id"], _numbers(ws, vocabulary), answer_of(r["text"])) for r, ws in zip(given, split)]
-    return Space(vocabulary, listed, weights, axes, latent, np.array(owner, np.int64), gain)
+    latent = np.stack(found)
+    norms = np.maximum(np.linalg.norm(latent, axis=1), 1e-12).astype(np.float32)
+    latent, axes = (latent / norms[:, None]).astype(np.float32), axes.astype(np.float32)
+    adds = axes @ latent.T
+    return Latent(words, axes, latent, norms, np.array(owner, np.int64), np.maximum(adds.max(axis=1), 0), np.maximum((adds / norms).max(axis=1), 0))
 
 
 def candidates(space: Space, ids: np.ndarray, lengths: list[int]) -> list[tuple[int, int, int, int, float]]:
     """Windows like a benchmark passage: (text, begin, end, item, cosine), begin and end in the texts laid end to end."""
     none = len(space.vocabulary)
     text, begin, end = _windows(lengths)
-    if not len(text) or not len(space.owner):
+    if not len(text) or not space.latents:
         return []
     row, word, count = _entries(ids, begin, end, none)
     value = count * space.weights[word]
     inner = np.bincount(row, value**2, len(text))
     others = (end - begin) - np.bincount(row, count, len(text))
     norm = np.sqrt(np.maximum(inner + others * space.weights[none] ** 2, 1e-24))
-    left = np.bincount(row, value * space.gain[word], len(text)) >= (SIMILARITY - 1e-6) * norm
-    number = np.cumsum(left) - 1
+    found = []
+    for latent in space.latents:
+        number = np.full(none, -1)
+        number[latent.words] = np.arange(len(latent.words))
+        use = number[word] >= 0
+        found += [(int(text[w]), int(begin[w]), int(end[w]), *rest) for w, *rest in _like(latent, row[use], number[word[use]], value[use], norm)]
+    return found
+
+
+def _like(latent: Latent, row: np.ndarray, word: np.ndarray, value: np.ndarray, norm: np.ndarray) -> Iterator[tuple[int, int, float]]:
+    """(window, item, cosine) of windows like a passage of one space, from their entries in its words."""
+    n = len(norm)
+    left = np.bincount(row, value * latent.gain[word], n) >= (SIMILARITY - 1e-3) * norm
+    left |= np.bincount(row, value * latent.cover[word], n) >= COVERED - 1e-3
+    window, number = np.flatnonzero(left), np.cumsum(left) - 1
     use = left[row]
     row, word, value = number[row[use]], word[use], value[use].astype(np.float32)
-    text, begin, end, norm = text[left], begin[left], end[left], norm[left]
-    found = []
-    edges = np.searchsorted(row, np.arange(len(text) + 1))
-    for at in range(0, len(text), 2048):
-        stop = min(at + 2048, len(text))
+    edges = np.searchsorted(row, np.arange(len(window) + 1))
+    for at in range(0, len(window), 2048):
+        stop = min(at + 2048, len(window))
         a, b = edges[at], edges[stop]
-        folded = np.zeros((stop - at, space.axes.shape[1]), np.float32)
-        if b > a:
-            sums = np.add.reduceat(space.axes[word[a:b]] * value[a:b, None], np.unique(row[a:b], return_index=True)[1], axis=0)
-            folded[np.unique(row[a:b]) - at] = sums
-        strong = np.flatnonzero(np.linalg.norm(folded, axis=1) >= SIMILARITY * norm[at:stop])
-        if not len(strong):
+        if b == a:
             continue
-        cosine = folded[strong] @ space.passages.T / norm[at:stop][strong, None]
-        for i, j in zip(*np.nonzero(cosine >= SIMILARITY)):
-            w = at + int(strong[i])
-            found.append((int(text[w]), int(begin[w]), int(end[w]), int(space.owner[j]), float(cosine[i, j])))
-    return found
+        folded = np.zeros((stop - at, latent.axes.shape[1]), np.float32)
+        here, first = np.unique(row[a:b], return_index=True)
+        folded[here - at] = np.add.reduceat(latent.axes[word[a:b]] * value[a:b, None], first, axis=0)
+        inner = folded @ latent.passages.T
+        cosine = inner / norm[window[at:stop], None]
+        for i, j in zip(*np.nonzero((cosine >= SIMILARITY) | (inner >= COVERED * latent.norms))):
+            yield int(window[at + i]), int(latent.owner[j]), float(cosine[i, j])
 
 
 def common_weight(item: np.ndarray, region: np.ndarray, weights: np.ndarray) -> float:

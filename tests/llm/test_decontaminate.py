@@ -151,3 +151,29 @@ def test_query(spark):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     want = {(r.doc_id, k) for r in spark.read.parquet(f"{sf}/documents.parquet").collect() for k, t in items if t in (r.text or "")}
     assert want <= got
+
+
+def test_no_copy_is_lost_to_the_size_of_the_benchmark(spark):
+    """Copies of 1,000 texts, many more passages than axes, and counts of a large corpus: every one is a candidate."""
+    rng = random.Random(11)
+    items = bench(rng, 1_000)
+    reworded_texts = [reworded(rng, t, 0.25) for _, t in items]
+    copies = [f"{prose(rng, rng.randrange(40))} {t} {prose(rng, rng.randrange(40))}" for t in [t for _, t in items] + reworded_texts]
+    docs = documents(spark, [(i, prose(rng, 400)) for i in range(200)])
+    space = dec.build_space(docs, spark.createDataFrame([(i, k, t) for i, (k, t) in enumerate(items)], "item long, item_id long, text string"))
+    assert all(len(x.owner) <= dec.RANK for x in space.latents) and sum(len(x.owner) for x in space.latents) > 4 * dec.RANK
+    # words outside the benchmark as rare as in a corpus of many passages
+    space.weights[-1] = 25.0
+    ids = [dec._numbers(dec.words_of(t), space.vocabulary) for t in copies]
+    got = {(t, i) for t, i, *_ in dec.confirm(space, np.concatenate(ids), [len(x) for x in ids])}
+    assert {(i, i) for i in range(1_000)} <= got
+    assert sum((1_000 + i, i) in got for i in range(1_000)) >= 950
+
+
+def test_long_benchmark_texts_are_cut_between_passages():
+    texts = [[b"w%d" % i for i in range(n)] for n in (0, 5, 20_000, 33, 4_112)]
+    groups = list(dec.pieces_of(texts))
+    assert all(sum(len(dec.spots(len(ws))) for _, ws in g) <= dec.RANK for g in groups)
+    for i, words in enumerate(texts):
+        got = [tuple(ws[b:e]) for g in groups for k, ws in g if k == i for b, e in dec.spots(len(ws))]
+        assert got == [tuple(words[b:e]) for b, e in dec.spots(len(words))]

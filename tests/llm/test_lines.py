@@ -91,3 +91,18 @@ def test_rows_without_ids_stay_apart(spark):
     rows = [(None, f"{base}\nsomething else entirely"), (None, f"words that nobody else has\n{base}"), (None, "yet another text here"), (4, "what the fourth one says"), (4, base + "!")]
     got = sorted((str(r.doc_id), r.line_no, str(r.seen_doc_id)) for r in lines.removed_lines(documents(spark, rows)).collect())
     assert got == [("None", 0, "4"), ("None", 1, "4")]
+
+
+def test_dropping_by_row(spark):
+    """Rows without doc_id, or with one in common, lose their own repeated lines and no others; equal rows leave one."""
+    copy, twice = "a line that everyone has", "words of rows that are equal"
+    rows = [(1, copy), (None, f"{copy}\nwhat only A has to say"), (None, "nobody but B says such things\nand here is more of it"), (None, f"something new from C\n{copy}")]
+    rows += [(5, f"{copy}\nfirst of the fives has this"), (5, "the second of them has that\nand a second line of its own")]
+    rows += [(None, twice)] * 3 + [(7, f"seven says it two times\n{twice} again")] * 2 + [(None, None), (None, None), (None, ""), (None, "tiny"), (None, "tiny")]
+    docs = documents(spark, rows, extra=True)
+    got = sorted((str(r.doc_id), str(r.text)) for r in lines.drop_repeated_lines(docs).collect())
+    want = [(1, copy), (None, "what only A has to say"), (None, rows[2][1]), (None, "something new from C"), (5, "first of the fives has this"), rows[5]]
+    want += [(None, twice), rows[9], (None, None), (None, None), (None, ""), (None, "tiny"), (None, "tiny")]
+    assert got == sorted((str(d), str(t)) for d, t in want)
+    listed = sorted((str(r.doc_id), r.line_no, str(r.seen_doc_id)) for r in lines.removed_lines(docs).collect())
+    assert listed == sorted([("None", 0, "1"), ("None", 1, "1"), ("5", 0, "1"), ("None", 0, "None"), ("None", 0, "None"), ("7", 0, "7"), ("7", 1, "7")])

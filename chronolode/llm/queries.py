@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolode.llm import chat, decontaminate, embeddings, lines, lm_score, packing, pages, sharding, simhash, toxicity
+from chronolode.llm import chat, decontaminate, embeddings, lines, lm_score, packing, pages, prefix_trie, quality, sharding, simhash, spelling, toxicity
 from chronolode.llm.common import table, text_of
 
 
@@ -106,6 +106,26 @@ def op10_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(*prefix_trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~quality.held_out(F.col("doc_id")))
+    scored = quality.score_documents(docs, quality.learn(docs, labels))
+    return scored.select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("quality").alias("score"),
+        (F.col("quality") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(spelling.vocabulary(table(spark, sf_dir, "documents"), spelling.SLIPS))
+
+
 QUERIES = {
     "op1_decontaminate": (op1_decontaminate, None),
     "op2_chat_format": (op2_chat_format, None),
@@ -117,6 +137,9 @@ QUERIES = {
     "op8_simhash": (op8_simhash, None),
     "op9_line_dedup": (op9_line_dedup, OP9_SQL),
     "op10_shuffle_shards": (op10_shuffle_shards, None),
+    "op11_prefix_trie": (op11_prefix_trie, None),
+    "op12_quality": (op12_quality, None),
+    "op13_spelling": (op13_spelling, None),
 }
 
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 import os
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -29,7 +30,9 @@ CACHE_WORDS = 400_000
 LONG_WORD = 100
 #: Fixed value: how the vocabulary file writes a space.
 SPACE = "Ġ"
-RANK_ROWS = 65_536
+#: Groups of ranks of one length: at least so many, and more once they would exceed so many rows.
+RANK_GROUPS = 64
+RANK_ROWS = 16_384
 
 
 def default_tokenizer() -> str:
@@ -97,6 +100,12 @@ class Encoder:
         return found
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> Encoder:
+    """The encoder of this process: its tasks read the file once and share what is remembered of words."""
+    return Encoder(path)
+
+
 def cuts(n: int, length: int) -> list[int]:
     """Where the pieces of n ids begin, and n: only the first piece may be shorter than ``length`` if there are more."""
     return [0, *range(n % length or length, n + 1, length)] if n > length else [0, n]
@@ -112,7 +121,7 @@ def token_pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH,
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = _encoder(path)
 
         def out(rows):
             doc, piece, start, size, ids = zip(*rows)
@@ -204,7 +213,7 @@ def pack(pieces: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     salt, rank, base, rows_of = (fresh(pieces, n) for n in ("salt", "rank", "base", "rows_of_length"))
     pieces = kept(pieces.drop("sequence_id", "offset"), "pieces")
-    spread = 1 + pieces.count() // RANK_ROWS
+    spread = RANK_GROUPS + pieces.count() // RANK_ROWS
     salted = pieces.withColumn(salt, F.pmod(F.xxhash64("doc_id", "piece"), F.lit(spread)).cast("int"))
     sums = salted.groupBy("length", salt).agg(F.count("*").alias(rows_of))
     # at most length rows

@@ -58,18 +58,25 @@ def attr_upsert(pairs: Column, name: Column | str, value: Column | str) -> Colum
 # --- heterogeneous values: VARIANT ----------------------------------------
 
 
+IMAGE_OBJECT = "OBJECT<file_type: STRING, image: BINARY>"
+
+
 def _variant_type(v: Column) -> Column:
     return F.schema_of_variant(v)
 
 
 def value_kind(v: Column) -> Column:
-    """string, numeric, bool, array, structure, timestamp, bytes or none."""
+    """string, numeric, bool, array, structure, image, timestamp, bytes or none.
+
+    An image is an object of a file type and binary data alone.
+    """
     t = _variant_type(v)
     return (
         F.when(v.isNull() | (t == "VOID"), "none")
         .when(t == "STRING", "string")
         .when(t == "BOOLEAN", "bool")
         .when(t.startswith("ARRAY"), "array")
+        .when(t == IMAGE_OBJECT, "image")
         .when(t.startswith("OBJECT"), "structure")
         .when(t.startswith("TIMESTAMP") | (t == "DATE"), "timestamp")
         .when(t == "BINARY", "bytes")

@@ -38,6 +38,14 @@ def expand_timestamps(buckets: DataFrame, *keep: str) -> DataFrame:
     return rows.select(*keep, "pos", instant.alias("ts_ns"), "value")
 
 
+def with_condition(rows: DataFrame) -> DataFrame:
+    """Severity, status and message of each sample, from ``__conditions`` by its ``pos``; none means all normal."""
+    at = F.get("__conditions", F.col("pos"))
+    return rows.withColumns(
+        {"severity": F.coalesce(at["severity"], F.lit(0)), "status": F.coalesce(at["status"], F.lit(0)), "message": at["message"]}
+    ).drop("__conditions")
+
+
 def timestamp_count(ts: Column) -> Column:
     """Number of instants of a timestamps struct, by its kind."""
     return (

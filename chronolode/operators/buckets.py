@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronolode.functions.timestamps import day_of, div, nanos_part, seconds_part
+from chronolode.functions.status import sample_conditions, status_runs
 from chronolode.functions.values import array_slice
-from chronolode.operators.axis import expand_timestamps, timestamp_bounds, timestamp_count
+from chronolode.operators.axis import computed, expand_timestamps, timestamp_bounds, timestamp_count, with_condition
 from chronolode.operators.ranks import running_offset, small_side, with_global_rank
 from chronolode.session import cut_lineage
 from chronolode.schema import LIST, NS_PER_DAY, NS_PER_SEC
@@ -21,58 +22,81 @@ def bucket_id(pv: Column, first_ns: Column) -> Column:
     return F.concat_ws("-", pv, seconds_part(first_ns).cast("string"), nanos_part(first_ns).cast("string"))
 
 
-def _numbered(full: DataFrame) -> DataFrame:
+def _numbered(full: DataFrame, order: list[str]) -> DataFrame:
     """Samples with ``__pos``, their 0-based place in time within their signal and day."""
-    ranked = with_global_rank(full, "pv", "ts_ns", "value", name="__rank")
+    ranked = with_global_rank(full, "pv", *order, name="__rank")
     firsts = ranked.groupBy("pv", "day").agg(F.min("__rank").alias("__first"))
     return ranked.join(firsts, ["pv", "day"]).withColumn("__pos", F.col("__rank") - F.col("__first")).drop("__rank", "__first")
 
 
-def pack_buckets(samples: DataFrame, max_samples: int = MAX_BUCKET_SAMPLES) -> DataFrame:
-    """Samples as list buckets, one per signal and UTC day.
+def bucket_groups(samples: DataFrame, max_samples: int, order: list[str]) -> tuple[DataFrame, list[str]]:
+    """Samples with ``day`` and the columns whose equal values make a bucket.
 
-    A day with more than ``max_samples`` is cut into buckets of that many in
-    time order, so no bucket grows with a hot signal and buckets of a signal
-    follow each other in time. Which days need this is counted first; their
-    samples are numbered by sorted ranges. From its second bucket on, a day's
-    bucket ids end with the number of the bucket, as several can begin at one
-    instant.
+    A day with more than ``max_samples`` gets ``__part`` as well, by runs of that many in the order of ``order``. Which
+    days need this is counted first; their samples are numbered by sorted ranges.
     """
-    keyed = samples.select("pv", "ts_ns", "value", day_of(F.col("ts_ns")).alias("day"))
+    keyed = samples.withColumn("day", day_of(F.col("ts_ns")))
     groups = ["pv", "day"]
     full_days = keyed.groupBy("pv", "day").agg(F.count("*").alias("__n")).where(F.col("__n") > max_samples)
     full_days = full_days.select("pv", "day")
     n_full = full_days.count()
-    part = F.lit(0).cast("bigint")
-    if n_full:
-        full_days = small_side(cut_lineage(full_days), n_full)
-        usual = keyed.join(full_days, groups, "left_anti").withColumn("__part", part)
-        full = _numbered(keyed.join(full_days, groups, "left_semi"))
-        keyed = usual.unionByName(full.withColumn("__part", div(F.col("__pos"), max_samples)).select(*usual.columns))
-        part = F.col("__part")
-        groups.append("__part")
-    packed = keyed.groupBy(*groups).agg(F.array_sort(F.collect_list(F.struct("ts_ns", "value"))).alias("__s"))
+    if not n_full:
+        return keyed, groups
+    full_days = small_side(cut_lineage(full_days), n_full)
+    usual = keyed.join(full_days, groups, "left_anti").withColumn("__part", F.lit(0).cast("bigint"))
+    full = _numbered(keyed.join(full_days, groups, "left_semi"), order)
+    full = full.withColumn("__part", div(F.col("__pos"), max_samples)).select(*usual.columns)
+    return usual.unionByName(full), [*groups, "__part"]
+
+
+def bucket_head(groups: list[str]) -> list[Column]:
+    """Identity and time axis of a list bucket whose sorted samples are ``__s``.
+
+    From its second bucket on, a day's bucket ids end with the number of the bucket, as several can begin at one
+    instant.
+    """
     first, last = F.get("__s", 0)["ts_ns"], F.element_at("__s", -1)["ts_ns"]
     id = bucket_id(F.col("pv"), first)
-    return packed.select(
-        F.when(part == 0, id).otherwise(F.concat_ws("-", id, F.lpad(part.cast("string"), 9, "0"))).alias("bucket_id"),
-        "pv",
+    if "__part" in groups:
+        part = F.col("__part")
+        id = F.when(part == 0, id).otherwise(F.concat_ws("-", id, F.lpad(part.cast("string"), 9, "0")))
+    return [
+        id.alias("bucket_id"),
+        F.col("pv"),
         first.alias("first_ns"),
         last.alias("last_ns"),
         F.size("__s").cast("bigint").alias("sample_count"),
         F.lit(0).cast("bigint").alias("period_ns"),
         F.lit(LIST).alias("ts_kind"),
         F.col("__s.ts_ns").alias("ts_ns"),
+    ]
+
+
+def pack_buckets(samples: DataFrame, max_samples: int = MAX_BUCKET_SAMPLES, status: bool = False) -> DataFrame:
+    """Samples as list buckets, one per signal and UTC day.
+
+    A day with more than ``max_samples`` is cut into buckets of that many in
+    time order, so no bucket grows with a hot signal and buckets of a signal
+    follow each other in time. With ``status``, samples also have severity, status
+    and message, which are stored as runs.
+    """
+    conditions = ["severity", "status", "message"] if status else []
+    order = ["ts_ns", "value", *conditions]
+    keyed, groups = bucket_groups(samples.select("pv", *order), max_samples, order)
+    packed = keyed.groupBy(*groups).agg(F.array_sort(F.collect_list(F.struct(*order))).alias("__s"))
+    return packed.select(
+        *bucket_head(groups),
         F.lit("DOUBLE").alias("data_type"),
         F.col("__s.value").alias("vals"),
+        *([status_runs(F.col("__s")).alias("status_runs")] if status else []),
         "day",
     )
 
 
-def request_buckets(requests: DataFrame) -> DataFrame:
-    """One bucket per column of every request; no shuffle."""
+def request_rows(requests: DataFrame) -> DataFrame:
+    """One row per column ``c`` of every request; no shuffle."""
     first, last = timestamp_bounds(F.col("ts"))
-    rows = requests.select(
+    return requests.select(
         "provider_id",
         "request_id",
         "ts",
@@ -85,25 +109,33 @@ def request_buckets(requests: DataFrame) -> DataFrame:
         # outer, then tested: the plain form would first build every column only to see that there is one
         F.explode_outer("columns").alias("c"),
     ).where(F.col("c").isNotNull())
-    return rows.select(
+
+
+def request_head() -> list[Column]:
+    """What a bucket has before its values, from :func:`request_rows`."""
+    return [
         bucket_id(F.col("c.name"), F.col("first_ns")).alias("bucket_id"),
         F.col("c.name").alias("pv"),
-        "provider_id",
-        "request_id",
-        "first_ns",
-        "last_ns",
+        F.col("provider_id"),
+        F.col("request_id"),
+        F.col("first_ns"),
+        F.col("last_ns"),
         timestamp_count(F.col("ts")).alias("sample_count"),
         F.when(F.col("ts.kind") == LIST, F.lit(0)).otherwise(F.col("ts.period_ns")).cast("bigint").alias("period_ns"),
         F.col("ts.kind").alias("ts_kind"),
         F.col("ts.ts_ns").alias("ts_ns"),
-        F.lit("DOUBLE").alias("data_type"),
-        F.col("c.vals").alias("vals"),
-        "tags",
-        "attributes",
-        "event",
-        "created_ns",
-        day_of(F.col("first_ns")).alias("day"),
-    )
+    ]
+
+
+def request_tail() -> list[Column]:
+    """What a bucket has after its values."""
+    return [*map(F.col, ["tags", "attributes", "event", "created_ns"]), day_of(F.col("first_ns")).alias("day")]
+
+
+def request_buckets(requests: DataFrame) -> DataFrame:
+    """One DOUBLE bucket per column of every request; no shuffle."""
+    vals = F.col("c.vals").alias("vals")
+    return request_rows(requests).select(*request_head(), F.lit("DOUBLE").alias("data_type"), vals, *request_tail())
 
 
 # --- range queries ---------------------------------------------------------
@@ -162,9 +194,16 @@ def query_samples(
     end_inclusive: bool = False,
     max_span_days: int | None = None,
 ) -> DataFrame:
-    """``pv, bucket_id, ts_ns, value`` in [begin, end)."""
+    """``pv, bucket_id, ts_ns, value`` in [begin, end), and severity, status, message where buckets store them."""
     found = query_buckets(buckets, begin_ns, end_ns, pvs, pattern, end_inclusive, max_span_days)
-    rows = expand_timestamps(found, "pv", "bucket_id").drop("pos").where(F.col("ts_ns") >= begin_ns)
+    keep = ["pv", "bucket_id"]
+    if "status_runs" in buckets.columns:
+        found = computed(found, __conditions=sample_conditions(F.col("status_runs")))
+        keep.append("__conditions")
+    rows = expand_timestamps(found, *keep).where(F.col("ts_ns") >= begin_ns)
+    if "status_runs" in buckets.columns:
+        rows = with_condition(rows)
+    rows = rows.drop("pos")
     return rows.where(F.col("ts_ns") <= end_ns) if end_inclusive else rows.where(F.col("ts_ns") < end_ns)
 
 

@@ -1,8 +1,8 @@
 """Registered queries: each operator over the given tables, with its SQL twin."""
 
-from chronolode.queries import arrays, catalogue, files, joins, names, ranges, spatial, stats, streams, timeaxis, values
+from chronolode.queries import arrays, catalogue, files, joins, names, ranges, spatial, stats, streams, timeaxis, typed, values
 
-MODULES = (files, names, spatial, timeaxis, ranges, joins, stats, arrays, values, catalogue, streams)
+MODULES = (files, names, spatial, timeaxis, ranges, joins, stats, arrays, values, typed, catalogue, streams)
 
 
 def all_queries() -> dict:

@@ -34,7 +34,8 @@ def q_pack_buckets_split(spark, sf):
 
 
 def q_query_samples(spark, sf):
-    return buckets.query_samples(v.v_buckets(spark, sf), BEGIN, END, max_span_days=1).select("pv", "ts_ns", _value())
+    found = buckets.query_samples(v.v_buckets(spark, sf, status=True), BEGIN, END, max_span_days=1)
+    return found.select("pv", "ts_ns", _value(), "severity", "status", "message")
 
 
 def q_query_pages(spark, sf):
@@ -163,7 +164,7 @@ QUERIES = {
     "query_samples": (
         q_query_samples,
         oracle(
-            f"""SELECT pv, ts_ns, CASE WHEN isnan(value) THEN NULL ELSE value END AS value FROM v_samples
+            f"""SELECT pv, ts_ns, CASE WHEN isnan(value) THEN NULL ELSE value END AS value, severity, status, message FROM v_samples
             WHERE ts_ns >= {BEGIN} AND ts_ns < {END}"""
         ),
     ),

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronolode.operators.buckets import pack_buckets, request_buckets
+from chronolode.operators.typed import typed_buckets
 from chronolode.schema import CLOCK
 
 
@@ -47,6 +48,21 @@ SAMPLES = {
     "ts_ns": "US(ts) * 1000",
     "value": """CASE WHEN event_id % 17 = 0 THEN CAST('NaN' AS DOUBLE)
         WHEN event_id % 53 = 0 THEN CAST('Infinity' AS DOUBLE) ELSE value END""",
+    "severity": "CASE WHEN event_id % 5 = 0 THEN CAST(event_id % 4 AS INT) ELSE 0 END",
+    "status": "CASE WHEN event_id % 15 = 0 THEN CAST(event_id % 8 AS INT) ELSE 0 END",
+    "message": "CASE WHEN event_id % 15 = 0 AND event_id % 8 > 5 THEN 'alarm ' || CAST(event_id % 8 AS STRING) END",
+}
+
+# a sample's type goes by its signal; signals of odd users among the last kind have values of two types
+TYPED = SAMPLES | {
+    "kind": """CASE event_type WHEN 'view' THEN 'DOUBLE' WHEN 'click' THEN 'LONG' WHEN 'purchase' THEN 'ENUM'
+        WHEN 'signup' THEN 'BOOLEAN' ELSE CASE WHEN user_id % 2 = 0 THEN 'STRUCTURE'
+            WHEN event_id % 2 = 0 THEN 'ULONG' ELSE 'STRING' END END""",
+    "whole": "CAST(9007199254740993 + event_id AS BIGINT)",
+    "beyond": "CAST('18446744073709000000' AS DECIMAL(20,0)) + CAST(event_id AS DECIMAL(20,0))",
+    "state": "CASE event_id % 3 WHEN 0 THEN 'off' WHEN 1 THEN 'on' ELSE 'fault' END",
+    "flag": "event_id % 2 = 0",
+    "props": "props",
 }
 
 POINTS = {
@@ -185,6 +201,15 @@ def v_samples(spark, sf):
     return _select(table(spark, sf, "events"), SAMPLES)
 
 
+def v_typed(spark, sf):
+    """Samples whose ``value`` is a VARIANT of the type in ``data_type``."""
+    rows = _select(table(spark, sf, "events"), TYPED)
+    value = """CASE kind WHEN 'DOUBLE' THEN CAST(value AS VARIANT) WHEN 'LONG' THEN CAST(whole AS VARIANT)
+        WHEN 'BOOLEAN' THEN CAST(flag AS VARIANT) WHEN 'STRUCTURE' THEN parse_json(props)
+        WHEN 'ULONG' THEN CAST(CAST(beyond AS DECIMAL(20,0)) AS VARIANT) ELSE CAST(state AS VARIANT) END"""
+    return rows.selectExpr("pv", "ts_ns", "kind AS data_type", f"{value} AS value", "severity", "status", "message")
+
+
 def v_points(spark, sf):
     return _select(table(spark, sf, "events"), POINTS)
 
@@ -312,8 +337,12 @@ def v_dims(spark, sf):
     return {"area": area, "device": device}
 
 
-def v_buckets(spark, sf):
-    return pack_buckets(v_samples(spark, sf))
+def v_buckets(spark, sf, status=False):
+    return pack_buckets(v_samples(spark, sf), status=status)
+
+
+def v_typed_buckets(spark, sf):
+    return typed_buckets(v_typed(spark, sf))
 
 
 def v_clock_buckets(spark, sf):
@@ -331,6 +360,16 @@ _BLOCK_SQL = " UNION ALL ".join(
 SQL = {
     "v_samples": _sql(SAMPLES, "events"),
     "v_points": _sql(POINTS, "events"),
+    "v_typed": _sql(TYPED, "events").replace("AS STRING", "AS VARCHAR"),
+    "v_typed_buckets": """SELECT pv || '-' || CAST(min(ts_ns) // 1000000000 AS VARCHAR) || '-'
+            || CAST(min(ts_ns) % 1000000000 AS VARCHAR) AS bucket_id, pv, min(ts_ns) AS first_ns, max(ts_ns) AS last_ns,
+        count(*) AS sample_count, CASE WHEN count(DISTINCT kind) > 1 THEN 'MIXED' ELSE min(kind) END AS data_type,
+        CASE WHEN count(DISTINCT kind) > 1 THEN count(DISTINCT kind) WHEN min(kind) IN ('ENUM', 'STRING') THEN count(DISTINCT state) END
+            AS n_labels,
+        CASE WHEN min(kind) = 'LONG' THEN CAST(sum(whole) AS VARCHAR) END AS whole_sum,
+        CASE WHEN min(kind) = 'BOOLEAN' THEN count_if(flag) END AS n_true,
+        count_if(severity <> 0 OR status <> 0 OR message IS NOT NULL) AS n_odd
+        FROM v_typed GROUP BY pv, ts_ns // 86400000000000""",
     "v_files": _sql(FILES, "orders"),
     # lid tells equal line items apart
     "v_raw": f"SELECT row_number() OVER () AS lid, * FROM ({_sql(RAW, 'lineitem')})",
@@ -379,6 +418,7 @@ _NEEDS = {
     "v_user_pvs": ["v_samples"],
     "v_bucket_rows": ["v_samples"],
     "v_buckets": ["v_bucket_rows"],
+    "v_typed_buckets": ["v_typed"],
 }
 
 

@@ -55,6 +55,28 @@ RAW_SIGNALS = T.StructType(
     ]
 )
 
+# Conditions of a bucket's samples as runs of equal ones; NULL where every sample is normal.
+STATUS_RUNS = T.ArrayType(
+    T.StructType(
+        [
+            T.StructField("n", T.IntegerType()),
+            T.StructField("severity", T.IntegerType()),
+            T.StructField("status", T.IntegerType()),
+            T.StructField("message", T.StringType()),
+        ]
+    )
+)
+
+# Values that are no DOUBLE, by the storage of their type; all NULL in a DOUBLE bucket.
+TYPED_VALUES = [
+    T.StructField("longs", T.ArrayType(T.LongType())),
+    T.StructField("flags", T.ArrayType(T.BooleanType())),
+    T.StructField("codes", T.ArrayType(T.IntegerType())),
+    T.StructField("labels", T.ArrayType(T.StringType())),
+    T.StructField("blobs", T.ArrayType(T.BinaryType())),
+    T.StructField("nested", T.ArrayType(T.StringType())),
+]
+
 INGEST_REQUESTS = T.StructType(
     [
         T.StructField("request_id", T.StringType()),
@@ -83,6 +105,8 @@ BUCKETS = T.StructType(
         T.StructField("ts_ns", T.ArrayType(T.LongType())),
         T.StructField("data_type", T.StringType()),
         T.StructField("vals", T.ArrayType(T.DoubleType())),
+        *TYPED_VALUES,
+        T.StructField("status_runs", STATUS_RUNS),
         T.StructField("tags", TAGS),
         T.StructField("attributes", ATTRIBUTES),
         T.StructField("event", EVENT),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from chronolode import schema
 from chronolode.functions.timestamps import day_of
 from chronolode.operators.buckets import request_buckets
+from chronolode.operators.typed import typed_request_buckets
 
 
 def laid_out(buckets: DataFrame, folder: str = "day", layout: str = "rebalance", partitions: int | None = None) -> DataFrame:
@@ -61,9 +62,14 @@ def with_span(buckets: DataFrame) -> DataFrame:
 BUCKET_KEY = ["day", "pv", "provider_id", "request_id", "bucket_id"]
 
 
+# Arrays with an entry for every sample; a bucket has those of its type.
+PER_SAMPLE = ["vals", "longs", "flags", "codes", "blobs", "nested", "labels"]
+
+
 def consistent(buckets: DataFrame) -> DataFrame:
     """Buckets with an instant for every value."""
-    return buckets.where(F.col("first_ns").isNotNull() & (F.size("vals") == F.col("sample_count")))
+    sizes = [F.when(F.col(c).isNotNull(), F.size(c)) for c in PER_SAMPLE if c in buckets.columns]
+    return buckets.where(F.col("first_ns").isNotNull() & (F.coalesce(*sizes) == F.col("sample_count")))
 
 
 def _stored(spark: SparkSession, path: str) -> bool:
@@ -94,13 +100,16 @@ def insert_buckets(buckets: DataFrame, path: str, folder: str = "day") -> None:
 def write_buckets(requests: DataFrame, path: str, mode: str = "insert", folder: str = "day") -> DataFrame:
     """Store one bucket per column of every consistent request; returns the stored table.
 
+    Columns have ``vals`` of DOUBLE, or ``values`` of any type (see :func:`typed_request_buckets`).
     ``insert`` adds what the store lacks, so a repeated call changes nothing.
     ``overwrite`` and ``append`` write in one pass without looking.
     """
+    typed = "values" in requests.schema["columns"].dataType.elementType.names
+    buckets = typed_request_buckets(requests) if typed else request_buckets(requests)
     if mode == "insert":
-        insert_buckets(request_buckets(requests), path, folder)
+        insert_buckets(buckets, path, folder)
     else:
-        save_buckets(consistent(request_buckets(requests)), path, mode, folder)
+        save_buckets(consistent(buckets), path, mode, folder)
     return read_buckets(requests.sparkSession, path)
 
 

@@ -11,6 +11,7 @@ from chronolode.queries.views import oracle
 from chronolode.session import scratch
 from chronolode.sources import archive_json as archive
 from chronolode.sources.dictionaries import dim_tables
+from chronolode.sources.reader import parse_answer_lines, read_signal_files
 from chronolode.sources.store import write_buckets
 
 
@@ -153,7 +154,28 @@ _REFUSED = """CASE WHEN file_no % 7 = 0 THEN 'too small'
     WHEN signal_name IN ('secondsPastEpoch', 'nanoseconds') THEN 'time, not a signal'
     WHEN n_objects > 10000 THEN 'too many objects' WHEN file_no % 23 = 0 THEN 'seconds and nanoseconds differ' ELSE '' END"""
 
+def q_signal_files(spark, sf):
+    """Archiver answers written as files, some lines cut short, and read by the hook."""
+    path = scratch(spark, "answers")
+    whole = F.col("user_id") % 11 != 0
+    v.v_archive_json(spark, sf).select(F.when(whole, F.col("payload")).otherwise(F.substring("payload", 1, 30))).write.text(path)
+    good, bad = read_signal_files(spark, path, parse_answer_lines, "*.txt")
+    total = F.aggregate(F.filter("vals", lambda x: ~F.isnan(x)), F.lit(0.0), lambda a, x: a + x)
+    found = good.select(F.col("signal_name").alias("name"), F.size("vals").alias("points"), total.alias("total"), F.lit("").alias("reason"))
+    missing = bad.select(F.lit(None).cast("string").alias("name"), F.lit(0).alias("points"), F.lit(0.0).alias("total"), "reason")
+    return found.unionByName(missing)
+
+
 QUERIES = {
+    "signal_files": (
+        q_signal_files,
+        oracle(
+            """SELECT CASE WHEN user_id % 11 <> 0 THEN pv END AS name,
+            CASE WHEN user_id % 11 <> 0 AND user_id % 7 <> 0 THEN 3 ELSE 0 END AS points,
+            CASE WHEN user_id % 11 <> 0 AND user_id % 7 <> 0 THEN user_id + 7.5 ELSE 0.0 END AS total,
+            CASE WHEN user_id % 11 <> 0 THEN '' ELSE 'signal without a name' END AS reason FROM v_archive_json"""
+        ),
+    ),
     "import_requests": (
         q_import_requests,
         oracle(

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from chronolode.operators import stats, typed
+from chronolode.operators import nested, stats, typed
 from chronolode.queries import views as v
 from chronolode.queries.views import oracle
 
@@ -38,6 +38,11 @@ def q_pv_metadata_typed(spark, sf):
     return stats.pv_metadata(v.v_typed_buckets(spark, sf)).drop("last_ts_kind", "last_period_ns")
 
 
+def q_array_rows(spark, sf):
+    values = v.v_nested(spark, sf).select("event_id", F.try_parse_json("nested_json").alias("v"))
+    return nested.array_rows(values, "v", "event_id").withColumn("value", F.to_json("value"))
+
+
 QUERIES = {
     "typed_buckets": (
         q_typed_buckets,
@@ -52,6 +57,20 @@ QUERIES = {
               WHEN 'DOUBLE' THEN NULL ELSE state END AS text, severity, status, message FROM v_typed"""
         ),
     ),
+    "array_rows": (
+        q_array_rows,
+        oracle(
+            """WITH e AS (SELECT *, event_id % 4 AS m, json_extract_string(props, '$.k') AS k FROM v_nested)
+            SELECT event_id, '$[0]' AS path, 1 AS depth, 'numeric' AS kind, '1' AS value FROM e WHERE m = 0
+            UNION ALL SELECT event_id, '$[1][0]', 2, 'numeric', CAST(event_id AS VARCHAR) FROM e WHERE m = 0
+            UNION ALL SELECT event_id, '$[1][1].k', 3, 'numeric', k FROM e WHERE m = 0
+            UNION ALL SELECT event_id, '$[2]', 1, 'array', '[]' FROM e WHERE m = 0
+            UNION ALL SELECT event_id, '$.a.b[0]', 3, 'bool', 'true' FROM e WHERE m = 1
+            UNION ALL SELECT event_id, '$.a.b[1]', 3, 'none', 'null' FROM e WHERE m = 1
+            UNION ALL SELECT event_id, '$.t', 1, 'string', '"' || event_type || '"' FROM e WHERE m = 1
+            UNION ALL SELECT event_id, '$.k', 1, 'numeric', k FROM e WHERE m = 2"""
+        ),
+    ),
     "pv_metadata_typed": (
         q_pv_metadata_typed,
         oracle(

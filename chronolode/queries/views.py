@@ -183,6 +183,14 @@ VALUES = {
         WHEN 4 THEN 'BMP' WHEN 5 THEN 'PNG' WHEN 6 THEN 'EPS' WHEN 7 THEN 'SVG' ELSE 'PDF' END""",
 }
 
+NESTED = {
+    "event_id": "event_id",
+    "event_type": "event_type",
+    "props": "props",
+    "nested_json": """CASE event_id % 4 WHEN 0 THEN '[1,[' || CAST(event_id AS STRING) || ',' || props || '],[]]'
+        WHEN 1 THEN '{"a":{"b":[true,null]},"t":"' || event_type || '"}' WHEN 2 THEN props END""",
+}
+
 EVENTS_META = {
     "id": "o_orderkey",
     "start_ns": "US(o_orderdate) * 1000",
@@ -321,6 +329,10 @@ def v_values(spark, sf):
     return _select(table(spark, sf, "events"), VALUES)
 
 
+def v_nested(spark, sf):
+    return _select(table(spark, sf, "events"), NESTED)
+
+
 def v_events_meta(spark, sf):
     return _select(table(spark, sf, "orders"), EVENTS_META)
 
@@ -397,6 +409,7 @@ SQL = {
     "v_annotations": _sql(ANNOTATIONS, "documents"),
     "v_archive_json": _sql(ARCHIVE, "(SELECT DISTINCT user_id FROM events)"),
     "v_values": _sql(VALUES, "events"),
+    "v_nested": _sql(NESTED, "events"),
     "v_events_meta": _sql(EVENTS_META, "orders"),
     "v_dim_area": f"""SELECT area, CAST(z_min AS DOUBLE) AS z_min, CAST(z_max AS DOUBLE) AS z_max, beam_path
         FROM {AREA_ROWS} AS a(area, z_min, z_max, beam_path)""",

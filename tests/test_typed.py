@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from chronolode.operators import buckets, stats, typed
+from chronolode.operators import buckets, nested, stats, typed
 from chronolode.sources.store import read_buckets, save_buckets, write_buckets
 
 DAY = 86_400_000_000_000
@@ -151,3 +151,23 @@ def test_doubles_are_read_by_numeric_operators(spark):
     as_any = buckets.query_samples(typed.typed_buckets(samples.selectExpr("pv", "ts_ns", "CAST(value AS VARIANT) AS value")), 0, 100)
     key = lambda r: (r.ts_ns, "nan" if math.isnan(r.value) else r.value)
     assert sorted(map(key, plain.collect())) == sorted(map(key, as_any.collect()))
+
+
+def test_nested_values_as_rows(spark):
+    deep = "[" * 12 + "7" + "]" * 12
+    df = spark.createDataFrame([(1, '[1,[2,{"a":null,"b":["x"]}],[],{}]'), (2, "5"), (3, None), (4, "null"), (5, deep), (6, '{"a.b":{"path":true}}')], "id int, t string")
+    got = nested.array_rows(df.withColumn("v", F.try_parse_json("t")), "v", "id", "t").collect()
+    rows = sorted((r.id, r.path, r.depth, r.kind, r.value.toPython()) for r in got)
+    assert rows == [
+        (1, "$[0]", 1, "numeric", 1),
+        (1, "$[1][0]", 2, "numeric", 2),
+        (1, "$[1][1].a", 3, "none", None),
+        (1, "$[1][1].b[0]", 4, "string", "x"),
+        (1, "$[2]", 1, "array", []),
+        (1, "$[3]", 1, "structure", {}),
+        (2, "$", 0, "numeric", 5),
+        (4, "$", 0, "none", None),
+        (5, "$" + "[0]" * 12, 12, "numeric", 7),
+        (6, "$.a.b.path", 2, "bool", True),
+    ]
+    assert nested.array_rows(df.where("id = 3").withColumn("v", F.try_parse_json("t")), "v").count() == 0

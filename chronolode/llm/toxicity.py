@@ -7,11 +7,14 @@ chains of such tokens by gradient ascent. Forward-backward marginals of all toke
 a logistic curve over their largest and their sum, fitted on the training documents) and the offending spans.
 
 A chain is a line of a text, in runs of ``CHAIN`` tokens at most. Tokens are what stands between white space; their
-forms are read in lower case without the characters around letters and digits. Only texts enter a score.
+forms are read in lower case without the characters around letters and digits. A token of several words joined by other
+characters has the forms of each, and a word of more than ``LONG_WORD`` letters (scripts without spaces, junk) those of all
+its pieces of ``PIECES`` letters, so every part of a text is read. Only texts enter a score.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,29 +35,38 @@ CHAINS = 8_000
 #: Shuffled copies of the labels that set the bar for a form, least toxic documents for it, and rounds of training.
 SHUFFLES = 4
 SUPPORT = 3
-#: Training documents that begin alike are copies, and one of them is read.
-COPY_CHARS = 60
 ROUNDS = 80
 CHAIN = 256
 BACKGROUND = 0.1
 CACHE_WORDS = 100_000
 PREFIXES = (3, 4, 5, 6)
 SUFFIXES = (3, 4)
+LONG_WORD = 40
+PIECES = range(4, 13)
 
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
+_INNER = re.compile(r"[\W_]+")
 
 
 @lru_cache(maxsize=100_000)
-def _forms(token: str) -> tuple[str, ...]:
+def _short_forms(token: str) -> tuple[str, ...]:
     return tuple(forms(token))
 
 
+def _forms(token: str) -> tuple[str, ...] | list[str]:
+    return _short_forms(token) if len(token) <= LONG_WORD else forms(token)
+
+
 def forms(token: str) -> list[str]:
-    """The word forms of a token: itself, its beginnings and its ends."""
-    word = _EDGES.sub("", token[:200].lower())
+    """The word forms of a token: itself, its beginnings and its ends, and those of what it is joined from."""
+    word = _EDGES.sub("", token.lower())
     if not word:
         return []
-    return [f"={word}", *(f"<{word[:k]}" for k in PREFIXES if len(word) >= k), *(f">{word[-k:]}" for k in SUFFIXES if len(word) >= k)]
+    inner = [w for w in _INNER.split(word) if w]
+    words = [word] if len(inner) == 1 else [word, *inner]
+    found = [f for w in words for f in (f"={w}", *(f"<{w[:k]}" for k in PREFIXES if len(w) >= k), *(f">{w[-k:]}" for k in SUFFIXES if len(w) >= k))]
+    found += [f"={w[i : i + k]}" for w in inner if len(w) > LONG_WORD for k in PIECES for i in range(len(w) - k + 1)]
+    return list(dict.fromkeys(found)) if len(found) > len(PREFIXES) + len(SUFFIXES) + 1 else found
 
 
 def chains(text: str) -> list[list[str]]:
@@ -152,10 +164,18 @@ def train(given: list[tuple[int, list[tuple[int, list[str], bool]]]], rounds: in
 
 
 class Tagger:
-    """Marginals of whole texts under a field; emissions of tokens are remembered."""
+    """Marginals of whole texts under a field; emissions of tokens are remembered.
+
+    Most chains have no form of the field at all. Their marginals depend on their length alone and are computed once.
+    """
 
     def __init__(self, field: Field):
-        self.field, self.known = field, {}
+        self.field, self.known, self.bare = field, {}, {}
+
+    def _bare(self, length: int) -> np.ndarray:
+        if length not in self.bare:
+            self.bare[length] = marginals(np.full((1, length), self.field.bias), np.array([length]), self.field.change)[0][0]
+        return self.bare[length]
 
     def _emissions(self, words: list[str]) -> np.ndarray:
         new = set(words).difference(self.known)
@@ -178,7 +198,12 @@ class Tagger:
         edges = np.concatenate([[0], np.cumsum(lengths)])
         scores = self._emissions([w for c in flat for w in c])
         out = np.zeros(len(scores))
+        formed = np.concatenate([[0], np.cumsum(scores != self.field.bias)])
+        bare = formed[edges[1:]] == formed[edges[:-1]]
+        for k in np.flatnonzero(bare):
+            out[edges[k] : edges[k + 1]] = self._bare(int(lengths[k]))
         order, at = np.argsort(lengths, kind="stable"), 0
+        order = order[~bare[order]]
         while at < len(order):  # chains of about one length at a time
             widest = max(int(lengths[order[at]] * 1.25), 8)
             end = min(int(np.searchsorted(lengths[order], widest, "right")), at + max(1, 400_000 // widest))
@@ -192,6 +217,12 @@ class Tagger:
         return np.split(out, ends[:-1])
 
 
+@lru_cache(maxsize=1)
+def _tagger(written: bytes) -> Tagger:
+    """The tagger of this process for a field, so that tasks share what is remembered."""
+    return Tagger(pickle.loads(written))
+
+
 def summary(chance: np.ndarray) -> tuple[float, float]:
     """Log odds of the largest marginal, and log of one more than the sum of those that are no mere background.
 
@@ -256,7 +287,7 @@ def _forms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         ones = np.concatenate([labels, 1 - labels[:, :1]], axis=1)
         for text, row in zip(batch.column(0).to_pylist(), ones):
-            for form in {f for w in set(text.split()) for f in _forms(w[:200])}:
+            for form in {f for w in set(text.split()) for f in _forms(w)}:
                 if form in sums:
                     sums[form] += row
                 else:
@@ -268,24 +299,24 @@ def _forms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Field:
     """A field from ``docs`` (doc_id, text) and ``labels`` (doc_id and the label, 0 or 1).
 
-    Reads at most SAMPLE_DOCUMENTS labelled documents, those with the smallest hash of doc_id, and
-    of those that begin alike one. Labels other than 0 and 1
-    are ignored. If one of the labels is missing, or no form stands out, every score is near 0.
+    Of labelled documents with equal texts and labels the one with the smallest id is read, and of what is left at most
+    SAMPLE_DOCUMENTS, those with the smallest hash of doc_id. Of the forms above the bar the FORMS most telling are kept.
+    Labels other than 0 and 1 are ignored. If one of the labels is missing, or no form stands out, every score is near 0.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max(label).cast("int").alias("y"))
-    picked = known.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCUMENTS)
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), text_of("text").alias("text")).join(picked, "id")
+    given = docs.select(F.col("doc_id").cast("long").alias("id"), text_of("text").alias("text"), F.xxhash64(text_of("text")).alias("hash"))
     # copies would make all their words look like marks
-    begins = F.xxhash64(F.substring("text", 1, COPY_CHARS), "y")
-    sample = kept(texts.withColumn("begins", begins).dropDuplicates(["begins"]).drop("begins").repartition(24, "id"), "labelled")
+    firsts = given.select("id", "hash").join(known, "id").groupBy("hash", "y").agg(F.min("id").alias("id"))
+    picked = firsts.orderBy(F.xxhash64("id"), "id", "hash").limit(SAMPLE_DOCUMENTS)
+    rows = given.join(F.broadcast(picked), ["id", "hash"]).groupBy("id", "hash", "y").agg(F.first("text").alias("text"))
+    sample = kept(rows.select("id", "text", "y").repartition(24, "id"), "labelled")
     totals = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
     none = Field({}, -20.0, np.zeros((2, 2)))
     if len(totals) < 2:
         return none
     rate = totals[1] / (totals[0] + totals[1])
     shuffled = [(F.pmod(F.xxhash64(F.lit(k), "id"), F.lit(1 << 30)) < int(rate * (1 << 30))).cast("int") for k in range(SHUFFLES)]
-    given = sample.select("text", "y", *shuffled)
-    sums = given.mapInArrow(tidy(_forms_of), ", ".join(["form string", *(f"n{i} long" for i in range(SHUFFLES + 2))]))
+    sums = sample.select("text", "y", *shuffled).mapInArrow(tidy(_forms_of), ", ".join(["form string", *(f"n{i} long" for i in range(SHUFFLES + 2))]))
     sums = sums.groupBy("form").agg(*(F.sum(f"n{i}").alias(f"n{i}") for i in range(SHUFFLES + 2)))
     clean = F.col(f"n{SHUFFLES + 1}")
     both = F.col("n0") + clean
@@ -303,7 +334,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Field:
             rows = []
             for doc, text, y in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 for k, chain in enumerate(chains(text)):
-                    tokens = [(place, fs) for place, w in enumerate(chain) if (fs := [f for f in forms(w) if f in strong])]
+                    tokens = [(place, fs) for place, w in enumerate(chain) if (fs := [f for f in _forms(w) if f in strong])]
                     if tokens or (doc + k) % 16 == 0:
                         rows.append((len(chain), [p for p, _ in tokens], [fs for _, fs in tokens], y))
             length, places, has, y = zip(*rows) if rows else ((), (), (), ())
@@ -321,8 +352,10 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Field:
 
 
 def _summaries(sample: DataFrame, field: Field) -> DataFrame:
+    written = pickle.dumps(field)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tagger = Tagger(field)
+        tagger = _tagger(written)
         for batch in parts_of(batches, 64):
             found = [summary(c) for c in tagger.tag(batch.column(0).to_pylist())]
             x, z = zip(*found) if found else ((), ())
@@ -331,35 +364,34 @@ def _summaries(sample: DataFrame, field: Field) -> DataFrame:
     return sample.select("text", "y").mapInArrow(tidy(run), "x double, z double, y int")
 
 
-def tag_documents(docs: DataFrame, field: Field) -> DataFrame:
+def tag_documents(docs: DataFrame, field: Field, names: tuple[str, str, str] = ("toxicity", "toxic_words", "toxic_spans")) -> DataFrame:
     """``docs`` with columns toxicity (0 to 1), toxic_words (expected number) and toxic_spans (code-point offsets).
 
-    Null and empty texts are scored like texts without tokens. All rows and columns stay; input columns of these names
-    are replaced. An empty table gives no rows.
+    Null and empty texts are scored like texts without tokens. All rows and columns stay; input columns of the three
+    ``names`` are replaced. An empty table gives no rows.
     """
-    docs = docs.drop("toxicity", "toxic_words", "toxic_spans")
-    own = fresh(docs, "plain_text")
-    rows = docs.withColumn(own, text_of("text"))
-    names = [*docs.columns, "toxicity", "toxic_words", "toxic_spans"]
-    at = len(docs.columns)
+    own = [c for c in docs.columns if c.lower() not in {n.lower() for n in names}]
+    # mapInArrow reads columns by name, dots as paths; so they are numbered meanwhile
+    rows = docs.select(text_of("text"), *(F.col(f"`{c}`") for c in own)).toDF(*(f"c{i}" for i in range(len(own) + 1)))
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
     spark_span = T.ArrayType(T.StructType().add("start", T.IntegerType()).add("end", T.IntegerType()))
+    schema = T.StructType([*rows.schema.fields[1:]]).add("t1", T.DoubleType()).add("t2", T.DoubleType()).add("t3", spark_span)
+    written, labels = pickle.dumps(field), schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tagger = Tagger(field)
+        tagger = _tagger(written)
         for part in parts_of(batches, 128):
-            texts = part.column(at).to_pylist()
+            texts = part.column(0).to_pylist()
             chances = tagger.tag(texts)
             columns = [
-                *part.columns[:at],
+                *part.columns[1:],
                 pa.array([score(field, c) for c in chances], pa.float64()),
                 pa.array([float(c.sum()) for c in chances], pa.float64()),
                 pa.array([[{"start": a, "end": b} for a, b in spans(t, c)] for t, c in zip(texts, chances)], span),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            yield pa.RecordBatch.from_arrays(columns, names=labels)
 
-    schema = T.StructType([*docs.schema.fields]).add("toxicity", T.DoubleType()).add("toxic_words", T.DoubleType())
-    return rows.mapInArrow(tidy(run), schema.add("toxic_spans", spark_span))
+    return rows.mapInArrow(tidy(run), schema).toDF(*own, *names)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -370,6 +402,6 @@ def held_out(doc_id: Column) -> Column:
 def drop_toxic(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
     """``docs`` without those whose toxicity is at least ``least``; labels of held-out rows are not used."""
     field = learn(docs, labels.where(~held_out(F.col("doc_id"))))
-    name = fresh(docs, "document_toxicity")
-    scored = tag_documents(docs.select(*docs.columns), field).withColumnRenamed("toxicity", name)
-    return scored.where(F.col(name) < least).select(*[f"`{c}`" for c in docs.columns])
+    names = tuple(fresh(docs, n) for n in ("document_toxicity", "toxic_words", "toxic_spans"))
+    scored = tag_documents(docs, field, names)
+    return scored.where(F.col(names[0]) < least).drop(*names)

@@ -107,3 +107,34 @@ def test_held_out_rows_of_the_table(spark):
     rows = op4_toxicity(spark, sf).join(truth, "doc_id").where("held_out").collect()
     assert sum(r.predicted == r.toxic for r in rows) >= 0.95 * len(rows)
     assert any(r.predicted for r in rows) and all(0 <= r.score <= 1 for r in rows)
+
+
+def test_every_part_of_a_token_is_read():
+    field = Field({"=badword": 9.0}, -4.0, np.array([[0.5, -0.5], [-0.5, 0.5]]), (1.0, 0.0, 0.0))
+    texts = ["fine " + "y" * 5000 + "badword", "xx" * 2500 + "badwordzz" + "q" * 300, "abc,badword;def ok", "some_badword_here", "badwords", "fine " + "y" * 5000]
+    tops = [c.max() > 0.5 for c in Tagger(field).tag(texts)]
+    assert tops == [True, True, True, True, False, False]
+
+
+def test_chains_without_forms_are_computed_once():
+    rng = random.Random(2)
+    field = Field({"=bad": 3.0, "<goo": -1.5}, -2.0, np.array([[0.7, -0.9], [-0.4, 0.8]]))
+    texts = ["\n".join(" ".join(rng.choice(["a", "b", "c", *(["bad", "good"] if rng.random() < 0.1 else [])]) for _ in range(rng.randrange(40))) for _ in range(9)) for _ in range(30)]
+    for text, got in zip(texts, Tagger(field).tag(texts)):
+        want = [marginals(np.array([[field.emission(w) for w in c]]), np.array([len(c)]), field.change)[0][0] for c in toxicity.chains(text)]
+        assert np.allclose(got, np.concatenate([np.zeros(0), *want]), atol=1e-12)
+
+
+def test_training_does_not_depend_on_partitions(spark):
+    rows, labels = planted(random.Random(5), 200)
+    docs, marked = documents(spark, rows + [(i + 5000, t) for i, t in rows[:40]]), spark.createDataFrame(labels + [(i + 5000, y) for i, y in labels[:40]], "doc_id long, toxic int")
+    one = toxicity.learn(docs, marked)
+    two = toxicity.learn(docs.repartition(7), marked.repartition(5))
+    assert one.weights == two.weights and np.allclose(one.curve, two.curve)
+
+
+def test_clashing_and_dotted_columns(spark):
+    docs = documents(spark, [(1, "a"), (2, None)]).selectExpr("*", "'t' AS toxicity", "'w' AS toxic_words", "1 AS `a.b`", "2 AS document_toxicity")
+    left = toxicity.drop_toxic(docs, spark.createDataFrame([], "doc_id long, toxic int"))
+    assert left.columns == docs.columns
+    assert [tuple(r)[5:] for r in left.collect()] == [("t", "w", 1, 2)] * 2

@@ -20,6 +20,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -48,7 +49,7 @@ _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 _INNER = re.compile(r"[\W_]+")
 
 
-@lru_cache(maxsize=100_000)
+@lru_cache(maxsize=CACHE_WORDS)
 def _short_forms(token: str) -> tuple[str, ...]:
     return tuple(forms(token))
 
@@ -87,7 +88,7 @@ class Field:
     curve: tuple[float, float, float] = (0.0, 0.0, -20.0)
 
     def emission(self, token: str) -> float:
-        return self.bias + sum(self.weights.get(f, 0.0) for f in forms(token))
+        return self.bias + sum(self.weights.get(f, 0.0) for f in _forms(token))
 
 
 def marginals(emissions: np.ndarray, lengths: np.ndarray, change: np.ndarray, counts: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
@@ -164,13 +165,20 @@ def train(given: list[tuple[int, list[tuple[int, list[str], bool]]]], rounds: in
 
 
 class Tagger:
-    """Marginals of whole texts under a field; emissions of tokens are remembered.
+    """Marginals of whole texts under a field.
 
-    Most chains have no form of the field at all. Their marginals depend on their length alone and are computed once.
+    A field has few forms. Words are first searched for the letters of any of them, all at once, and only the forms of
+    those that have some are looked at. Most chains have no form at all; their marginals depend on their length alone
+    and are computed once.
     """
 
     def __init__(self, field: Field):
-        self.field, self.known, self.bare = field, {}, {}
+        self.field, self.bare, self.letters = field, {}, None
+        if field.weights:
+            self.letters = ahocorasick.Automaton()
+            for form in field.weights:
+                self.letters.add_word(form[1:], 0)
+            self.letters.make_automaton()
 
     def _bare(self, length: int) -> np.ndarray:
         if length not in self.bare:
@@ -178,15 +186,13 @@ class Tagger:
         return self.bare[length]
 
     def _emissions(self, words: list[str]) -> np.ndarray:
-        new = set(words).difference(self.known)
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known, new = {}, set(words)
-        emission = self.field.emission
-        self.known.update((w, emission(w)) for w in new)
-        out = np.array([self.known[w] for w in words])
-        for w in [w for w in new if len(w) > 100]:
-            del self.known[w]
-        return out
+        kinds = list(set(words))
+        text = "\n".join(kinds).lower()  # words have no line breaks, and lower case makes none
+        hits = np.fromiter((end for end, _ in self.letters.iter(text)), np.int64) if self.letters else np.zeros(0, np.int64)
+        ends = np.cumsum([len(w) + 1 for w in text.split("\n")])
+        bias, emission = self.field.bias, self.field.emission
+        known = {kinds[i]: emission(kinds[i]) for i in np.unique(np.searchsorted(ends, hits, "right"))}
+        return np.array([known.get(w, bias) for w in words])
 
     def tag(self, texts: list[str]) -> list[np.ndarray]:
         """For each text the marginals of its tokens, in order."""

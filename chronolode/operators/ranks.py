@@ -8,13 +8,23 @@ from chronolode.session import cut_lineage
 _LOCAL_BITS = 33  # monotonically_increasing_id() is (partition << 33) + row in partition
 
 
-# Rows up to which a checked side of a join is broadcast (some tens of MB of keys).
+# Rows and bytes up to which a checked side of a join is broadcast.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
+# Rows for which not even long names come near that size.
+FEW_ROWS = 5_000
 
 
 def small_side(df: DataFrame, rows: int) -> DataFrame:
-    """``df`` marked for broadcast if its counted rows allow it, else left to a shuffle join."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+    """``df`` marked for broadcast if its counted rows and their measured bytes allow it, else left to a shuffle join."""
+    if rows > BROADCAST_ROWS:
+        return df
+    if rows > FEW_ROWS:
+        texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if f.dataType.typeName() in ("string", "binary")]
+        size = sum(texts, F.lit(16 + 16 * len(df.columns)))
+        if (df.agg(F.sum(size)).first()[0] or 0) > BROADCAST_BYTES:
+            return df
+    return F.broadcast(df)
 
 
 def with_global_rank(df: DataFrame, *order: str, name: str = "rank") -> DataFrame:

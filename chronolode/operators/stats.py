@@ -9,13 +9,8 @@ from pyspark.sql import functions as F
 from chronolode.functions.archive import is_finite, point_valid
 from chronolode.functions.timestamps import div
 from chronolode.operators.buckets import select_pvs
-from chronolode.operators.median import radix_median
-from chronolode.operators.ranks import small_side, with_global_rank
-from chronolode.session import cut_lineage
-
-# Samples of one signal up to which its distinct values may meet in one median buffer.
-# A task holds up to 128 such buffers at once before Spark falls back to sorting.
-HOT_SAMPLES = 100_000
+from chronolode.operators.median import SKETCH_KNOWS, sketch, with_exact_median
+from chronolode.operators.ranks import with_global_rank
 
 # Tags every imported file signal starts with.
 FILE_TAGS = ("h5_data", "accelerator_data", "production")
@@ -37,40 +32,19 @@ def _moments() -> list[Column]:
     ]
 
 
-def pv_statistics(
-    samples: DataFrame,
-    zero_fill: bool = False,
-    hot_samples: int = HOT_SAMPLES,
-    approx: bool = False,
-    sizes: DataFrame | None = None,
-) -> DataFrame:
+def pv_statistics(samples: DataFrame, zero_fill: bool = False, hot_samples: int = SKETCH_KNOWS, approx: bool = False) -> DataFrame:
     """``pv, count, nan_count, mean, median, std_dev, min, max`` with the exact median.
 
-    Signals above ``hot_samples`` take the digit-wise median. Whether there are
-    any is asked first, from ``sizes`` (pv, n) if bucket metadata already knows
-    the counts. ``approx`` trades exactness of the median for one bounded
-    sketch per signal.
+    One scan gives all of it for signals of at most ``hot_samples`` samples (never more than the sketch knows exactly);
+    the median of others takes a second scan, in which only values around the middle are shuffled. ``approx`` trades
+    exactness of the median for one scan.
     """
     columns = ["pv", "count", "nan_count", "mean", "median", "std_dev", "min", "max"]
-
-    def direct(part, middle):
-        return part.groupBy("pv").agg(*_moments(), middle.alias("median")).select(*columns)
-
     if approx:
-        result = direct(samples, F.percentile_approx(_present(), 0.5, 10_000))
+        result = samples.groupBy("pv").agg(*_moments(), F.percentile_approx(_present(), 0.5, 10_000).alias("median"))
     else:
-        if sizes is None:
-            sizes = samples.groupBy("pv").agg(F.count("*").alias("n"))
-        hot = sizes.where(F.col("n") > hot_samples).select("pv")
-        n_hot = hot.count()
-        if n_hot == 0:
-            result = direct(samples, F.median(_present()))
-        else:
-            hot = small_side(cut_lineage(hot), n_hot)
-            of_hot = samples.join(hot, "pv", "left_semi")
-            medians = radix_median(of_hot.where(~F.isnan("value")))
-            big = of_hot.groupBy("pv").agg(*_moments()).join(medians, "pv", "left").select(*columns)
-            result = direct(samples.join(hot, "pv", "left_anti"), F.median(_present())).unionByName(big)
+        first = samples.groupBy("pv").agg(*_moments(), sketch(_present()).alias("__sketch"))
+        result = with_exact_median(first, samples.where(~F.isnan("value")), "pv", "value", hot_samples)
     if zero_fill:
         result = result.fillna(0.0, ["mean", "median", "std_dev", "min", "max"])
     return result.select(*columns)

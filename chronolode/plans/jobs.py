@@ -9,7 +9,7 @@ from chronolode.functions.timestamps import axis_slice, div, guard_period, insta
 from chronolode.operators import files
 from chronolode.operators.archive import archive_attributes, one_meta
 from chronolode.operators.axis import computed
-from chronolode.operators.buckets import query_buckets, query_samples
+from chronolode.operators.buckets import query_samples
 from chronolode.operators.stats import FILE_TAGS, pv_statistics
 from chronolode.schema import CLOCK, LIST, NS_PER_SEC
 from chronolode.sources.archive_json import archive_meta, parse_answers
@@ -23,10 +23,8 @@ def statistics_of_window(
     pattern: str | None = None,
     max_span_days: int | None = None,
 ) -> DataFrame:
-    """Statistics per signal in a window. Hot signals are found from bucket counts, without expanding."""
-    window = (begin_ns, end_ns, pvs, pattern, False, max_span_days)
-    sizes = query_buckets(buckets, *window).groupBy("pv").agg(F.sum("sample_count").alias("n"))
-    return pv_statistics(query_samples(buckets, *window), sizes=sizes)
+    """Statistics per signal in a window."""
+    return pv_statistics(query_samples(buckets, begin_ns, end_ns, pvs, pattern, False, max_span_days))
 
 
 def _text(value: Column) -> Column:

@@ -29,7 +29,7 @@ def q_pv_statistics(spark, sf):
 
 
 def q_pv_statistics_hot(spark, sf):
-    """The same with every signal treated as hot: all medians come from the digit-wise search."""
+    """The same with every signal treated as hot: all medians come from the second scan."""
     return _plain(stats.pv_statistics(v.v_samples(spark, sf), hot_samples=0), "mean", "median", "std_dev", "min", "max")
 
 

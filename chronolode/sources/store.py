@@ -5,8 +5,10 @@ Below its day a bucket lies in a folder that bounds the days it lasts
 far before its begin the folders go that it must open.
 """
 
+from datetime import date
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronolode import schema
@@ -79,20 +81,40 @@ def _stored(spark: SparkSession, path: str) -> bool:
         return False
 
 
+# Days that a test names one by one; beyond, the first and the last bound it.
+NAMED_DAYS = 1_000
+
+
+def of_days(stored: DataFrame, days: list[date]) -> DataFrame:
+    """Rows of a store that may be of the given days, so that Spark lists only their folders."""
+
+    def among(column: str, values: set[date]) -> Column:
+        if len(values) <= NAMED_DAYS:
+            return F.col(column).isin(sorted(values))
+        return F.col(column).between(min(values), max(values))
+
+    out = stored.where(among("day", set(days))) if days else stored.where(F.lit(False))
+    if days and "month" in stored.columns:
+        out = out.where(among("month", {d.replace(day=1) for d in days}))
+    return out
+
+
 def insert_buckets(buckets: DataFrame, path: str, folder: str = "day") -> None:
     """Add the buckets a store does not have yet; inserting them again changes nothing.
 
-    Keys of the days at hand are read from the store, never arrays. Every
-    bucket is taken once, also when the input repeats it.
+    Keys of the days at hand are read from the store, never arrays. Every bucket is taken once, also when the input
+    repeats it. Two inserts of the same buckets at one time can both add them: writers that run side by side need
+    folders of their own, as streams have.
     """
     spark = buckets.sparkSession
     new = consistent(buckets).dropDuplicates(BUCKET_KEY)
     if _stored(spark, path):
-        same = [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in BUCKET_KEY]
-        old = read_buckets(spark, path).select(*BUCKET_KEY)
-        condition = same[0]
-        for test in same[1:]:
-            condition = condition & test
+        # days are few: a year has 366
+        days = [r[0] for r in consistent(buckets).select("day").distinct().collect()]
+        old = of_days(read_buckets(spark, path), days).select(*BUCKET_KEY)
+        condition = F.col("n.day") == F.col("o.day")
+        for c in BUCKET_KEY[1:]:
+            condition = condition & F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}"))
         new = new.alias("n").join(old.alias("o"), condition, "left_anti")
     save_buckets(new, path, "append", folder)
 

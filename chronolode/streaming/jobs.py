@@ -13,7 +13,9 @@ from chronolode import schema
 from chronolode.operators.axis import expand_timestamps
 from chronolode.operators.buckets import request_buckets
 from chronolode.operators.ingest import accepted, request_status, validate_requests
-from chronolode.sources.store import insert_buckets, laid_out
+from chronolode.operators.ranks import small_side
+from chronolode.session import cut_lineage
+from chronolode.sources.store import insert_buckets
 
 
 def request_stream(
@@ -31,10 +33,9 @@ def _query_id(spark: SparkSession, checkpoint: str) -> str:
     return spark.read.json(f"{checkpoint}/metadata").first()["id"]
 
 
-def _replace_batch(df: DataFrame, folder: str, by_day: bool = False) -> None:
+def _replace_batch(df: DataFrame, folder: str) -> None:
     """Write under the folder of one batch of one query; a repeated batch replaces itself."""
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy("day") if by_day else writer).parquet(folder)
+    df.write.mode("overwrite").parquet(folder)
 
 
 def stream_ingest(
@@ -46,13 +47,20 @@ def stream_ingest(
     a batch run again after a failure leaves no duplicates, and streams with
     other checkpoints can write to the same place. Buckets are written before
     the status rows that report them, from one validation of the batch.
+
+    A task writes one file, sorted by day and signal, so a batch makes no more files than it has tasks, whatever number
+    of days it touches; ``merge_stream`` brings the buckets into day folders.
     """
+    known: list[str] = []
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
-        own = f"source={_query_id(batch.sparkSession, checkpoint)}/batch={batch_id}"
+        if not known:
+            known.append(_query_id(batch.sparkSession, checkpoint))
+        own = f"source={known[0]}/batch={batch_id}"
         checked = validate_requests(batch, providers).persist()
         try:
-            _replace_batch(laid_out(request_buckets(accepted(checked))), f"{out}/buckets/{own}", by_day=True)
+            buckets = request_buckets(accepted(checked)).sortWithinPartitions("day", "pv", "first_ns")
+            _replace_batch(buckets, f"{out}/buckets/{own}")
             _replace_batch(request_status(checked), f"{out}/status/{own}")
         finally:
             checked.unpersist()
@@ -61,23 +69,28 @@ def stream_ingest(
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def _one_source(rows: DataFrame) -> DataFrame:
-    """Of requests that several streams have stored, the rows of one stream; only keys are read to choose it."""
-    if rows.select("source").distinct().limit(2).count() < 2:
-        return rows.drop("source", "batch")
-    key = ["provider_id", "request_id"]
-    owner = rows.groupBy(*key).agg(F.min("source").alias("source"))
-    return rows.join(owner, [*key, "source"], "left_semi").drop("source", "batch")
+def _once(rows: DataFrame) -> DataFrame:
+    """Of requests that several batches or streams have stored, the rows of the first one.
+
+    Only keys are read to find them. They are few, and rows travel only if they are not.
+    """
+    key, where = ["provider_id", "request_id"], ["source", "batch"]
+    places = rows.where("provider_id IS NOT NULL AND request_id <> ''").select(*key, *where).distinct()
+    again = places.groupBy(*key).agg(F.count("*").alias("n"), F.min(F.struct(*where)).alias("first")).where("n > 1")
+    others = cut_lineage(places.join(again, key).where(F.struct(*where) != F.col("first")).select(*key, *where))
+    n = others.count()
+    left = rows.join(small_side(others, n), [*key, *where], "left_anti").select(*rows.columns) if n else rows
+    return left.drop(*where)
 
 
 def ingested(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
     """Buckets and status rows that streams have stored so far.
 
-    A stream that lost its checkpoint reads its input again into folders of
-    its own; a request stored by several streams is taken from one of them.
+    A stream that lost its checkpoint reads its input again into folders of its own, and a request may reach a stream
+    twice; what is stored several times is taken from one batch.
     """
-    buckets = _one_source(spark.read.schema(schema.BUCKETS).parquet(f"{out}/buckets"))
-    return buckets.select(*schema.BUCKETS.names), _one_source(spark.read.parquet(f"{out}/status"))
+    buckets = _once(spark.read.schema(schema.BUCKETS).parquet(f"{out}/buckets"))
+    return buckets.select(*schema.BUCKETS.names), _once(spark.read.parquet(f"{out}/status"))
 
 
 def merge_stream(spark: SparkSession, out: str, store: str) -> None:

@@ -172,6 +172,40 @@ def test_stream_repeats_leave_no_duplicates(spark, tmp_path):
     assert status.count() == 200
 
 
+def test_a_request_sent_twice_counts_once(spark, tmp_path):
+    """The same requests in two files, read in two batches of one stream."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    requests = v.v_requests(spark, SF).where("provider_id LIKE 'prov-%'").limit(40)
+    for mode in ("overwrite", "append"):
+        requests.coalesce(1).write.mode(mode).parquet(source)
+    stream = streaming.request_stream(spark, source, 1)
+    streaming.stream_ingest(stream, v.v_providers(spark, SF), out, str(tmp_path / "c"), True).awaitTermination()
+    found, status = streaming.ingested(spark, out)
+    assert status.count() == 40 and found.count() == 2 * status.where("status = 'SUCCESS'").count()
+    assert len(list((tmp_path / "out" / "buckets").rglob("*.parquet"))) == 2  # a file a task, whatever the days
+
+
+def test_insert_reads_only_the_days_at_hand(spark, tmp_path, monkeypatch):
+    for folder in ("day", "month"):
+        path = str(tmp_path / folder)
+        store.write_buckets(store_requests(spark, 400), path, folder=folder)
+        plans = []
+        real = store.save_buckets
+
+        def seen(df, *args):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return real(df, *args)
+
+        monkeypatch.setattr(store, "save_buckets", seen)
+        more = store_requests(spark, 12, "new").unionByName(store_requests(spark, 10))
+        assert store.write_buckets(more, path, folder=folder).count() == 412
+        monkeypatch.undo()
+        filters = [line.split("PartitionFilters: [")[1].split("]")[0] for line in plans[0].splitlines() if "PartitionFilters: [" in line]
+        assert len(filters) == 1 and f"{folder}#" in filters[0] and (" IN (" in filters[0] or " INSET " in filters[0])
+        day = spark.sql("SELECT date'1970-01-03' AS day").first().day
+        assert store.of_days(store.read_buckets(spark, path), [day]).select("request_id").collect()[0][0] in ("r2", "new2")
+
+
 def test_subscription_errors_reach_the_callback(spark, tmp_path):
     source, seen = str(tmp_path / "in"), []
     v.v_requests(spark, SF).limit(5).write.parquet(source)

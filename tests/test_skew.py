@@ -50,6 +50,38 @@ def test_statistics_split_between_hot_and_usual(spark):
         assert a["median"] == pytest.approx(b["median"], nan_ok=True)
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 999, 3999, 4000, 4001, 30_000])
+def test_median_of_any_size(spark, n):
+    """The sketch knows small groups exactly and brackets large ones, over many partitions and with ties."""
+    rng = random.Random(n)
+    rows = [("spread", 0, rng.gauss(0, 1)) for _ in range(n)] + [("tied", 0, float(rng.randrange(5))) for _ in range(n)]
+    rows += [("sorted", 0, float(i)) for i in range(n)] + [("steps", 0, float(i // 700)) for i in range(n)]
+    df = frame(spark, rows).repartition(11)
+    want = {pv: statistics.median([v for p, _, v in rows if p == pv]) for pv in ("spread", "tied", "sorted", "steps")}
+    for part in (df, df.coalesce(1)):
+        assert {r.pv: r["median"] for r in median.radix_median(part).collect()} == pytest.approx(want, rel=1e-14)
+
+
+def test_statistics_scan_at_most_twice(spark, tmp_path, monkeypatch):
+    rows = skewed(4, 20_000)
+    frame(spark, rows).write.parquet(str(tmp_path / "s"))
+    plans = []
+    real = median.cut_lineage
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df)
+
+    monkeypatch.setattr(median, "cut_lineage", seen)
+    out = stats.pv_statistics(spark.read.parquet(str(tmp_path / "s")))
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert [p.count("FileScan parquet") for p in plans] == [1, 1] and "reflect" not in plans[1]
+    by_pv = {}
+    for pv, _, value in rows:
+        by_pv.setdefault(pv, []).append(value)
+    assert {r.pv: r["median"] for r in out.collect()} == pytest.approx({k: statistics.median(v) for k, v in by_pv.items()}, nan_ok=True)
+
+
 def test_global_rank_with_ties(spark):
     rng = random.Random(3)
     rows = [(5 if rng.random() < 0.5 else rng.randrange(100), i) for i in range(2000)]

@@ -28,8 +28,12 @@ LENGTH = 1024
 END_ID = 2
 CACHE_WORDS = 400_000
 LONG_WORD = 100
-#: Fixed value: how the vocabulary file writes a space.
+#: Marks a word may end in, and kinds of such ends that are remembered.
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+MOST_TAILS = 10_000
+#: How the vocabulary file writes a space and a line break.
 SPACE = "Ġ"
+BREAK = "Ċ"
 #: Groups of ranks of one length: at least so many, and more once they would exceed so many rows.
 RANK_GROUPS = 64
 RANK_ROWS = 16_384
@@ -44,10 +48,10 @@ def default_tokenizer() -> str:
 class Encoder:
     """Token ids of texts by a byte-level BPE file, as little-endian unsigned 32-bit ids.
 
-    The tokenizer never merges across a space between two other characters, so a text is cut there and ids of its words
-    are remembered: those of the last ``words`` or fewer, in two halves of which the older is given up. New words are
-    encoded many at a time; a token that begins with a space begins a word. A text with any other spacing goes to the
-    tokenizer whole.
+    The tokenizer never merges across a space or line break between two other characters, nor between a letter or digit
+    and a mark, so a text is cut at the former and ids of its words are remembered: those of the last ``words`` or fewer,
+    in two halves of which the older is given up. New words are encoded many at a time, without the marks they end in; a
+    token that begins with a space or break begins a word. A text with any other spacing goes to the tokenizer whole.
     """
 
     def __init__(self, path: str, words: int = CACHE_WORDS):
@@ -57,34 +61,61 @@ class Encoder:
         self.tokenizer, self.words = Tokenizer.from_file(path), words
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.begins[[i for token, i in vocabulary.items() if token.startswith(SPACE)]] = True
+        self.begins[[i for token, i in vocabulary.items() if token.startswith(SPACE) or token == BREAK]] = True
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: list[str]) -> None:
-        parts = [words[i : i + 64] for i in range(0, len(words), 64)]
-        for part, found in zip(parts, self.tokenizer.encode_batch_fast(["".join([f" {w}" for w in p]) for p in parts], add_special_tokens=False)):
+    def _encode_words(self, words: list[str]) -> None:
+        """Remember ids of words, each with the space or break in front of it."""
+        written = [w if w[0] == "\n" else f" {w}" for w in words]
+        parts = [(words[i : i + 64], written[i : i + 64]) for i in range(0, len(words), 64)]
+        for (part, texts), found in zip(parts, self.tokenizer.encode_batch_fast(["".join(t) for _, t in parts], add_special_tokens=False)):
             ids = np.array(found.ids, "<u4")
             starts = np.flatnonzero(self.begins[ids])
             if len(starts) == len(part) and starts[0] == 0:
                 data, edges = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
                 self.known.update((w, data[i:j]) for w, i, j in zip(part, edges, edges[1:]))
             else:
-                self.known.update(zip(part, self._whole([f" {w}" for w in part])))
+                self.known.update(zip(part, self._whole(texts)))
+
+    def _learn(self, words: list[str]) -> None:
+        plain, marked = [], []
+        for word in words:
+            base = word.rstrip(MARKS)
+            if len(base) < len(word) and base and base[-1].isalnum() and not any(s in word for s in self.special):
+                marked.append((word, base, word[len(base) :]))
+            else:
+                plain.append(word)
+        bases = {b for _, b, _ in marked}.difference(self.known, plain)
+        self.known.update((b, self.older[b]) for b in bases & self.older.keys())
+        bases.difference_update(self.known)
+        # breaks inside a word would look like beginnings
+        broken = [w for w in plain if "\n" in w[1:]]
+        self._encode_words([*(w for w in plain if "\n" not in w[1:]), *(b for b in bases if "\n" not in b[1:])])
+        broken += [b for b in bases if "\n" in b[1:]]
+        self.known.update(zip(broken, self._whole([w if w[0] == "\n" else f" {w}" for w in broken])))
+        tails = list({t for _, _, t in marked}.difference(self.tails))
+        self.tails.update(zip(tails, self._whole(tails)))
+        self.known.update((w, self.known[b] + self.tails[t]) for w, b, t in marked)
+        if len(self.tails) > MOST_TAILS:
+            self.tails = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [t.split(" ") for t in texts]
+        breaks = ["\n" in t and not (" \n" in t or "\n " in t or "\n\n" in t) for t in texts]
+        cut = [(t.replace("\n", " \n") if b else t).split(" ") for t, b in zip(texts, breaks)]
         firsts = [words.pop(0) for words in cut]
         new = set(chain.from_iterable(cut)).difference(self.known)
         again = self.older.keys() & new
         self.known.update((w, self.older[w]) for w in again)
         # an empty word, or white space beside the cut, is another spacing
-        new = [w for w in new - again if w and not w[0].isspace() and not w[-1].isspace()]
+        new = [w for w in new - again if w and not w[-1].isspace() and (not w[0].isspace() or w[0] == "\n" and not w[1].isspace())]
         self._learn(new)
-        plain = [bool(w) and not w[-1].isspace() for w in firsts]
+        plain = [bool(w) and not w[-1].isspace() and (b or " \n" not in t) for t, w, b in zip(texts, firsts, breaks)]
         heads = self._whole([w if ok else "" for w, ok in zip(firsts, plain)])
         ids_of, found = self.known.__getitem__, []
         for text, words, ok, head in zip(texts, cut, plain, heads):

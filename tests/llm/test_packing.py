@@ -14,8 +14,8 @@ from chronolode.llm import packing
 def test_encoder_equals_tokenizer(monkeypatch):
     plain = Tokenizer.from_file(packing.default_tokenizer())
     rng = random.Random(2)
-    parts = ["a", "Word", "it's", " ", "  ", "\n", "\t", "é", "1234", "…", " ", "　", "<|endoftext|>", "ß,", "\U0001f600", "\x1c", "\x85", "-", "don't"]
-    texts = ["", " ", "a", " a", "a ", "a  b", "a \nb", "a\n b"] + ["".join(rng.choice(parts) + rng.choice(["", " "]) for _ in range(rng.randrange(25))) for _ in range(600)]
+    parts = ["a", "Word", "it's", " ", "  ", "\n", "\t", "é", "1234", "…", " ", "　", "<|endoftext|>", "ß,", "\U0001f600", "\x1c", "\x85", "-", "don't", "it's,", "x***", "?!", "\nY", "w.", "\n\n", "12,", "é'", "²)", "e\u0301."]
+    texts = ["a.\nb", "\na", "a\n", "a,\n\nb, c", "a\n\tb", "a \nb c", "a\nb c", "one, two, three.\nFour's, five", "a, ,b ,", "a\x1c,b c"] + ["", " ", "a", " a", "a ", "a  b", "a \nb", "a\n b"] + ["".join(rng.choice(parts) + rng.choice(["", " "]) for _ in range(rng.randrange(25))) for _ in range(600)]
     for words in (10, 5_000):
         encoder = packing.Encoder(packing.default_tokenizer(), words)
         for at in range(0, len(texts), 50):

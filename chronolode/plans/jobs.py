@@ -7,12 +7,12 @@ from chronolode.functions.archive import is_finite, mask_invalid, point_valid
 from chronolode.functions.names import parse_file_lenient, parse_pv_split
 from chronolode.functions.timestamps import axis_slice, div, guard_period, instant_at, time_axis
 from chronolode.operators import files
-from chronolode.operators.archive import archive_attributes, one_meta
+from chronolode.operators.archive import archive_attributes
 from chronolode.operators.axis import computed
 from chronolode.operators.buckets import query_samples
 from chronolode.operators.stats import FILE_TAGS, pv_statistics
 from chronolode.schema import CLOCK, LIST, NS_PER_SEC
-from chronolode.sources.archive_json import archive_meta, parse_answers
+from chronolode.sources.archive_json import described, parse_answers
 
 
 def statistics_of_window(
@@ -150,13 +150,15 @@ def archive_requests(
 ) -> DataFrame:
     """Archiver answers as ingest requests: points masked, metadata and quality as attributes and tags.
 
-    An answer is one row and stays one: its points are used where they were
+    An answer is one row and stays one: it is parsed once, and its points and its own metadata are used where they were
     read, in the order given. With ``clock`` the time axis is the clock of the
     mean period, else the list of all instants.
     """
     points = F.col("__points")
-    packed = computed(parse_answers(answers, column).select("pv", "error", F.col("points").alias("__p")), __points=F.col("__p"))
+    parsed = parse_answers(answers, column)
+    packed = computed(parsed.select("pv", "error", "meta", F.col("points").alias("__p")), __points=F.col("__p"))
     packed = packed.where((F.col("error") == "") & (F.size(points) > 0))
+    packed = archive_attributes(described(packed)).withColumn("__enums", F.size("enums") > 0)
     packed = computed(
         packed,
         __n=F.size(points),
@@ -165,9 +167,6 @@ def archive_requests(
         __first=F.get(points, 0)["ts_ns"],
         __last=F.element_at(points, -1)["ts_ns"],
     )
-    meta = archive_attributes(one_meta(archive_meta(answers, column))).select(
-        "pv", "attributes", (F.size("enums") > 0).alias("__enums")
-    )
     n, first, last = F.col("__n"), F.col("__first"), F.col("__last")
     pct = F.col("__valid") / n * 100
     figures = {
@@ -189,7 +188,7 @@ def archive_requests(
     ]
     period = F.when(n > 1, div(last - first, F.greatest(n - 1, F.lit(1)))).otherwise(F.lit(NS_PER_SEC))
     instants = F.transform(points, lambda p: p["ts_ns"])
-    return packed.join(meta, "pv", "left").select(
+    return packed.select(
         F.sha2(F.concat_ws("\x1f", F.col("pv"), _text(first)), 256).alias("request_id"),
         F.lit(provider_id).alias("provider_id"),
         F.lit("archive").alias("stream_id"),

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from chronolode.functions.values import map_to_attr
 from chronolode.operators import files
 from chronolode.operators.archive import archive_attach_meta, archive_attributes
+from chronolode.plans.jobs import archive_requests as import_archive
 from chronolode.plans.jobs import import_rejects, import_requests
 from chronolode.queries import views as v
 from chronolode.queries.views import oracle
@@ -93,10 +94,27 @@ def q_archive_attributes(spark, sf):
 
 
 def q_archive_attach_meta(spark, sf):
+    """Points with the metadata of their own answer, and those of one device with metadata matched by name."""
     answers = v.v_archive_json(spark, sf)
-    joined = archive_attach_meta(archive.archive_json(answers), archive.archive_meta(answers))
-    return joined.select(
-        "pv", "ts_ns", "severity", F.col("properties")["EGU"].alias("egu"), F.size("enums").alias("n_enums")
+    own = archive.archive_json(answers, meta=True)
+    named = archive_attach_meta(archive.archive_json(answers), archive.archive_meta(answers).where("description = 'probe'"))
+    columns = ["pv", "ts_ns", "severity", F.col("properties")["EGU"].alias("egu"), F.size("enums").alias("n_enums")]
+    return own.select(F.lit("own").alias("how"), *columns).unionByName(named.select(F.lit("name").alias("how"), *columns))
+
+
+def q_archive_requests(spark, sf):
+    requests = import_archive(v.v_archive_json(spark, sf), "prov-1", 7)
+    column = F.get("columns", 0)
+    total = F.aggregate(F.filter(column["vals"], lambda x: ~F.isnan(x)), F.lit(0.0), lambda a, x: a + x)
+    figures = ["epics_egu", "data_valid_count", "data_alarm_count", "has_enums", "signal_type"]
+    return requests.select(
+        column["name"].alias("pv"),
+        F.col("ts.start_ns").alias("start_ns"),
+        F.col("ts.period_ns").alias("period_ns"),
+        F.col("ts.count").alias("n"),
+        total.alias("total"),
+        F.array_join("tags", ",").alias("tags"),
+        *(F.col("attributes")[k].alias(k) for k in figures),
     )
 
 
@@ -282,10 +300,21 @@ QUERIES = {
     "archive_attach_meta": (
         q_archive_attach_meta,
         oracle(
-            """SELECT pv, sec::BIGINT * 1000000000 + 5 AS ts_ns, severity, 'C' AS egu,
+            """SELECT how, pv, sec::BIGINT * 1000000000 + 5 AS ts_ns, severity, 'C' AS egu,
             CASE WHEN user_id % 3 = 0 THEN 2 ELSE 0 END AS n_enums FROM (SELECT pv, user_id,
             unnest([1700000000, 1700000060, 1700000121]) AS sec, unnest([0, 1, 3]) AS severity FROM v_archive_json)
-            WHERE user_id % 7 <> 0"""
+            CROSS JOIN (VALUES ('own'), ('name')) AS h(how) WHERE user_id % 7 <> 0"""
+        ),
+    ),
+    "archive_requests": (
+        q_archive_requests,
+        oracle(
+            """SELECT pv, 1700000000000000005 AS start_ns, 60500000000 AS period_ns, 3 AS n, CAST(user_id AS DOUBLE) AS total,
+            'archiver_data,epics_data,device_IOC,project_epics_archive' || CASE WHEN user_id % 3 = 0 THEN ',has_enums' ELSE '' END
+              || ',has_alarms' AS tags, 'C' AS epics_egu, '1' AS data_valid_count, '2' AS data_alarm_count,
+            CASE WHEN user_id % 3 = 0 THEN 'true' ELSE 'false' END AS has_enums,
+            CASE WHEN user_id % 3 = 0 THEN 'enum' ELSE 'control' END AS signal_type
+            FROM v_archive_json WHERE user_id % 7 <> 0"""
         ),
     ),
     "dim_tables": (

@@ -78,11 +78,13 @@ def test_archive_import(spark):
     assert one.attributes["data_alarm_count"] == "2" and one.attributes["has_enums"] == "false"
     assert one.tags == ["archiver_data", "epics_data", "device_IOC", "project_epics_archive", "has_alarms"]
     assert tuple(one.ts)[:4] == ("CLOCK", 1_700_000_000 * S + 5, 121 * S // 2, 3)
+    plan = requests._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange hashpartitioning(pv" not in plan and plan.count("tryParseJson") + plan.count("try_parse_json") <= 1
     listed = jobs.archive_requests(v.v_archive_json(spark, SF), "prov-1", 7, clock=False).first().ts
     assert (listed.kind, listed.period_ns, len(listed.ts_ns)) == ("LIST", 0, 3)
 
 
-@pytest.mark.parametrize("payload", ["[]", "{}", "nonsense", '{"meta": {}}', ""])
+@pytest.mark.parametrize("payload", ["[]", "{}", "[5]", "null", "nonsense", '{"meta": {}}', ""])
 def test_bad_archive_answers(spark, payload):
     from chronolode.sources.archive_json import archive_json
 

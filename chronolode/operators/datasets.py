@@ -3,15 +3,15 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronolode.functions.timestamps import day_of, div
+from chronolode.functions.timestamps import div
 from chronolode.functions.values import text_match
 from chronolode.operators.ranks import small_side
 from chronolode.schema import NS_PER_DAY
 from chronolode.session import cut_lineage
 
-# Days up to which an interval is joined day by day; longer ones, and buckets, join by slots of so many days.
-MAX_JOIN_DAYS = 62
-SLOT_DAYS = 32
+# An interval is covered by aligned cells of 1, 8, 64, ... days, of each size fewer than 16.
+CELL_FACTOR = 8
+CELL_SIZES = 7
 
 
 def dataset_extent(datasets: DataFrame) -> DataFrame:
@@ -76,68 +76,91 @@ def block_intervals(datasets: DataFrame) -> DataFrame:
     return merged.withColumn("prev_end_ns", previous).drop("__island")
 
 
-def _span_days() -> Column:
-    return F.datediff(day_of(F.col("end_ns") - 1), day_of(F.col("begin_ns")))
+def _down(a: Column, b: int) -> Column:
+    """Whole steps of ``b`` in ``a``, downwards before the epoch too."""
+    return div(a - F.pmod(a, F.lit(b).cast("bigint")), b)
 
 
-def dataset_resolve(datasets: DataFrame, samples: DataFrame, max_join_days: int = MAX_JOIN_DAYS) -> DataFrame:
+def cover(begin_ns: Column, end_ns: Column) -> Column:
+    """``array<struct<size, cell>>``: few aligned cells of different sizes that cover the days of [begin, end).
+
+    Of each size those cells are taken that no larger aligned cell within the days holds, so their number grows with
+    the logarithm of the interval, and no day is covered twice.
+    """
+    low, high = _down(begin_ns, NS_PER_DAY), _down(end_ns - 1, NS_PER_DAY) + 1
+
+    def of_size(k: int) -> Column:
+        days = CELL_FACTOR**k
+        first, after = _down(low + (days - 1), days), _down(high, days)  # cells within, first and behind the last
+        up, down = _down(first + (CELL_FACTOR - 1), CELL_FACTOR) * CELL_FACTOR, _down(after, CELL_FACTOR) * CELL_FACTOR
+        split = (up <= down) & (k < CELL_SIZES - 1)
+
+        def cells(a: Column, b: Column) -> Column:
+            return F.when(a < b, F.transform(F.sequence(a, b - 1), lambda c: F.struct(F.lit(k).alias("size"), c.alias("cell"))))
+
+        none = F.array().cast("array<struct<size:int,cell:bigint>>")
+        return F.when(split, F.concat(F.coalesce(cells(first, up), none), F.coalesce(cells(down, after), none))).otherwise(F.coalesce(cells(first, after), none))
+
+    return F.concat(*(of_size(k) for k in range(CELL_SIZES)))
+
+
+def _spots(instant: str, sizes: list[int], shift: int = 0) -> list[Column]:
+    """The cell of each size that an instant is in; ``shift`` sets sizes of another kind apart."""
+    return [F.struct(F.lit(k + shift).alias("size"), _down(_down(F.col(instant), NS_PER_DAY), CELL_FACTOR**k).alias("cell")) for k in sizes]
+
+
+def _in_cells(rows: DataFrame, cells: Column) -> DataFrame:
+    """``rows`` once per cell (``__size``, ``__cell``)."""
+    spread = rows.withColumn("__c", F.explode(cells))
+    return spread.withColumns({"__size": F.col("__c.size"), "__cell": F.col("__c.cell")}).drop("__c")
+
+
+def _sizes(cells: DataFrame) -> tuple[list[int], int]:
+    """Sizes in use and number of rows; at most a row for each of ``CELL_SIZES`` sizes is read."""
+    counts = cells.groupBy("__size").count().collect()
+    return sorted(r["__size"] for r in counts) or [0], sum(r["count"] for r in counts)
+
+
+def dataset_resolve(datasets: DataFrame, samples: DataFrame) -> DataFrame:
     """``dataset_id, pv, ts_ns, value`` of the samples in each dataset's blocks.
 
-    Short intervals join on (signal, day), which spreads a hot signal over its
-    days and leaves few false pairs; long ones join on (signal, slot of many
-    days), which spreads it as well without a row per day. The intervals are written and counted first, so that
-    samples are read once unless both kinds occur, and a side is broadcast
-    only by its count.
+    One join for intervals of any length: an interval is there once per cell of its cover, a sample once per size of cell
+    in use, and they meet on (signal, size, cell), so a hot signal is spread over its days. Intervals are written and
+    counted first, so that they are broadcast only by their count and size.
     """
     columns = ["dataset_id", "pv", "ts_ns", "value"]
-    samples = samples.select(*columns[1:])
-    intervals = cut_lineage(block_intervals(datasets).drop("prev_end_ns").withColumn("__span", _span_days()))
-    is_short = F.col("__span") <= max_join_days
-    n_slots = _slot(F.col("end_ns") - 1) - _slot(F.col("begin_ns")) + 1
-    n_days, n_long = intervals.agg(
-        F.coalesce(F.sum(F.when(is_short, F.col("__span") + 1)), F.lit(0)),
-        F.coalesce(F.sum(F.when(~is_short, n_slots)), F.lit(0)),
-    ).first()
+    intervals = block_intervals(datasets).drop("prev_end_ns")
+    cells = cut_lineage(_in_cells(intervals, cover(F.col("begin_ns"), F.col("end_ns"))))
+    sizes, n = _sizes(cells)
     inside = (F.col("ts_ns") >= F.col("begin_ns")) & (F.col("ts_ns") < F.col("end_ns"))
-    parts = []
-    if n_days or not n_long:
-        days = F.sequence(day_of(F.col("begin_ns")), day_of(F.col("end_ns") - 1))
-        short = intervals.where(is_short).drop("__span").withColumn("__day", F.explode(days))
-        by_day = samples.withColumn("__day", day_of(F.col("ts_ns")))
-        parts.append(by_day.join(small_side(short, n_days), ["pv", "__day"]).where(inside).select(*columns))
-    if n_long:
-        spread = F.explode(F.sequence(_slot(F.col("begin_ns")), _slot(F.col("end_ns") - 1)))
-        long = intervals.where(~is_short).drop("__span").withColumn("__slot", spread)
-        by_slot = samples.withColumn("__slot", _slot(F.col("ts_ns")))
-        parts.append(by_slot.join(small_side(long, n_long), ["pv", "__slot"]).where(inside).select(*columns))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-
-
-def _slot(instant: Column) -> Column:
-    """Number of the slot of ``SLOT_DAYS`` days an instant is in."""
-    return div(instant, SLOT_DAYS * NS_PER_DAY)
+    placed = _in_cells(samples.select(*columns[1:]), F.array(*_spots("ts_ns", sizes)))
+    return placed.join(small_side(cells, n), ["pv", "__size", "__cell"]).where(inside).select(*columns)
 
 
 def dataset_buckets(datasets: DataFrame, buckets: DataFrame) -> DataFrame:
     """``dataset_id`` and the buckets that overlap its blocks, each once per dataset.
 
-    Both sides carry the (signal, slot) pairs they touch and meet on them, so
-    a signal with very many buckets is spread over its slots. Of several
-    intervals one bucket overlaps, only the first is kept: the one whose
-    predecessor ends before the bucket starts; of several slots both touch,
-    only the first of both.
+    A bucket and an interval overlap if the bucket begins in the interval, or the interval begins within the bucket after
+    its first instant; never both. In the first case the bucket's first instant meets the cells of the interval, in the
+    second the interval's begin those of the bucket, both on (signal, size, cell) in one join. Of several intervals of a
+    dataset in one bucket the first is kept: the one whose predecessor ends before the bucket begins.
     """
-
-    def slots(begin: Column, last: Column) -> Column:
-        return F.explode(F.sequence(_slot(begin), _slot(last)))
-
-    intervals = block_intervals(datasets).withColumn("__slot", slots(F.col("begin_ns"), F.col("end_ns") - 1))
-    spread = buckets.withColumn("__slot", slots(F.col("first_ns"), F.col("last_ns")))
-    overlaps = (F.col("first_ns") < F.col("end_ns")) & (F.col("last_ns") >= F.col("begin_ns"))
-    first_hit = F.coalesce(F.col("prev_end_ns") <= F.col("first_ns"), F.lit(True))
-    first_slot = F.col("__slot") == _slot(F.greatest("first_ns", "begin_ns"))
-    found = spread.join(intervals, ["pv", "__slot"]).where(overlaps & first_hit & first_slot)
-    return found.drop("__slot", "begin_ns", "end_ns", "prev_end_ns")
+    turned = 100  # sizes of cells of buckets
+    intervals = block_intervals(datasets)
+    begun = _in_cells(intervals, cover(F.col("begin_ns"), F.col("end_ns")))
+    within = _in_cells(intervals, F.array(*_spots("begin_ns", list(range(CELL_SIZES)), turned)))
+    cells = cut_lineage(begun.unionByName(within))
+    sizes, n = _sizes(cells)
+    own = F.transform(cover(F.col("first_ns"), F.col("last_ns") + 1), lambda c: F.struct((c["size"] + turned).alias("size"), c["cell"].alias("cell")))
+    none = F.array().cast("array<struct<size:int,cell:bigint>>")
+    spots = F.array(*_spots("first_ns", [k for k in sizes if k < turned]))
+    spread = _in_cells(buckets, F.concat(spots, F.when(F.col("last_ns") > F.col("first_ns"), own).otherwise(none)))
+    first, begin = F.col("first_ns"), F.col("begin_ns")
+    bucket_begins = (first >= begin) & (first < F.col("end_ns"))
+    interval_begins = (begin > first) & (begin <= F.col("last_ns")) & F.coalesce(F.col("prev_end_ns") <= first, F.lit(True))
+    found = spread.join(small_side(cells, n), ["pv", "__size", "__cell"])
+    found = found.where(F.when(F.col("__size") < turned, bucket_begins).otherwise(interval_begins))
+    return found.select("dataset_id", *buckets.columns)
 
 
 def exists_by_id(table: DataFrame, ids: DataFrame, id: str) -> DataFrame:

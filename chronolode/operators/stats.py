@@ -3,14 +3,20 @@
 NaN counts as missing in every statistic; Inf is data and stays.
 """
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chronolode.functions.archive import is_finite, point_valid
 from chronolode.functions.timestamps import div
 from chronolode.operators.buckets import select_pvs
 from chronolode.operators.median import SKETCH_KNOWS, sketch, with_exact_median
-from chronolode.operators.ranks import with_global_rank
 
 # Tags every imported file signal starts with.
 FILE_TAGS = ("h5_data", "accelerator_data", "production")
@@ -207,12 +213,50 @@ def ingest_ema(
 ) -> DataFrame:
     """Moving average of file time in completion order, starting from zero.
 
-    The fold e = (1 - a) e + a x is the sum of a (1 - a)^k x over the rows, k
-    being the number of later rows, so positions and one sum replace a
-    sequential pass over the group.
+    The fold e = (1 - a) e + a x is composed of pairs (factor, sum): a stretch of rows turns e into factor * e + sum.
+    Sorted ranges of (group, order) each fold their own rows to one pair per group, and a group's few pairs are composed
+    in the order of the ranges. Rows are never numbered, and only pairs travel by group.
     """
-    ranked = with_global_rank(log.select(group, *order, seconds), group, *order)
-    last = ranked.groupBy(group).agg(F.max("rank").alias("__last"))
-    later = F.col("__last") - F.col("rank")
-    term = F.lit(alpha) * F.pow(F.lit(1 - alpha), later) * F.least(F.col(seconds), F.lit(cap))
-    return ranked.join(last, group).groupBy(group).agg(F.sum(term).alias("ema"))
+    rows = log.select(group, *order, F.least(F.col(seconds).cast("double"), F.lit(cap)).alias("__x"))
+    ranged = rows.repartitionByRange(group, *order).sortWithinPartitions(group, *order).select(group, "__x")
+    pair = T.StructType([T.StructField(group, log.schema[group].dataType), *PAIR])
+    pairs = ranged.mapInArrow(_folded(alpha), pair)
+    ordered = F.array_sort(F.collect_list(F.struct("__range", "__factor", "__sum")))  # one for each range at most
+    whole = F.aggregate(ordered, F.lit(0.0), lambda e, p: e * p["__factor"] + p["__sum"])
+    return pairs.groupBy(group).agg(whole.alias("ema"))
+
+
+PAIR = [T.StructField("__range", T.IntegerType()), T.StructField("__factor", T.DoubleType()), T.StructField("__sum", T.DoubleType())]
+
+
+def _folded(alpha: float):
+    """One (factor, sum) for every group of a sorted range; a group may go on from batch to batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        range_no = TaskContext.get().partitionId()
+        key, factor, total, begun = None, 1.0, 0.0, False
+
+        def out(schema: pa.Schema) -> pa.RecordBatch:
+            columns = [pa.array([key], schema.field(0).type), pa.array([range_no], pa.int32()), pa.array([factor]), pa.array([total])]
+            return pa.RecordBatch.from_arrays(columns, names=[schema.field(0).name, "__range", "__factor", "__sum"])
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            groups = batch.column(0)
+            same = pc.coalesce(pc.equal(groups[1:], groups[:-1]), pc.and_(pc.is_null(groups[1:]), pc.is_null(groups[:-1])))
+            edges = [0, *(np.flatnonzero(~same.to_numpy(zero_copy_only=False)) + 1).tolist(), len(batch)]
+            values = batch.column(1).to_numpy(zero_copy_only=False)
+            for a, b in zip(edges, edges[1:]):
+                now = groups[a].as_py()
+                if begun and now != key:
+                    yield out(batch.schema)
+                    factor, total = 1.0, 0.0
+                key, begun = now, True
+                powers = (1 - alpha) ** np.arange(b - a - 1, -1, -1)
+                total = total * (1 - alpha) ** (b - a) + alpha * float(values[a:b] @ powers)
+                factor *= (1 - alpha) ** (b - a)
+        if begun:
+            yield out(batch.schema)
+
+    return run

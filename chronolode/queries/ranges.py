@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from chronolode.operators import annotations, buckets, datasets, ingest
 from chronolode.queries import views as v
 from chronolode.queries.views import oracle
+from chronolode.session import scratch
+from chronolode.sources.records import read_records, store_datasets
 
 DAY = 86_400_000_000_000
 BEGIN = 1_704_067_200_000_000_000 + 3 * DAY + DAY // 2
@@ -101,10 +103,21 @@ def q_annotations(spark, sf):
         ("words", dict(text="Is note99")),
         ("tag", dict(tag="de")),
         ("compound", dict(owner="src1", tag="en", text="the")),
+        ("attribute", dict(attr=("n_chars", "350"))),
+        ("all", {}),
     ]
     return _union(annotations.annotations_query, v.v_annotations(spark, sf), picks, "annotation_id")
 
 
+def q_stored_datasets(spark, sf):
+    """All datasets created in two runs, a third of them in both, and read from their table."""
+    path, given = scratch(spark, "datasets"), v.v_datasets(spark, sf).drop("dataset_id")
+    part = F.pmod(F.xxhash64("name"), F.lit(3))
+    for run in (part < 2, part > 0):
+        store_datasets(given.where(run), path)
+    return read_records(spark, path).select("name", "owner", F.size("blocks").alias("n_blocks"))
+
+
 def q_exists(spark, sf):
     ids = v.table(spark, sf, "orders").select(F.col("o_custkey").alias("dataset_id")).unionByName(
         v.table(spark, sf, "part").select((F.col("p_partkey") * 3).alias("dataset_id"))
@@ -229,7 +242,16 @@ QUERIES = {
             UNION ALL SELECT 'words', annotation_id FROM v_annotations WHERE {_any(["is", "note99"], _NOTES)}
             UNION ALL SELECT 'tag', annotation_id FROM v_annotations WHERE tag = 'de'
             UNION ALL SELECT 'compound', annotation_id FROM v_annotations WHERE owner = 'src1' AND tag = 'en'
-              AND {_any(["the"], _NOTES)}"""
+              AND {_any(["the"], _NOTES)}
+            UNION ALL SELECT 'attribute', annotation_id FROM v_annotations WHERE attr_value = '350'
+            UNION ALL SELECT 'all', annotation_id FROM v_annotations"""
+        ),
+    ),
+    "stored_datasets": (
+        q_stored_datasets,
+        oracle(
+            """SELECT name, owner, CAST(2 AS INT) AS n_blocks FROM v_datasets
+            WHERE user_id IN (SELECT user_id FROM v_user_pvs)"""
         ),
     ),
     "exists_by_id": (

@@ -152,8 +152,18 @@ def brute_resolve(blocks, rows):
     )
 
 
-@pytest.mark.parametrize("max_join_days", [62, 3, 0, -1])
-def test_dataset_blocks_overlap_and_touch(spark, max_join_days):
+def test_cover_is_whole_and_small(spark):
+    rng = random.Random(11)
+    spans = [(b, b + rng.choice([1, DAY // 3, DAY, rng.randrange(1, 40_000) * DAY])) for b in (rng.randrange(-9000, 9000) * DAY + rng.choice([0, 1, DAY // 2]) for _ in range(400))]
+    df = spark.createDataFrame(spans, "b bigint, e bigint").select("b", "e", datasets.cover(F.col("b"), F.col("e")).alias("c"))
+    for r in df.collect():
+        days = sorted(d for c in r.c for d in range(c.cell * 8**c["size"], (c.cell + 1) * 8**c["size"]))
+        assert days == list(range(r.b // DAY, (r.e - 1) // DAY + 1)) and len(r.c) <= 14 * 7
+
+
+@pytest.mark.parametrize("factor", [8, 2, 3])
+def test_dataset_blocks_overlap_and_touch(spark, factor, monkeypatch):
+    monkeypatch.setattr(datasets, "CELL_FACTOR", factor)
     rows = [("hot" if i % 3 else "p1", i * DAY // 10, float(i)) for i in range(200)]
     blocks = [
         (1, [(0, 3 * DAY, ["hot"]), (2 * DAY, 5 * DAY, ["hot", "p1"]), (5 * DAY, 6 * DAY, ["hot"])]),
@@ -163,7 +173,7 @@ def test_dataset_blocks_overlap_and_touch(spark, max_join_days):
     ]
     schema = "dataset_id int, blocks array<struct<begin_ns:bigint,end_ns:bigint,pvs:array<string>>>"
     sets, samples = spark.createDataFrame(blocks, schema), frame(spark, rows)
-    got = datasets.dataset_resolve(sets, samples, max_join_days).collect()
+    got = datasets.dataset_resolve(sets, samples).collect()
     assert sorted((r.dataset_id, r.pv, r.ts_ns) for r in got) == brute_resolve(blocks, rows)
 
     packed = buckets.pack_buckets(samples)

@@ -11,7 +11,8 @@ A line is removed if an earlier line, by (doc_id, line number), is within the bo
 * A line that equals a variant of longer lines is one distinct line, so each of those needs one link, to it or from it.
 
 Variants are made only for lines that can have a partner: with one edit, two lines agree in their first or last half.
-Exact copies are classed by a 128-bit hash before that, so a line is compared once however often it occurs.
+Exact copies are classed by a 128-bit hash before that, so a line is compared once however often it occurs. Of lines
+shorter than ``MIN_CHARS``, where one edit makes another word, only exact copies count; blank ones are structure and stay.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from chronolode.llm.common import fresh, kept, parts_of, text_of, tidy
 
 MIN_CHARS = 10
 NO_ID = (1 << 63) - 1
+#: White space in a line, as the engine's patterns have it.
+BLANKS = " \t\x0b\f\r"
 
 #: Multipliers of the two rolling hashes, and of the code points' mix.
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
@@ -44,13 +47,13 @@ def _key() -> list[Column]:
 def line_rows(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """One row per line of ``docs`` (doc_id, text): doc, row (a hash of the text), line_no, a 128-bit hash (h1, h2) and keys of its halves.
 
-    Lines end at line feeds. Lines of fewer than ``min_chars`` code points are left out.
+    Lines end at line feeds. Shorter lines than ``min_chars`` code points have no halves, and blank ones of them are left out.
     """
     rows = docs.select(*_key(), F.posexplode(F.split(text_of("text"), "\n", -1)).alias("line_no", "line"))
-    rows = rows.withColumn("chars", F.char_length("line")).where(F.col("chars") >= min_chars)
+    rows = rows.withColumn("chars", F.char_length("line")).where((F.col("chars") >= min_chars) | F.col("line").rlike(r"\S"))
     ends = "transform(array_distinct(array(chars div 2, (chars - 1) div 2)), p -> named_struct('p', CAST(p AS INT)))"
     keys = f"flatten(transform({ends}, e -> array(xxhash64(1, e.p, substring(line, 1, e.p)), xxhash64(2, e.p, substring(line, CAST(chars AS INT) - e.p + 1, e.p)))))"
-    return rows.select("doc", "row", "line_no", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2"), F.expr(keys).alias("halves"))
+    return rows.select("doc", "row", "line_no", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2"), F.when(F.col("chars") >= min_chars, F.expr(keys)).otherwise(F.array().cast("array<bigint>")).alias("halves"))
 
 
 def _mixed(points: np.ndarray, mix: int) -> np.ndarray:
@@ -115,7 +118,8 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
     Returns doc_id, line_no (from 0), seen_doc_id and seen_line_no (the earliest line within the bound, which may itself
     be removed), edits (0 or 1). Order is by doc_id, null last, then line number; null and empty texts have one empty
-    line. Lines under ``min_chars`` code points are never removed: they are structure rather than content. Of lines at one
+    line. Lines under ``min_chars`` code points have no edits: they are removed where an equal line came before, and blank
+    ones of them never. Of lines at one
     place of rows that share a doc_id, or have none, the order is that of hashes of the line and its text; of rows equal in
     both, all but one have their lines listed, seen at their own place. Further columns are ignored; an empty table gives no
     rows.
@@ -161,7 +165,7 @@ def _without(batches: Iterator[pa.RecordBatch], text: int, gone: int, count: int
         for i, (numbers, copy) in enumerate(zip(batch.column(gone).to_pylist(), batch.column(gone + 1).to_pylist())):
             if numbers or (copy > 1 and texts[i]):
                 drop = set(numbers or ())
-                left = [x for n, x in enumerate(texts[i].split("\n")) if n not in drop and not (copy > 1 and len(x) >= min_chars)]
+                left = [x for n, x in enumerate(texts[i].split("\n")) if n not in drop and not (copy > 1 and (len(x) >= min_chars or x.strip(BLANKS)))]
                 texts[i] = "\n".join(left) if left else None
                 if not left:
                     continue

@@ -66,13 +66,14 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Candidates share their first or last half; two lines are within one edit if they differ at one place at most, or if
 #: the longer without one code point is the shorter.
-OP9_SQL = """
+OP9_SQL = r"""
 WITH l AS (
   SELECT doc_id, unnest(range(len(a))) AS line_no, unnest(a) AS line
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents)),
-r AS (SELECT *, CAST(doc_id AS HUGEINT) * 4294967296 + line_no AS pos, length(line) AS n FROM l WHERE length(line) >= 10),
+r AS (SELECT *, CAST(doc_id AS HUGEINT) * 4294967296 + line_no AS pos, length(line) AS n FROM l
+      WHERE length(line) >= 10 OR regexp_matches(line, '\S')),
 c AS (SELECT line, n, min(pos) AS pos FROM r GROUP BY ALL),
-h AS (SELECT *, unnest(list_distinct([n // 2, (n - 1) // 2])) AS p FROM c),
+h AS (SELECT *, unnest(list_distinct([n // 2, (n - 1) // 2])) AS p FROM c WHERE n >= 10),
 k AS (SELECT *, 'first' AS side, left(line, p) AS part FROM h UNION ALL SELECT *, 'last', right(line, p) FROM h),
 pairs AS (
   SELECT DISTINCT a.line, a.n, b.line AS to_line, b.n AS to_n, b.pos AS to_pos

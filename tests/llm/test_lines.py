@@ -19,10 +19,10 @@ def within_one(a, b):
 def brute(rows, least):
     """(doc_id, line_no, seen doc, seen line) of every removed line, each compared with all earlier ones."""
     far = 1 << 63
-    all_lines = [(far if d is None else d, n, x) for d, t in rows for n, x in enumerate((t or "").split("\n")) if len(x) >= least]
+    all_lines = [(far if d is None else d, n, x) for d, t in rows for n, x in enumerate((t or "").split("\n")) if len(x) >= least or x.strip()]
     out = set()
     for d, n, x in all_lines:
-        seen = min((e, m) for e, m, y in all_lines if within_one(x, y))
+        seen = min((e, m) for e, m, y in all_lines if x == y or min(len(x), len(y)) >= least and within_one(x, y))
         if seen < (d, n):
             out.add((None if d == far else d, n, *(None if v == far else v for v in seen)))
     return out
@@ -102,7 +102,16 @@ def test_dropping_by_row(spark):
     docs = documents(spark, rows, extra=True)
     got = sorted((str(r.doc_id), str(r.text)) for r in lines.drop_repeated_lines(docs).collect())
     want = [(1, copy), (None, "what only A has to say"), (None, rows[2][1]), (None, "something new from C"), (5, "first of the fives has this"), rows[5]]
-    want += [(None, twice), rows[9], (None, None), (None, None), (None, ""), (None, "tiny"), (None, "tiny")]
+    want += [(None, twice), rows[9], (None, None), (None, None), (None, ""), (None, "tiny")]
     assert got == sorted((str(d), str(t)) for d, t in want)
     listed = sorted((str(r.doc_id), r.line_no, str(r.seen_doc_id)) for r in lines.removed_lines(docs).collect())
-    assert listed == sorted([("None", 0, "1"), ("None", 1, "1"), ("5", 0, "1"), ("None", 0, "None"), ("None", 0, "None"), ("7", 0, "7"), ("7", 1, "7")])
+    assert listed == sorted([("None", 0, "1"), ("None", 1, "1"), ("5", 0, "1"), ("None", 0, "None"), ("None", 0, "None"), ("None", 0, "None"), ("7", 0, "7"), ("7", 1, "7")])
+
+
+def test_short_lines(spark):
+    """Equal short lines go, also those of one letter; similar ones and blank ones stay."""
+    rows = [(1, "Share\n \n\nx\nSharf"), (2, "Share\n \n\nshare\nx"), (3, "x\nShare"), (4, "a line of its own\n\t\nx")]
+    docs = documents(spark, rows)
+    assert found(lines.removed_lines(docs)) == brute(rows, lines.MIN_CHARS) == {(2, 0, 1, 0), (2, 4, 1, 3), (3, 0, 1, 3), (3, 1, 1, 0), (4, 2, 1, 3)}
+    left = {r.doc_id: r.text for r in lines.drop_repeated_lines(docs).collect()}
+    assert left == {1: rows[0][1], 2: " \n\nshare", 4: "a line of its own\n\t"}

@@ -138,11 +138,16 @@ def q_ts_iso(spark, sf):
 
 
 def q_ts_valid(spark, sf):
+    """Instants a BIGINT can't hold are read as the last one it can, which is as far beyond the bound."""
     step = F.col("event_id") - 5
+
+    def instant(unit, begin=0):
+        return F.coalesce(F.try_add(F.try_multiply(step, F.lit(unit)), F.lit(begin)), F.lit((1 << 63) - 1))
+
     return v.v_points(spark, sf).select(
         "event_id",
-        t.ts_valid(step * F.lit(1_000_000_000)).alias("low"),
-        t.ts_valid(step * F.lit(10**12) + F.lit(4_102_444_000 * 10**9)).alias("high"),
+        t.ts_valid(instant(1_000_000_000)).alias("low"),
+        t.ts_valid(instant(10**12, 4_102_444_000 * 10**9)).alias("high"),
         t.ts_parts_valid(F.col("event_id"), F.col("event_id") * 500_000).alias("parts_valid"),
     )
 

@@ -1,9 +1,13 @@
 """Faults that show only on larger tables or odd values, made small."""
 
+import os
+
+import duckdb
 import pytest
-from pyspark.sql import functions as F
+from compare import TABLES, compare
 
 from chronolode.operators import datasets, ranks
+from chronolode.queries import all_oracles, all_queries
 from chronolode.queries import views as v
 
 SF = "/root/testdata/sf0.001"
@@ -16,3 +20,29 @@ def test_counted_sides_beyond_the_limit_are_not_broadcast(spark, join, monkeypat
     right = v.v_buckets(spark, SF) if join is datasets.dataset_buckets else v.v_samples(spark, SF)
     plan = join(v.v_datasets(spark, SF), right)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin [pv" in plan and "BroadcastHashJoin [pv" not in plan
+
+
+def events(spark, path, rows):
+    """The smallest tables with other events: (event_id, seconds, user_id, event_type, value)."""
+    for name in os.listdir(SF):
+        if name != "events.parquet":
+            os.symlink(f"{SF}/{name}", path / name)
+    made = spark.createDataFrame(rows, "event_id long, s long, user_id long, event_type string, value double")
+    made = made.selectExpr("event_id", "CAST(timestamp_seconds(1704067200 + s) AS TIMESTAMP_NTZ) AS ts", "user_id", "event_type", "value", "'{\"k\": 1}' AS props")
+    made.write.parquet(str(path / "events.parquet"))
+    return str(path)
+
+
+def differences(spark, name, sf):
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    for table in TABLES:
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet{'/*.parquet' * os.path.isdir(f'{sf}/{table}.parquet')}'")
+    return compare(spark, con, name, all_queries()[name], all_oracles()[name], sf)
+
+
+def test_ts_valid_of_instants_beyond_bigint(spark, tmp_path):
+    sf = events(spark, tmp_path, [(i, 0, 1, "view", 1.0) for i in (0, 6, 7, 5_116_000, 5_999_999, 10**12)])
+    found = {r.event_id: (r.low, r.high) for r in all_queries()["ts_valid"](spark, sf).collect()}
+    assert found[0] == (False, True) and found[6] == (True, False) and found[5_999_999] == (True, False)
+    assert not found[10**12][1]

@@ -47,7 +47,8 @@ QUERIES = {
     "column_merge": (
         q_column_merge,
         oracle(
-            """SELECT pv, row_number() OVER (PARTITION BY pv ORDER BY ts_ns) - 1 AS pos,
+            # samples of one instant follow each other by value, as in a bucket
+            """SELECT pv, row_number() OVER (PARTITION BY pv ORDER BY ts_ns, value NULLS FIRST) - 1 AS pos,
             CASE WHEN isnan(value) THEN NULL ELSE value END AS value FROM v_samples"""
         ),
     ),

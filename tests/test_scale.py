@@ -46,3 +46,12 @@ def test_ts_valid_of_instants_beyond_bigint(spark, tmp_path):
     found = {r.event_id: (r.low, r.high) for r in all_queries()["ts_valid"](spark, sf).collect()}
     assert found[0] == (False, True) and found[6] == (True, False) and found[5_999_999] == (True, False)
     assert not found[10**12][1]
+
+
+#: Samples of one signal at one instant with different values, NaN (event 17) and infinity (event 53) among them.
+TIED = [(e, s, 1, "view", float(e * 7 % 5)) for s in (5, 90_000) for e in (34, 1, 53, 17, 2, 3, 68)] + [(51, 7, 1, "view", 1.0), (4, 9, 2, "click", 2.0)]
+
+
+@pytest.mark.parametrize("name", ["column_merge"])
+def test_samples_of_one_instant_match_sql(spark, tmp_path, name):
+    assert differences(spark, name, events(spark, tmp_path, TIED)) == ""

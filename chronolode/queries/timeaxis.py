@@ -316,7 +316,11 @@ QUERIES = {
     ),
     "expand_timestamps": (
         q_expand_timestamps,
-        oracle("SELECT pv, CAST(pos AS INT) AS pos, ts_ns, CASE WHEN isnan(value) THEN NULL ELSE value END AS value FROM v_bucket_rows"),
+        # samples of one instant follow each other by value, as in a bucket
+        oracle(
+            """SELECT pv, CAST(row_number() OVER (PARTITION BY pv, ts_ns // 86400000000000 ORDER BY ts_ns, value NULLS FIRST) - 1 AS INT) AS pos,
+            ts_ns, CASE WHEN isnan(value) THEN NULL ELSE value END AS value FROM v_samples"""
+        ),
     ),
     "regular_series": (
         q_regular_series,

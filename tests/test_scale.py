@@ -52,6 +52,6 @@ def test_ts_valid_of_instants_beyond_bigint(spark, tmp_path):
 TIED = [(e, s, 1, "view", float(e * 7 % 5)) for s in (5, 90_000) for e in (34, 1, 53, 17, 2, 3, 68)] + [(51, 7, 1, "view", 1.0), (4, 9, 2, "click", 2.0)]
 
 
-@pytest.mark.parametrize("name", ["column_merge", "expand_timestamps", "table_rows"])
+@pytest.mark.parametrize("name", ["column_merge", "expand_timestamps", "table_rows", "table_to_map"])
 def test_samples_of_one_instant_match_sql(spark, tmp_path, name):
     assert differences(spark, name, events(spark, tmp_path, TIED)) == ""

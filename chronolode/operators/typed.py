@@ -50,7 +50,7 @@ def natural_type(v: Column) -> Column:
         .when(t == "STRING", "STRING")
         .when(t == "BOOLEAN", "BOOLEAN")
         .when(t == "BIGINT", "LONG")
-        .when(t.startswith("DECIMAL(20,0)"), "ULONG")
+        .when(t.startswith("DECIMAL(20,0)") & _signed(F.try_variant_get(v, "$", "decimal(20,0)")).isNotNull(), "ULONG")
         .when(t.startswith("ARRAY"), "ARRAY")
         .when(t == IMAGE_OBJECT, "IMAGE")
         .when(t.startswith("OBJECT"), "STRUCTURE")
@@ -66,8 +66,9 @@ def _two_to(n: int) -> Column:
 
 
 def _signed(d: Column) -> Column:
-    """The 64 bits of an unsigned number as BIGINT."""
-    return F.when(d < _two_to(63), d).otherwise(d - _two_to(64)).cast("bigint")
+    """The 64 bits of an unsigned number as BIGINT; NULL for a number they do not hold."""
+    bits = F.when(d < 0, F.lit(None)).when(d < _two_to(63), d).when(d < _two_to(64), d - _two_to(64))
+    return bits.cast("bigint")
 
 
 def _unsigned(bits: Column) -> Column:

@@ -52,7 +52,8 @@ QUERIES = {
         q_typed_samples,
         oracle(
             """SELECT pv, ts_ns, kind AS data_type, CASE WHEN kind = 'DOUBLE' AND NOT isnan(value) THEN value END AS number,
-            CASE kind WHEN 'LONG' THEN CAST(whole AS VARCHAR) WHEN 'ULONG' THEN CAST(beyond AS VARCHAR)
+            CASE kind WHEN 'LONG' THEN CAST(whole AS VARCHAR)
+              WHEN 'ULONG' THEN CASE WHEN beyond < 18446744073709551616 THEN CAST(beyond AS VARCHAR) END
               WHEN 'BOOLEAN' THEN CAST(flag AS VARCHAR) WHEN 'STRUCTURE' THEN json_extract_string(props, '$.k')
               WHEN 'DOUBLE' THEN NULL ELSE state END AS text, severity, status, message FROM v_typed"""
         ),

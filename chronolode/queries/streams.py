@@ -60,6 +60,8 @@ def q_stream_resume(spark, sf):
     return status.groupBy("status", F.col("request_id").startswith("again-").alias("again")).agg(F.count("*").alias("n"))
 
 
+# a request that arrives twice, equal in all it says, counts once
+_ONCE = "SELECT DISTINCT * EXCLUDE (lid) FROM v_requests"
 _REJECTED = "(provider_id = '' OR declared <> 4 OR provider_id NOT IN (SELECT provider_id FROM v_providers))"
 
 QUERIES = {
@@ -67,14 +69,15 @@ QUERIES = {
         q_stream_ingest,
         oracle(
             """SELECT bucket_id, provider_id, request_id, first_ns, sample_count, round(value_sum, 4) AS value_sum
-            FROM v_clock_buckets WHERE sample_count = 4 AND provider_id IN (SELECT provider_id FROM v_providers)"""
+            FROM v_clock_buckets WHERE sample_count = 4 AND provider_id IN (SELECT provider_id FROM v_providers)
+            AND lid IN (SELECT min(lid) FROM v_requests GROUP BY request_id, provider_id, stream_id, suffix, declared, start_ns, period_ns, price, quantity)"""
         ),
     ),
     "stream_status": (
         q_stream_status,
         oracle(
             f"""SELECT request_id, CASE WHEN bad THEN 'REJECTED' ELSE 'SUCCESS' END AS status,
-            CASE WHEN bad THEN 0 ELSE n_columns END AS n_buckets FROM (SELECT *, {_REJECTED} AS bad FROM v_requests)"""
+            CASE WHEN bad THEN 0 ELSE n_columns END AS n_buckets FROM (SELECT *, {_REJECTED} AS bad FROM ({_ONCE}))"""
         ),
     ),
     "stream_subscribe": (
@@ -88,7 +91,7 @@ QUERIES = {
         q_stream_resume,
         oracle(
             f"""SELECT CASE WHEN {_REJECTED} THEN 'REJECTED' ELSE 'SUCCESS' END AS status, again, count(*) AS n
-            FROM v_requests CROSS JOIN (VALUES (false), (true)) AS t(again) GROUP BY 1, 2"""
+            FROM ({_ONCE}) CROSS JOIN (VALUES (false), (true)) AS t(again) GROUP BY 1, 2"""
         ),
     ),
 }

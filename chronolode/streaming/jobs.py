@@ -4,10 +4,10 @@ Progress lives in the checkpoint: starting again with the same checkpoint
 continues after the last finished batch.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, MapType, StructField, StructType
 
 from chronolode import schema
 from chronolode.operators.axis import expand_timestamps
@@ -33,6 +33,32 @@ def _query_id(spark: SparkSession, checkpoint: str) -> str:
     return spark.read.json(f"{checkpoint}/metadata").first()["id"]
 
 
+def _delivery(request: DataFrame) -> Column:
+    """A number that tells requests of one id with different contents apart, whenever received; maps are hashed by their entries."""
+    fields = [f for f in request.schema if f.name != "received_ns"]
+    plain = [F.array_sort(F.map_entries(f.name)) if isinstance(f.dataType, MapType) else F.col(f.name) for f in fields]
+    return F.xxhash64(*plain)
+
+
+#: A request that arrives with the same provider, id and contents is the same one.
+SAME = ["provider_id", "request_id", "delivery"]
+KNOWN = "provider_id IS NOT NULL AND request_id <> ''"
+
+
+def _single(batch: DataFrame) -> DataFrame:
+    """``batch`` with ``delivery``, each request once; keys alone are counted, and only repeated requests travel."""
+    marked = batch.withColumn("delivery", _delivery(batch))
+    repeated = marked.where(KNOWN).groupBy(*SAME).agg(F.count("*").alias("n")).where("n > 1").select(*SAME)
+    repeated = cut_lineage(repeated)
+    n = repeated.count()
+    if not n:
+        return marked
+    repeated = small_side(repeated, n)
+    others = marked.join(repeated, SAME, "left_anti").select(*marked.columns)
+    turn = F.row_number().over(Window.partitionBy(*SAME).orderBy("received_ns"))
+    return others.unionByName(marked.join(repeated, SAME, "left_semi").withColumn("__turn", turn).where("__turn = 1").select(*marked.columns))
+
+
 def _replace_batch(df: DataFrame, folder: str) -> None:
     """Write under the folder of one batch of one query; a repeated batch replaces itself."""
     df.write.mode("overwrite").parquet(folder)
@@ -57,11 +83,11 @@ def stream_ingest(
         if not known:
             known.append(_query_id(batch.sparkSession, checkpoint))
         own = f"source={known[0]}/batch={batch_id}"
-        checked = validate_requests(batch, providers).persist()
+        checked = validate_requests(_single(batch), providers).persist()
         try:
-            buckets = request_buckets(accepted(checked)).sortWithinPartitions("day", "pv", "first_ns")
+            buckets = request_buckets(accepted(checked), "delivery").sortWithinPartitions("day", "pv", "first_ns")
             _replace_batch(buckets, f"{out}/buckets/{own}")
-            _replace_batch(request_status(checked), f"{out}/status/{own}")
+            _replace_batch(request_status(checked, "delivery"), f"{out}/status/{own}")
         finally:
             checked.unpersist()
 
@@ -74,23 +100,27 @@ def _once(rows: DataFrame) -> DataFrame:
 
     Only keys are read to find them. They are few, and rows travel only if they are not.
     """
-    key, where = ["provider_id", "request_id"], ["source", "batch"]
-    places = rows.where("provider_id IS NOT NULL AND request_id <> ''").select(*key, *where).distinct()
-    again = places.groupBy(*key).agg(F.count("*").alias("n"), F.min(F.struct(*where)).alias("first")).where("n > 1")
-    others = cut_lineage(places.join(again, key).where(F.struct(*where) != F.col("first")).select(*key, *where))
+    where = ["source", "batch"]
+    rows = rows.withColumn("delivery", F.coalesce("delivery", F.lit(0).cast("bigint")))
+    places = rows.where(KNOWN).select(*SAME, *where).distinct()
+    again = places.groupBy(*SAME).agg(F.count("*").alias("n"), F.min(F.struct(*where)).alias("first")).where("n > 1")
+    others = cut_lineage(places.join(again, SAME).where(F.struct(*where) != F.col("first")).select(*SAME, *where))
     n = others.count()
-    left = rows.join(small_side(others, n), [*key, *where], "left_anti").select(*rows.columns) if n else rows
-    return left.drop(*where)
+    left = rows.join(small_side(others, n), [*SAME, *where], "left_anti").select(*rows.columns) if n else rows
+    return left.drop("delivery", *where)
 
 
 def ingested(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
     """Buckets and status rows that streams have stored so far.
 
     A stream that lost its checkpoint reads its input again into folders of its own, and a request may reach a stream
-    twice; what is stored several times is taken from one batch.
+    twice, in one batch or several; it is taken once. Requests with one id and different contents are all kept.
     """
-    buckets = _once(spark.read.schema(schema.BUCKETS).parquet(f"{out}/buckets"))
-    return buckets.select(*schema.BUCKETS.names), _once(spark.read.parquet(f"{out}/status"))
+
+    def stored(name: str, shape: StructType) -> DataFrame:
+        return _once(spark.read.schema(StructType([*shape, StructField("delivery", LongType())])).parquet(f"{out}/{name}"))
+
+    return stored("buckets", schema.BUCKETS).select(*schema.BUCKETS.names), stored("status", schema.REQUEST_STATUS)
 
 
 def merge_stream(spark: SparkSession, out: str, store: str) -> None:

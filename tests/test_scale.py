@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from chronolode.operators import datasets, ranks, typed
 from chronolode.queries import all_oracles, all_queries
 from chronolode.queries import views as v
+from chronolode.streaming import jobs as streaming
 
 SF = "/root/testdata/sf0.001"
 
@@ -67,3 +68,41 @@ def test_numbers_beyond_64_bits(spark, tmp_path):
     samples = df.selectExpr("pv", "ts_ns", "CAST(CAST(t AS DECIMAL(20,0)) AS VARIANT) AS value")
     found = typed.typed_samples(typed.typed_buckets(samples), "pv").select("pv", "data_type", F.to_json("value").alias("v")).collect()
     assert {r.pv: (r.data_type, float(r.v)) for r in found} == {"p0": ("ULONG", 2.0**64), "p1": ("DOUBLE", 2.0**64), "p2": ("DOUBLE", -(2.0**64))}
+
+
+def test_requests_of_one_id_in_one_batch_or_two(spark, tmp_path):
+    """Equal requests count once wherever they arrive; other contents under the same id are other requests."""
+    requests = v.v_requests(spark, SF).where("provider_id LIKE 'prov-%'").limit(30).localCheckpoint()
+    other = requests.withColumn("columns", F.transform("columns", lambda c: c.withField("name", F.concat(c["name"], F.lit("_B")))))
+    late = requests.withColumn("received_ns", F.col("received_ns") + 5)
+    want = None
+    for files, name in ((1, "one"), (3, "three")):
+        source, out = str(tmp_path / f"in-{name}"), str(tmp_path / f"out-{name}")
+        for part in (requests, other, late):
+            part.coalesce(1).write.mode("append").parquet(source)
+        for attempt in range(2):  # the second run has lost its progress
+            stream = streaming.request_stream(spark, source, 4 - files)
+            streaming.stream_ingest(stream, v.v_providers(spark, SF), out, str(tmp_path / f"c-{name}-{attempt}"), True).awaitTermination()
+        found, status = streaming.ingested(spark, out)
+        assert status.count() == 60 and found.count() == 2 * status.where("status = 'SUCCESS'").count()
+        rows = sorted((r.request_id, r.status, *sorted(r.bucket_ids)) for r in status.collect())
+        assert want is None or rows == want
+        want = rows
+
+
+@pytest.mark.parametrize("name", ["stream_ingest", "stream_status", "stream_resume"])
+def test_streams_match_sql_over_several_batches(spark, tmp_path, name):
+    """One line item is there twice, two share an id, and every batch is one file."""
+    for table in os.listdir(SF):
+        if table != "lineitem.parquet":
+            os.symlink(f"{SF}/{table}", tmp_path / table)
+    rows = spark.read.parquet(f"{SF}/lineitem.parquet").where("l_orderkey % 29 = 0 OR l_suppkey < 5").limit(60).localCheckpoint()
+    other = rows.withColumn("l_extendedprice", F.col("l_extendedprice") + 1)
+    for k, part in enumerate((rows, other, rows, rows.limit(9), rows.limit(9))):
+        part.coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet" / f"part={k}"))
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    for table in TABLES:
+        path = "/*/*.parquet' , hive_partitioning = false)" if table == "lineitem" else "')"
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{tmp_path}/{table}.parquet{path}")
+    assert compare(spark, con, name, all_queries()[name], all_oracles()[name], str(tmp_path)) == ""

@@ -7,7 +7,7 @@ import pytest
 from compare import TABLES, compare
 from pyspark.sql import functions as F
 
-from chronolode.operators import datasets, ranks, typed
+from chronolode.operators import datasets, ingest, ranks, typed
 from chronolode.queries import all_oracles, all_queries
 from chronolode.queries import views as v
 from chronolode.streaming import jobs as streaming
@@ -106,3 +106,16 @@ def test_streams_match_sql_over_several_batches(spark, tmp_path, name):
         path = "/*/*.parquet' , hive_partitioning = false)" if table == "lineitem" else "')"
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{tmp_path}/{table}.parquet{path}")
     assert compare(spark, con, name, all_queries()[name], all_oracles()[name], str(tmp_path)) == ""
+
+
+def test_one_provider_of_most_requests(spark, monkeypatch):
+    """Requests stay where they are while providers are few; beyond, those of one provider go to several places."""
+    requests, providers = v.v_requests(spark, SF), v.v_providers(spark, SF)
+    plan = ingest.validate_provider(requests, providers)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+    few = {(r.request_id, r.provider_id, r.known) for r in ingest.validate_provider(requests, providers).select("request_id", "provider_id", "known").collect()}
+    monkeypatch.setattr(ranks, "BROADCAST_ROWS", -1)
+    many = ingest.validate_provider(requests, providers)
+    assert "hashpartitioning(provider_id" in (plan := many._jdf.queryExecution().executedPlan().toString()) and "__place" in plan.split("hashpartitioning(provider_id")[1][:40]
+    assert many.count() == requests.count()
+    assert {(r.request_id, r.provider_id, r.known) for r in many.select("request_id", "provider_id", "known").collect()} == few

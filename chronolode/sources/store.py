@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from chronolode import schema
 from chronolode.functions.timestamps import day_of
+from chronolode.operators.axis import timestamp_bounds, timestamp_count
 from chronolode.operators.buckets import request_buckets
 from chronolode.operators.typed import typed_request_buckets
 
@@ -50,9 +51,32 @@ def save_buckets(
     elif folder != "day":
         raise ValueError(f"unknown folder {folder!r}")
     rows = laid_out(with_span(buckets), folder, layout, partitions)
+    _write(rows, path, mode, folder)
+
+
+def _write(rows: DataFrame, path: str, mode: str, folder: str) -> None:
     rows.write.mode(mode).partitionBy(folder, "span_days").parquet(path)
 
 
+def save_requests(requests: DataFrame, path: str, mode: str = "append", folder: str = "day") -> None:
+    """Write one bucket per DOUBLE column of every consistent request, in one pass.
+
+    Requests travel to their folder before they are cut into columns, so what columns share travels once.
+    """
+    first, _ = timestamp_bounds(F.col("ts"))
+    day = day_of(first)
+    place = F.trunc(day, "month") if folder == "month" else day
+    fits = first.isNotNull() & F.exists("columns", lambda c: F.size(c["vals"]) == timestamp_count(F.col("ts")))
+    needed = ["provider_id", "request_id", "ts", "tags", "attributes", "event", "received_ns", "columns"]
+    spread = requests.where(fits).select(*needed, place.alias("__folder")).hint("rebalance", "__folder")
+    buckets = with_span(consistent(request_buckets(spread)))
+    if folder == "month":
+        buckets = buckets.withColumn("month", F.trunc("day", "month"))
+    elif folder != "day":
+        raise ValueError(f"unknown folder {folder!r}")
+    _write(buckets.sortWithinPartitions(folder, "pv", "first_ns"), path, mode, folder)
+
+
 def with_span(buckets: DataFrame) -> DataFrame:
     """Add ``span_days``: the days from a bucket's day to that of its last instant, up to the next power of two."""
     days = F.datediff(day_of(F.col("last_ns")), F.col("day"))
@@ -130,6 +154,8 @@ def write_buckets(requests: DataFrame, path: str, mode: str = "insert", folder:
     buckets = typed_request_buckets(requests) if typed else request_buckets(requests)
     if mode == "insert":
         insert_buckets(buckets, path, folder)
+    elif not typed:
+        save_requests(requests, path, mode, folder)
     else:
         save_buckets(consistent(buckets), path, mode, folder)
     return read_buckets(requests.sparkSession, path)

@@ -7,9 +7,10 @@ import pytest
 from compare import TABLES, compare
 from pyspark.sql import functions as F
 
-from chronolode.operators import datasets, ingest, ranks, typed
+from chronolode.operators import buckets, datasets, ingest, ranks, typed
 from chronolode.queries import all_oracles, all_queries
 from chronolode.queries import views as v
+from chronolode.sources import store
 from chronolode.streaming import jobs as streaming
 
 SF = "/root/testdata/sf0.001"
@@ -119,3 +120,18 @@ def test_one_provider_of_most_requests(spark, monkeypatch):
     assert "hashpartitioning(provider_id" in (plan := many._jdf.queryExecution().executedPlan().toString()) and "__place" in plan.split("hashpartitioning(provider_id")[1][:40]
     assert many.count() == requests.count()
     assert {(r.request_id, r.provider_id, r.known) for r in many.select("request_id", "provider_id", "known").collect()} == few
+
+
+@pytest.mark.parametrize("folder", ["day", "month"])
+def test_requests_are_shuffled_before_their_columns_are_cut(spark, tmp_path, folder, monkeypatch):
+    """What the columns of a request share travels once; the store is the same."""
+    requests, plans = v.v_requests(spark, SF).where("pmod(xxhash64(request_id), 80) = 0"), []
+    real = store._write
+    monkeypatch.setattr(store, "_write", lambda rows, *rest: (plans.append(rows._jdf.queryExecution().optimizedPlan().toString()), real(rows, *rest)))
+    new = store.write_buckets(requests, str(tmp_path / "a"), "overwrite", folder)
+    store.save_buckets(store.consistent(buckets.request_buckets(requests)), str(tmp_path / "b"), "overwrite", folder)
+    old = store.read_buckets(spark, str(tmp_path / "b"))
+    assert plans[0].index("Generate explode") < plans[0].index("RebalancePartitions")  # what a plan does last stands first
+    keys = ["day", "bucket_id", "provider_id", "request_id", "first_ns", "last_ns", "sample_count", "vals", "tags", "event"]
+    assert new.count() == old.count() > 0 and new.select(*keys).exceptAll(old.select(*keys)).count() == 0
+    assert new.select(folder, "span_days").distinct().exceptAll(old.select(folder, "span_days").distinct()).count() == 0

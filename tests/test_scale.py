@@ -60,6 +60,12 @@ def test_samples_of_one_instant_match_sql(spark, tmp_path, name):
     assert differences(spark, name, events(spark, tmp_path, TIED)) == ""
 
 
+def test_equal_samples_of_a_dataset_match_sql(spark, tmp_path):
+    """Samples equal in all columns, the event's id too, are all in a dataset, and each once though blocks overlap."""
+    rows = [(e, 3_600 * e, u, "view", 1.0) for e in range(0, 200, 7) for u in (1, 5) for _ in range(1 + e % 3)]
+    assert differences(spark, "dataset_resolve", events(spark, tmp_path, rows)) == ""
+
+
 def test_numbers_beyond_64_bits(spark, tmp_path):
     """Stated as ULONG they are missing, and by themselves they are no ULONG; they used to wrap around."""
     rows = [(e, e % 1000, 0, "error", 1.0) for e in (0, 2, 551_614, 551_616, 551_618)]

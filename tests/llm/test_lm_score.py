@@ -67,6 +67,19 @@ def test_by_brute_force(spark, size, slots, monkeypatch):
         assert a[:3] == b[:3] and np.allclose(a[3:5], b[3:5], rtol=1e-4) and np.isclose(a[5], a[3] - a[4])
 
 
+def test_no_pair_shares_a_count_with_another(spark, monkeypatch):
+    """Without slots the counts are those of the pairs themselves, from several chunks and parts."""
+    monkeypatch.setattr(lm, "CHUNK_TOKENS", 700)
+    monkeypatch.setattr(lm, "PART_TOKENS", 500, raising=False)
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"w{rng.randrange(300)}" for _ in range(100))) for i in range(60)]
+    targets = set(range(0, 60, 4))
+    marks = spark.createDataFrame([(i,) for i in targets], "doc_id long")
+    found = sorted(tuple(r) for r in lm.cross_entropy_difference(documents(spark, rows), marks, 300).collect())
+    for a, b in zip(found, brute(rows, targets, 300, 1 << 40), strict=True):
+        assert a[:3] == b[:3] and np.allclose(a[3:5], b[3:5], rtol=1e-6)
+
+
 def test_prefers_the_target(spark):
     rng = random.Random(1)
     texts = [("good", "north south east west up down"), ("bad", "red green blue north grey pink")]

@@ -3,7 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from chronolode.functions.timestamps import file_timestamp
+from chronolode.functions.timestamps import civil_seconds
 
 FILE_NAME = r"^([A-Z]+)_([A-Z]+)_(\d{8})_(\d{6})(?:_([A-Za-z0-9]+))?$"
 SIGNAL_NAME = r"^([A-Z]+)_([A-Z0-9]+)_(\d+)_([A-Z0-9_]+)$"
@@ -41,22 +41,36 @@ def split_plain(text: Column, sep: str) -> Column:
     return F.when(last_empty, F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
 
 
+def file_parts(path: Column) -> Column:
+    """Parts of the file name ORIGIN_PATHWAY_DATE_TIME[_project], none of which holds an underscore; NULL for other names."""
+    stem = file_stem(path)
+    return F.when(stem.rlike(FILE_NAME), F.split(stem, "_"))
+
+
 def parse_file_strict(path: Column, tz: str = "UTC") -> Column:
     """``struct<origin, pathway, date, time, project, file_ts, valid>`` of ORIGIN_PATHWAY_DATE_TIME[_project]."""
-    stem = file_stem(path)
-    ok = stem.rlike(FILE_NAME)
+    return file_of_parts(file_parts(path), tz)
 
-    def group(i):
-        return F.when(ok, F.regexp_extract(stem, FILE_NAME, i)).otherwise(F.lit("unknown"))
 
-    project = group(5)
-    ts = F.when(ok, file_timestamp(group(3), group(4), tz)).otherwise(F.lit(0).cast("bigint"))
+def file_of_parts(parts: Column, tz: str = "UTC") -> Column:
+    """The struct of ``parse_file_strict`` from the parts of a file name."""
+    date, time = F.get(parts, 2), F.get(parts, 3).substr(1, 6)  # a line break may follow the match
+
+    def known(part):
+        return F.coalesce(part, F.lit("unknown"))
+
+    def number(text, at, n=2):
+        return text.substr(at, n).try_cast("int")
+
+    project = F.coalesce(F.regexp_extract(F.get(parts, 4), "^[A-Za-z0-9]*", 0), F.lit("default"))
+    clock = (number(time, i) for i in (1, 3, 5))
+    ts = F.coalesce(civil_seconds(number(date, 1, 4), number(date, 5), number(date, 7), *clock, tz), F.lit(0).cast("bigint"))
     return F.struct(
-        group(1).alias("origin"),
-        group(2).alias("pathway"),
-        group(3).alias("date"),
-        group(4).alias("time"),
-        F.when(project == "", F.lit("default")).otherwise(project).alias("project"),
+        known(F.get(parts, 0)).alias("origin"),
+        known(F.get(parts, 1)).alias("pathway"),
+        known(date).alias("date"),
+        known(time).alias("time"),
+        F.when(parts.isNull(), "unknown").otherwise(project).alias("project"),
         ts.alias("file_ts"),
         (ts > 0).alias("valid"),
     )

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronolode.functions.names import parse_file_strict, parse_pv_strict
+from chronolode.functions.names import file_of_parts, file_parts, parse_file_strict, parse_pv_strict
 from chronolode.operators.ranks import with_global_rank
 
 # Limits usual for imports; none applies unless it is passed.
@@ -114,8 +114,11 @@ def signals_by(
 
 
 def file_metadata_distinct(raw: DataFrame) -> DataFrame:
-    """One row per file with its parsed name and the number of its signals."""
+    """One row per file with its parsed name and the number of its signals.
+
+    ``explode`` makes the parts of the name a real column: expressions over groups are otherwise made part of the
+    aggregation, which repeats their making for every field.
+    """
     files = raw.groupBy("path").agg(F.count_if(~F.col("signal_name").isin(*TIME_DATASETS)).alias("signals"))
-    return files.select("path", parse_file_strict(F.col("path")).alias("file"), "signals").select(
-        "path", "file.*", "signals"
-    )
+    cut = files.select("path", "signals", F.explode(F.array(file_parts(F.col("path")))).alias("parts"))
+    return cut.select("path", file_of_parts(F.col("parts")).alias("file"), "signals").select("path", "file.*", "signals")

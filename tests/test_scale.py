@@ -7,7 +7,8 @@ import pytest
 from compare import TABLES, compare
 from pyspark.sql import functions as F
 
-from chronolode.operators import buckets, datasets, ingest, ranks, typed
+from chronolode.functions.names import FILE_NAME
+from chronolode.operators import buckets, datasets, files, ingest, ranks, typed
 from chronolode.queries import all_oracles, all_queries
 from chronolode.queries import views as v
 from chronolode.sources import store
@@ -141,3 +142,18 @@ def test_requests_are_shuffled_before_their_columns_are_cut(spark, tmp_path, fol
     keys = ["day", "bucket_id", "provider_id", "request_id", "first_ns", "last_ns", "sample_count", "vals", "tags", "event"]
     assert new.count() == old.count() > 0 and new.select(*keys).exceptAll(old.select(*keys)).count() == 0
     assert new.select(folder, "span_days").distinct().exceptAll(old.select(folder, "span_days").distinct()).count() == 0
+
+
+def test_file_names_are_matched_once(spark):
+    """The parse of a file's name may not become part of the aggregation, which would repeat it for every field."""
+    rows = [(p, "X") for p in ("/d/CU_HXR_20240230_195500_P1.h5\n", "CU_HXR_20240229_195500\n", "/d/CU_HXR_20240229_196000.h5", "raw dump") for _ in range(2)]
+    found = files.file_metadata_distinct(spark.createDataFrame(rows, "path string, signal_name string"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(FILE_NAME) == 1
+    got = {r.path: (r.origin, r.time, r.project, r.valid, r.signals) for r in found.collect()}
+    assert got == {
+        "/d/CU_HXR_20240230_195500_P1.h5\n": ("CU", "195500", "P1", False, 2),
+        "CU_HXR_20240229_195500\n": ("CU", "195500", "default", True, 2),
+        "/d/CU_HXR_20240229_196000.h5": ("CU", "196000", "default", False, 2),
+        "raw dump": ("unknown", "unknown", "unknown", False, 2),
+    }

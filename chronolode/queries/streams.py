@@ -14,7 +14,7 @@ SUBSCRIBED = [f"PV_{part}_{line}" for part in range(200) for line in range(1, 8)
 def _request_files(spark, sf):
     """The requests as files a stream can pick up."""
     path = scratch(spark, "requests")
-    v.v_requests(spark, sf).write.mode("overwrite").parquet(path)
+    v.v_requests(spark, sf).write.mode("overwrite").option("compression", "zstd").parquet(path)
     return path
 
 
@@ -27,15 +27,14 @@ def _ingest(spark, sf):
 
 def q_stream_ingest(spark, sf):
     _, out, _ = _ingest(spark, sf)
-    buckets, _ = jobs.ingested(spark, out)
+    buckets = jobs.ingested_buckets(spark, out)
     return buckets.select("bucket_id", "provider_id", "request_id", "first_ns", "sample_count",
                           F.round(F.aggregate("vals", F.lit(0.0), lambda a, x: a + x), 4).alias("value_sum"))
 
 
 def q_stream_status(spark, sf):
     _, out, _ = _ingest(spark, sf)
-    _, status = jobs.ingested(spark, out)
-    return status.select("request_id", "status", F.size("bucket_ids").alias("n_buckets"))
+    return jobs.ingested_status(spark, out).select("request_id", "status", F.size("bucket_ids").alias("n_buckets"))
 
 
 def q_stream_subscribe(spark, sf):
@@ -53,10 +52,10 @@ def q_stream_resume(spark, sf):
     """A finished import started again on its checkpoint with more files: only these are read."""
     source, out, checkpoint = _ingest(spark, sf)
     again = v.v_requests(spark, sf).withColumn("request_id", F.concat(F.lit("again-"), "request_id"))
-    again.write.mode("append").parquet(source)
+    again.write.mode("append").option("compression", "zstd").parquet(source)
     stream = jobs.request_stream(spark, source, files_per_batch=4)
     jobs.stream_ingest(stream, v.v_providers(spark, sf), out, checkpoint, available_now=True).awaitTermination()
-    _, status = jobs.ingested(spark, out)
+    status = jobs.ingested_status(spark, out)
     return status.groupBy("status", F.col("request_id").startswith("again-").alias("again")).agg(F.count("*").alias("n"))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql.types import LongType, MapType, StructField, StructType
 from chronolode import schema
 from chronolode.operators.axis import expand_timestamps
 from chronolode.operators.buckets import request_buckets
-from chronolode.operators.ingest import accepted, request_status, validate_requests
+from chronolode.operators.ingest import accepted, request_status, status_id, validate_requests
 from chronolode.operators.ranks import small_side
 from chronolode.session import cut_lineage
 from chronolode.sources.store import insert_buckets
@@ -42,26 +42,31 @@ def _delivery(request: DataFrame) -> Column:
 
 #: A request that arrives with the same provider, id and contents is the same one.
 SAME = ["provider_id", "request_id", "delivery"]
-KNOWN = "provider_id IS NOT NULL AND request_id <> ''"
+KNOWN = "provider_id IS NOT NULL AND coalesce(request_id, '') <> ''"
 
 
 def _single(batch: DataFrame) -> DataFrame:
-    """``batch`` with ``delivery``, each request once; keys alone are counted, and only repeated requests travel."""
+    """``batch`` with ``delivery``, each request once.
+
+    ``delivery`` covers provider and id, so it alone is counted; what it finds is compared by all of ``SAME``, and only
+    that travels.
+    """
     marked = batch.withColumn("delivery", _delivery(batch))
-    repeated = marked.where(KNOWN).groupBy(*SAME).agg(F.count("*").alias("n")).where("n > 1").select(*SAME)
+    repeated = marked.where(KNOWN).groupBy("delivery").agg(F.count("*").alias("n")).where("n > 1").select("delivery")
     repeated = cut_lineage(repeated)
     n = repeated.count()
     if not n:
         return marked
     repeated = small_side(repeated, n)
-    others = marked.join(repeated, SAME, "left_anti").select(*marked.columns)
+    others = marked.join(repeated, "delivery", "left_anti").select(*marked.columns)
     turn = F.row_number().over(Window.partitionBy(*SAME).orderBy("received_ns"))
-    return others.unionByName(marked.join(repeated, SAME, "left_semi").withColumn("__turn", turn).where("__turn = 1").select(*marked.columns))
+    found = marked.join(repeated, "delivery", "left_semi").withColumn("__turn", turn).where(f"__turn = 1 OR NOT ({KNOWN})")
+    return others.unionByName(found.select(*marked.columns))
 
 
 def _replace_batch(df: DataFrame, folder: str) -> None:
     """Write under the folder of one batch of one query; a repeated batch replaces itself."""
-    df.write.mode("overwrite").parquet(folder)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(folder)
 
 
 def stream_ingest(
@@ -75,7 +80,8 @@ def stream_ingest(
     the status rows that report them, from one validation of the batch.
 
     A task writes one file, sorted by day and signal, so a batch makes no more files than it has tasks, whatever number
-    of days it touches; ``merge_stream`` brings the buckets into day folders.
+    of days it touches; ``merge_stream`` brings the buckets into day folders. Status rows are stored without their id,
+    which :func:`ingested_status` makes from provider and request.
     """
     known: list[str] = []
 
@@ -87,7 +93,7 @@ def stream_ingest(
         try:
             buckets = request_buckets(accepted(checked), "delivery").sortWithinPartitions("day", "pv", "first_ns")
             _replace_batch(buckets, f"{out}/buckets/{own}")
-            _replace_batch(request_status(checked, "delivery"), f"{out}/status/{own}")
+            _replace_batch(request_status(checked, "delivery").drop("status_id"), f"{out}/status/{own}")
         finally:
             checked.unpersist()
 
@@ -98,29 +104,45 @@ def stream_ingest(
 def _once(rows: DataFrame) -> DataFrame:
     """Of requests that several batches or streams have stored, the rows of the first one.
 
-    Only keys are read to find them. They are few, and rows travel only if they are not.
+    Two numbers a row are shuffled to find them, one for the request and one for its place; only requests with several
+    places are then compared by all of ``SAME``. They are few, and rows travel only if they are not.
     """
     where = ["source", "batch"]
     rows = rows.withColumn("delivery", F.coalesce("delivery", F.lit(0).cast("bigint")))
-    places = rows.where(KNOWN).select(*SAME, *where).distinct()
-    again = places.groupBy(*SAME).agg(F.count("*").alias("n"), F.min(F.struct(*where)).alias("first")).where("n > 1")
-    others = cut_lineage(places.join(again, SAME).where(F.struct(*where) != F.col("first")).select(*SAME, *where))
-    n = others.count()
-    left = rows.join(small_side(others, n), [*SAME, *where], "left_anti").select(*rows.columns) if n else rows
-    return left.drop("delivery", *where)
+    keyed = rows.where(KNOWN).select(*SAME, *where, F.xxhash64(*SAME).alias("__key"), F.xxhash64(*where).alias("__place"))
+    again = keyed.groupBy("__key").agg(F.min("__place").alias("low"), F.max("__place").alias("high")).where("low <> high")
+    again = cut_lineage(again.select("__key"))
+    n = again.count()
+    if n:
+        firsts = keyed.join(small_side(again, n), "__key", "left_semi").groupBy(*SAME).agg(F.min(F.struct(*where)).alias("__first"))
+        firsts = cut_lineage(firsts)
+        found = rows.join(small_side(firsts, firsts.count()), SAME, "left")
+        rows = found.where(F.col("__first").isNull() | (F.struct(*where) == F.col("__first"))).select(*rows.columns)
+    return rows.drop("delivery", *where)
 
 
-def ingested(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
-    """Buckets and status rows that streams have stored so far.
+def _stored(spark: SparkSession, folder: str, shape: StructType) -> DataFrame:
+    return _once(spark.read.schema(StructType([*shape, StructField("delivery", LongType())])).parquet(folder))
+
+
+def ingested_buckets(spark: SparkSession, out: str) -> DataFrame:
+    """Buckets that streams have stored so far.
 
     A stream that lost its checkpoint reads its input again into folders of its own, and a request may reach a stream
     twice, in one batch or several; it is taken once. Requests with one id and different contents are all kept.
     """
+    return _stored(spark, f"{out}/buckets", schema.BUCKETS).select(*schema.BUCKETS.names)
+
 
-    def stored(name: str, shape: StructType) -> DataFrame:
-        return _once(spark.read.schema(StructType([*shape, StructField("delivery", LongType())])).parquet(f"{out}/{name}"))
+def ingested_status(spark: SparkSession, out: str) -> DataFrame:
+    """Status rows that streams have stored so far, each request once as in :func:`ingested_buckets`."""
+    stored = StructType([f for f in schema.REQUEST_STATUS if f.name != "status_id"])
+    return _stored(spark, f"{out}/status", stored).select(status_id(), *stored.names)
 
-    return stored("buckets", schema.BUCKETS).select(*schema.BUCKETS.names), stored("status", schema.REQUEST_STATUS)
+
+def ingested(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
+    """Buckets and status rows that streams have stored so far."""
+    return ingested_buckets(spark, out), ingested_status(spark, out)
 
 
 def merge_stream(spark: SparkSession, out: str, store: str) -> None:

@@ -157,3 +157,30 @@ def test_file_names_are_matched_once(spark):
         "/d/CU_HXR_20240229_196000.h5": ("CU", "196000", "default", False, 2),
         "raw dump": ("unknown", "unknown", "unknown", False, 2),
     }
+
+
+def test_streams_keep_little_beside_their_rows(spark, tmp_path, monkeypatch):
+    """Repeated requests are looked for by numbers, not by the texts of their keys, and stored files are dense."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    requests = v.v_requests(spark, SF).where("provider_id LIKE 'prov-%'").limit(30)
+    nobody = requests.limit(3).withColumn("provider_id", F.lit(None).cast("string"))  # equal ones without provider all stay
+    for mode in ("overwrite", "append"):
+        requests.unionByName(nobody).unionByName(nobody).coalesce(1).write.mode(mode).parquet(source)
+    plans, real = [], streaming.cut_lineage
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df)
+
+    monkeypatch.setattr(streaming, "cut_lineage", seen)
+    stream = streaming.request_stream(spark, source, 1)
+    streaming.stream_ingest(stream, v.v_providers(spark, SF), out, str(tmp_path / "c"), True).awaitTermination()
+    in_batches = len(plans)
+    status = streaming.ingested_status(spark, out)
+    assert [p.split("hashpartitioning(")[1].split("#")[0] for p in plans[:in_batches]] == ["delivery"] * 2
+    keys, firsts = plans[in_batches:]  # those of the status rows alone
+    assert "hashpartitioning(__key#" in keys and "hashpartitioning(provider_id#" in firsts
+    assert status.count() == 30 + 12 and status.columns[0] == "status_id"
+    assert status.where("provider_id IS NOT NULL").select("status_id").distinct().count() == 30
+    assert streaming.ingested_buckets(spark, out).count() == 2 * status.where("status = 'SUCCESS'").count()
+    assert all(f.name.endswith(".zstd.parquet") for f in (tmp_path / "out").rglob("*.parquet"))

@@ -20,6 +20,7 @@ import re
 import zlib
 from collections import Counter
 from dataclasses import dataclass
+from functools import lru_cache
 from operator import eq
 
 import numpy as np
@@ -90,29 +91,62 @@ _FORM = re.compile(
     """,
     re.VERBOSE,
 )
-_SETS = np.zeros((256, len(_CLASSES)))
-for _i, _chars in enumerate(_CLASSES.values()):
-    _SETS[list(_chars), _i] = 1
 
 
-def statistics(text: bytes) -> list[float]:
-    """The statistics of one whole text in UTF-8, in the order of ``NAMES``."""
-    if not text:
-        return [0.0] * len(NAMES)
-    counts = np.bincount(np.frombuffer(text, np.uint8), minlength=256).astype(float)
-    share = counts / len(text)
-    seen = share[share > 0]
-    wide = counts[0xC0:].sum()  # first bytes of code points beyond ASCII
-    n_chars = len(text) - counts[0x80:0xC0].sum()
+def _alike(char: str) -> str:
+    """A character that the forms treat like ``char``."""
+    if char.isspace():
+        return " "
+    if re.match("[A-ZÀ-ÖØ-Þ]", char):
+        return "A"
+    if re.match("[a-zß-öø-ÿ]", char):
+        return "a"
+    if char.isalnum():
+        return "0"
+    if char in "\"'":
+        return "'"
+    if char in ".,;:!?)":
+        return "."
+    return char if char in "_(" else "-"
+
+
+#: Forms remembered by a worker, of shapes up to a length.
+KNOWN_SHAPES = 1 << 14
+KNOWN_CHARS = 64
+_ALIKE = bytes(ord(_alike(chr(i))) for i in range(256))
+
+
+def shapes(text: str) -> list[str]:
+    """The words of a text, in Latin-1 with like characters made equal: same lengths and forms, but few kinds."""
+    try:
+        return text.encode("latin-1").translate(_ALIKE).decode("ascii").split()
+    except UnicodeEncodeError:
+        return text.split()
+
+
+def _form(word: str) -> int:
+    """Which of the forms a word has, 0 for none."""
+    fit = _FORM.match(word)
+    return fit.lastindex if fit else 0
+
+
+_known_form = lru_cache(KNOWN_SHAPES)(_form)
+
+
+def _counted(text: bytes) -> tuple[int, ...]:
+    """What is counted in one whole text, in the order of ``_COUNTED``."""
     words: Counter[str] = Counter()
+    shaped: Counter[str] = Counter()
     pairs: set[int] = set()
     lines: set[int] = set()
     stutter = n_lines = blank_lines = ended = packed = 0
     last = ""
     for part in byte_chunks(text):
         packed += len(zlib.compress(part, 1))
-        found = part.decode().split()
+        decoded = part.decode()
+        found = decoded.split()
         words.update(found)
+        shaped.update(shapes(decoded))
         before = [last, *found]
         stutter += sum(map(eq, before, found))
         pairs.update(map(hash, zip(before, found)))
@@ -125,40 +159,70 @@ def statistics(text: bytes) -> list[float]:
             ended += line[-1:] in b".!?\"'"
         else:
             blank_lines += 1
-    n = max(1, sum(words.values()))
-    sizes = np.array([len(w) for w in words] or [0])
-    times = np.array(list(words.values()) or [1])
-    mean = (sizes * times).sum() / n
-    n_lines = max(1, n_lines)
 
     forms = [0] * 5
-    for word, k in words.items():
-        fit = _FORM.match(word)
-        forms[fit.lastindex if fit else 0] += k
-    classes = counts @ _SETS
-    return [
-        np.log1p(len(text)),
-        *(classes / len(text)),
-        wide / n_chars,
-        float(-(seen * np.log2(seen)).sum()),
-        packed / len(text),
+    n = chars = squares = longest = short = 0
+    for word, k in shaped.items():
+        size = len(word)
+        n += k
+        chars += k * size
+        squares += k * size * size
+        longest = max(longest, size)
+        short += k if size <= 3 else 0
+        forms[_known_form(word) if size <= KNOWN_CHARS else _form(word)] += k
+    if not n:  # a text without words counts as one word without letters
+        n = short = top = 1
+    else:
+        top = max(words.values())
+    return len(text), packed, n, chars, squares, longest, short, *forms[1:], len(words), top, stutter, len(pairs), n_lines, len(lines), ended, blank_lines
+
+
+_COUNTED = (
+    "bytes packed words chars squares longest short shouted capital plain marked kinds top stutter pairs lines kinds_of_lines ended blank"
+).split()
+
+
+def statistics(text: bytes) -> list[float]:
+    """The statistics of one whole text in UTF-8, in the order of ``NAMES``."""
+    return statistics_of([text])[0].tolist()
+
+
+def statistics_of(texts: list[bytes]) -> np.ndarray:
+    """A row of statistics for each text; what is counted text by text is turned into shares for all at once."""
+    out = np.zeros((len(texts), len(NAMES)))
+    given = [i for i, text in enumerate(texts) if text]
+    if not given:
+        return out
+    counts = np.stack([np.bincount(np.frombuffer(texts[i], np.uint8), minlength=256) for i in given]).astype(float)
+    c = dict(zip(_COUNTED, np.array([_counted(texts[i]) for i in given], float).T))
+    size, n, n_lines = c["bytes"], c["words"], np.maximum(c["lines"], 1)
+    share = counts / size[:, None]
+    mean = c["chars"] / n
+    found = [
+        np.log1p(size),
+        *(counts[:, list(chars)].sum(1) / size for chars in _CLASSES.values()),
+        counts[:, 0xC0:].sum(1) / (size - counts[:, 0x80:0xC0].sum(1)),  # first bytes of code points beyond ASCII
+        -(share * np.log2(np.where(share > 0, share, 1))).sum(1),
+        c["packed"] / size,
         np.log1p(n),
         mean,
-        float(np.sqrt(max(0.0, (sizes.astype(float) ** 2 * times).sum() / n - mean**2))),
-        float(np.log1p(sizes.max())),
-        float(times[sizes <= 3].sum() / n),
-        *(k / n for k in forms[1:]),
-        len(words) / n,
-        float(times.max() / n),
-        stutter / n,
-        len(pairs) / n,
-        n / (1 + counts[list(b".!?")].sum()),
+        np.sqrt(np.maximum(0, c["squares"] / n - mean**2)),
+        np.log1p(c["longest"]),
+        c["short"] / n,
+        *(c[form] / n for form in ("shouted", "capital", "plain", "marked")),
+        c["kinds"] / n,
+        c["top"] / n,
+        c["stutter"] / n,
+        c["pairs"] / n,
+        n / (1 + counts[:, list(b".!?")].sum(1)),
         np.log1p(n_lines),
         n / n_lines,
-        len(lines) / n_lines,
-        ended / n_lines,
-        blank_lines / (n_lines + blank_lines),
+        c["kinds_of_lines"] / n_lines,
+        c["ended"] / n_lines,
+        c["blank"] / (n_lines + c["blank"]),
     ]
+    out[given] = np.stack(found, 1)
+    return out
 
 
 @dataclass(frozen=True)
@@ -252,7 +316,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) ->
 
     def run(batches: Batches) -> Batches:
         for batch, texts in _texts(batches):
-            found = pa.array([statistics(t) for t in texts], pa.list_(pa.float64()))
+            found = pa.array(list(statistics_of(texts)), pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], found], names=["doc_id", "quality", "copy", "row"])
 
     read = rows.mapInArrow(tidy(run), "doc_id long, quality int, copy long, row array<double>")
@@ -275,7 +339,6 @@ def score_documents(docs: DataFrame, trees: Trees) -> DataFrame:
 
     def run(batches: Batches) -> Batches:
         for batch, texts in _texts(batches):
-            rows = np.array([statistics(t) for t in texts]).reshape(len(texts), len(NAMES))
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(trees.scores(rows))], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(trees.scores(statistics_of(texts)))], names=schema.names)
 
     return read.mapInArrow(tidy(run), schema).toDF(*docs.columns, fresh(docs, "quality"))

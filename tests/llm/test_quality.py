@@ -100,3 +100,20 @@ def test_nothing(spark):
     none = quality.learn(docs, spark.createDataFrame([], "doc_id long, quality int"))
     assert [r.quality for r in quality.score_documents(docs, none).collect()] == [0.5, 0.5]
     assert quality.score_documents(docs.where("doc_id > 9"), none).count() == 0
+
+
+def test_shapes_have_the_lengths_and_forms_of_the_words():
+    text = "".join(chr(i) + ("x" if i % 3 else " Ab") for i in range(256)) + " ÉTÉ été's (Wort) a_b 0.5!! \"so\" it's. ½x²- "
+    form = lambda w: fit.lastindex if (fit := quality._FORM.match(w)) else 0
+    for given in (text, "", " \x85\xa0", text + " ’α١"):  # the last is beyond Latin-1
+        words = given.split()
+        assert [(len(s), form(s)) for s in quality.shapes(given)] == [(len(w), form(w)) for w in words]
+    # matched are kinds of shapes, which stay few however many words there are
+    assert len(set(quality.shapes(" ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(500))))) == 1
+
+
+def test_statistics_of_many_texts_are_those_of_each():
+    texts = [b"", "Ein Satz. Noch EINER!\n\nso so".encode(), b" \n", b"x" * 100 + b" y", "中 text".encode()]
+    rows = quality.statistics_of(texts)
+    assert [list(row) for row in rows] == [quality.statistics(t) for t in texts] and not rows[0].any()
+    assert quality.statistics_of([]).shape == (0, len(quality.NAMES))

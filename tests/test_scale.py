@@ -184,3 +184,18 @@ def test_streams_keep_little_beside_their_rows(spark, tmp_path, monkeypatch):
     assert status.where("provider_id IS NOT NULL").select("status_id").distinct().count() == 30
     assert streaming.ingested_buckets(spark, out).count() == 2 * status.where("status = 'SUCCESS'").count()
     assert all(f.name.endswith(".zstd.parquet") for f in (tmp_path / "out").rglob("*.parquet"))
+
+
+def test_stream_answers_name_all_requests(spark):
+    """The lists of received and rejected ids of a stream, equal ids and requests without id too, in bounded rows."""
+    day = 86_400 * 10**9
+    rows = [("s", "b", 2, "ACCEPTED"), ("s", "a", 2, "REJECTED"), ("s", "c", 1, "ACCEPTED"), ("s", "c", 1, "ACCEPTED"), ("s", "d", day, "ACCEPTED")]
+    rows += [("t", "e", 5, "ACCEPTED"), (None, None, 3, "REJECTED")]
+    made = spark.createDataFrame(rows, "stream_id string, request_id string, received_ns long, status string")
+    found = {(r.stream_id, str(r.day)): tuple(r)[2:] for r in ingest.ingest_stream_summary(made).collect()}
+    assert found == {
+        ("s", "1970-01-01"): (["c", "c", "a", "b"], ["a"], 5, 1, 4, True),
+        ("s", "1970-01-02"): (["d"], [], 5, 1, 4, True),
+        ("t", "1970-01-01"): (["e"], [], 1, 0, 1, False),
+        (None, "1970-01-01"): ([None], [None], 1, 1, 0, True),
+    }
